@@ -774,15 +774,12 @@ def strict_decode_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     priority = F.col("o_orderpriority")
     body = (
-        F.when(priority == "1-URGENT", F.regexp_replace(document, '"daily":\\{', '"daily":{"x":[],'))
-        .when(priority == "2-HIGH", F.regexp_replace(document, '"rain_sum":\\[', '"rain_sum":[],"rain_sum":['))
+        F.when(priority == "1-URGENT", F.regexp_replace(document, r'"daily":\{', '"daily":{"x":1,'))
+        .when(priority == "2-HIGH", F.regexp_replace(document, r'"rain_sum":\[[^\]]*\],', ""))
         .when(priority == "3-MEDIUM", F.regexp_replace(document, '"timezone":"[^"]*",', ""))
         .when(priority == "5-LOW", F.regexp_replace(document, r"^\{", '{"extra":1,'))
         .otherwise(document)
     )
-    body = F.when(
-        priority == "2-HIGH", F.regexp_replace(document, r'"rain_sum":\[[^\]]*\],', "")
-    ).otherwise(body)
     responded = _table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
     record = F.col("record")
     return decode.decode_weather(responded).select(

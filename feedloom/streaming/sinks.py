@@ -69,13 +69,13 @@ def table(name: str) -> BatchSink:
     """A catalog table made by ``create_table``; a repeated batch replaces its partition."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        columns = batch.sparkSession.table(name).columns
-        (
-            batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-            .select(*columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(name)
+        # A fixed partition in the statement: an overwrite without one may clear the whole table.
+        spark = batch.sparkSession
+        columns = ", ".join(quoted(c) for c in spark.table(name).columns if c != BATCH)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {quoted(name)} PARTITION ({BATCH} = {int(batch_id)}) "
+            f"SELECT {columns} FROM {{batch}}",
+            batch=batch,
         )
 
     def batches(spark: SparkSession) -> list[int]:

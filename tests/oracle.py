@@ -23,6 +23,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _cell(value):
     if isinstance(value, float) and math.isnan(value):
         return "nan"
@@ -38,7 +47,9 @@ def assert_same(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
     answer = connection.execute(sql)
     names = [column[0] for column in answer.description]
     expected = _rows(names, answer.fetchall())
-    assert sorted(df.columns) == sorted(names)
+    assert {name: _TYPES[kind] for name, kind in df.dtypes} == {
+        column[0]: str(column[1]) for column in answer.description
+    }
     actual = _rows(df.columns, [tuple(row) for row in df.collect()])
     assert len(actual) == len(expected)
     for ours, theirs in zip(actual, expected):
