@@ -69,12 +69,13 @@ def _read_with_end(text: Column, end: str, item_type: str) -> Column:
 
 
 def read_value(text: Column) -> Column:
-    """Items to hand to ``one_value``: JSON text of the value, numbers normalised."""
+    """Items to hand to ``is_one_value``: JSON text of the value, numbers normalised; the marker."""
     return _read_with_end(text, '"end"', "string")
 
 
-def one_value(items: Column) -> Column:
-    return F.when((F.size(items) == 2) & (F.get(items, F.lit(1)) == "end"), F.get(items, F.lit(0)))
+def is_one_value(items: Column) -> Column:
+    """True if the text was exactly one JSON value, which is then the first item."""
+    return F.coalesce((F.size(items) == 2) & (F.get(items, F.lit(1)) == "end"), F.lit(False))
 
 
 def read_array(text: Column) -> Column:

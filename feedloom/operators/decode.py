@@ -4,14 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from feedloom.functions import json_text
 from feedloom.schemas import DAILY_KEYS, RESPONSE_KEYS, WARNING_WIRE
 
 ERROR = "decode_error"
 
+# Members of a weather response that hold text; all others hold numbers.
 _TEXT_KEYS = {"timezone", "timezone_abbreviation"}
+_TEXT_DAILY_KEYS = {"time", "weathercode"}
+
+WEATHER_RECORD = StructType(
+    [
+        *[StructField(key, StringType() if key in _TEXT_KEYS else DoubleType()) for key in RESPONSE_KEYS],
+        StructField(
+            "daily",
+            StructType(
+                [
+                    StructField(
+                        key, ArrayType(StringType() if key in _TEXT_DAILY_KEYS else DoubleType())
+                    )
+                    for key in DAILY_KEYS
+                ]
+            ),
+        ),
+        StructField("daily_units", StructType([StructField(key, StringType()) for key in DAILY_KEYS])),
+    ]
+)
+
+# Timestamps stay text in the strict record.
+WARNING_RECORD = StructType(
+    [
+        StructField(f.name, StringType() if isinstance(f.dataType, TimestampType) else f.dataType)
+        for f in WARNING_WIRE
+    ]
+)
 
 
 def _names(keys: list[str]) -> Column:
@@ -47,28 +82,7 @@ def decode_weather(responses: DataFrame) -> DataFrame:
         .when(_lacks(units, DAILY_KEYS), "units_missing_key")
         .when(_lacks(top, RESPONSE_KEYS), "missing_key")
     )
-    text_arrays = {"time", "weathercode"}
-    record = F.struct(
-        *[
-            F.try_variant_get(doc, f"$.{key}", "string" if key in _TEXT_KEYS else "double").alias(
-                key
-            )
-            for key in RESPONSE_KEYS
-        ],
-        F.struct(
-            *[
-                F.try_variant_get(
-                    doc,
-                    f"$.daily.{key}",
-                    "array<string>" if key in text_arrays else "array<double>",
-                ).alias(key)
-                for key in DAILY_KEYS
-            ]
-        ).alias("daily"),
-        F.struct(
-            *[F.try_variant_get(doc, f"$.daily_units.{key}", "string").alias(key) for key in DAILY_KEYS]
-        ).alias("daily_units"),
-    )
+    record = F.try_variant_get(doc, "$", WEATHER_RECORD.simpleString())
     return (
         items.withColumn("_doc", json_text.one_variant(F.col("_items")))
         .withColumn("_top", json_text.member_names(doc))
@@ -80,52 +94,37 @@ def decode_weather(responses: DataFrame) -> DataFrame:
     )
 
 
-def _decoded_member(member: Column, schema: StructType) -> Column:
-    keys = [field.name for field in schema]
-    names = json_text.member_names(member)
-    error = (
-        F.when(names.isNull(), "not_an_object")
-        .when(_has_others(names, keys), "unknown_key")
-        .when(_lacks(names, keys), "missing_key")
-    )
-    # Timestamps stay text in the strict record.
-    kinds = {
-        field.name: (field.dataType if field.dataType.typeName() == "integer" else StringType())
-        for field in schema
-    }
-    record = F.struct(
-        *[
-            F.try_variant_get(member, f"$.{key}", kinds[key].simpleString()).alias(key)
-            for key in keys
-        ]
-    )
-    return F.struct(error.alias(ERROR), record.alias("record"))
-
-
-def decode_warnings(responses: DataFrame, schema: StructType = WARNING_WIRE) -> DataFrame:
+def decode_warnings(responses: DataFrame, schema: StructType = WARNING_RECORD) -> DataFrame:
     """One row per member of every sound response, one row with ``decode_error`` per other one.
 
     A single member with a missing or an unknown name rejects the response as a whole.
     """
+    keys = [field.name for field in schema]
     items = json_text.with_once(responses, "_items", json_text.read_variant(F.col("body")))
-    doc = F.col("_doc")
-    members = F.try_variant_get(doc, "$", "array<variant>")
-    decoded = F.transform(members, lambda member: _decoded_member(member, schema))
-    member_errors = F.filter(
-        F.transform(F.col("_decoded"), lambda one: one[ERROR]), lambda one: one.isNotNull()
-    )
+    doc, members = F.col("_doc"), F.col("_members")
+
+    def member_error(member: Column) -> Column:
+        names = F.map_keys(member)
+        return (
+            F.when(member.isNull(), "not_an_object")
+            .when(_has_others(names, keys), "unknown_key")
+            .when(_lacks(names, keys), "missing_key")
+        )
+
+    errors = F.array_compact(F.transform(members, member_error))
     error = (
         F.when(doc.isNull(), "bad_json")
-        .when(F.col("_decoded").isNull(), "not_an_array")
-        .otherwise(F.get(member_errors, F.lit(0)))
+        .when(members.isNull(), "not_an_array")
+        .otherwise(F.get(errors, F.lit(0)))
     )
+    record_type = schema.simpleString()
     records = F.when(
-        F.col(ERROR).isNull(), F.transform(F.col("_decoded"), lambda one: one["record"])
+        F.col(ERROR).isNull(), F.try_variant_get(doc, "$", f"array<{record_type}>")
     ).otherwise(F.array(F.lit(None)))
     return (
         items.withColumn("_doc", json_text.one_variant(F.col("_items")))
-        .withColumn("_decoded", decoded)
+        .withColumn("_members", F.try_variant_get(doc, "$", "array<map<string,variant>>"))
         .withColumn(ERROR, error)
         .withColumn("record", F.explode(records))
-        .drop("_items", "_doc", "_decoded")
+        .drop("_items", "_doc", "_members")
     )

@@ -19,19 +19,16 @@ def _status_fault(status: Column) -> Column:
     return ~status.eqNullSafe(F.lit(OK_STATUS))
 
 
-def _bad_json_or(body: Column, otherwise: str) -> Column:
-    readable = json_text.one_value(json_text.read_value(body)).isNotNull()
-    return F.when(readable | (F.trim(body) == "null"), otherwise).otherwise("bad_json")
-
-
 def warning_documents(responses: DataFrame) -> DataFrame:
     """Adds ``document``, the first member of the response's array, and ``reject_reason``."""
     parsed = json_text.with_once(responses, "_items", json_text.read_array(F.col("body")))
     members = F.col("_members")
     first = F.coalesce(F.get(members, F.lit(0)), F.lit("null"))
+    other_json = json_text.is_one_value(json_text.read_value(F.col("body")))
     reason = (
         F.when(_status_fault(F.col("status")), "status")
-        .when(members.isNull(), _bad_json_or(F.col("body"), "not_an_array"))
+        .when(members.isNull() & ~other_json, "bad_json")
+        .when(members.isNull(), "not_an_array")
         .when(F.size(members) == 0, "empty_array")
     )
     return (
@@ -48,18 +45,17 @@ def weather_documents(responses: DataFrame, check_status: bool = True) -> DataFr
     ``check_status=False`` lets the body of a failed request through when it is an object.
     """
     parsed = json_text.with_once(responses, "_items", json_text.read_value(F.col("body")))
-    value = F.col("_value")
+    value = F.get(F.col("_items"), F.lit(0))
     fault = _status_fault(F.col("status")) if check_status else F.lit(False)
     reason = (
         F.when(fault, "status")
-        .when(value.isNull(), _bad_json_or(F.col("body"), "not_an_object"))
-        .when(~json_text.is_object(value), "not_an_object")
+        .when(~json_text.is_one_value(F.col("_items")), "bad_json")
+        .when(value.isNull() | ~json_text.is_object(value), "not_an_object")
     )
     return (
-        parsed.withColumn("_value", json_text.one_value(F.col("_items")))
-        .withColumn(REJECT_REASON, reason)
+        parsed.withColumn(REJECT_REASON, reason)
         .withColumn("document", F.when(F.col(REJECT_REASON).isNull(), value))
-        .drop("_items", "_value")
+        .drop("_items")
     )
 
 

@@ -30,6 +30,7 @@ from feedloom.operators.latest import latest_by_key
 from feedloom.plans import daily, feeds
 from feedloom.session import scratch_dir
 from feedloom.sources import landed, logs, regions
+from feedloom.sources.splits import spread
 from feedloom.streaming import keyed, runs, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For queries that make documents of the rows."""
+    return spread(_table(spark, sf_dir, name))
+
+
 def _plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the test tables have them."""
     return df.select(
@@ -121,7 +127,7 @@ def _flat_round_trip(table: DataFrame, log: DataFrame) -> DataFrame:
     """
 )
 def flat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     position = ["topic", "partition", "offset"]
     rows = parse.parse_log(_event_log(events), _camel_schema(events), keep=position)
     rows = shape.add_id(shape.rename(rows, _snake_renames(events)), position=position)
@@ -130,7 +136,7 @@ def flat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT * FROM lineitem")
 def flat_parse_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "lineitem")
+    lines = _spread_table(spark, sf_dir, "lineitem")
     return _flat_round_trip(lines, to_log(lines, "lines", _camel_document(lines)))
 
 
@@ -148,7 +154,8 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _faulty_event_log(events: DataFrame) -> DataFrame:
     """Each event type has its own fault; purchases are sound, save that cheap ones lack the id."""
-    text = F.to_json(F.struct(*_camel_document(events)), json_text.ENCODE_OPTIONS)
+    documents = _with_document(events, _camel_document(events))
+    text = F.col("document")
     kind = F.col("event_type")
     faulty = (
         F.when(kind == "error", F.substring(text, F.lit(1), F.length(text) - 1))
@@ -158,7 +165,7 @@ def _faulty_event_log(events: DataFrame) -> DataFrame:
         .when(F.col("value") < 20, F.regexp_replace(text, r'"EventId":\d+,', ""))
         .otherwise(text)
     )
-    return _event_log(events, faulty)
+    return _event_log(documents, faulty)
 
 
 _FAULTY_FIELDS_SQL = """
@@ -181,14 +188,14 @@ _FAULTY_REASON_SQL = """
 
 @_query(f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL} FROM events')
 def parse_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     rows = parse.parse_log(_faulty_event_log(events), _camel_schema(events), keep=["offset"])
     return _plain_times(shape.rename(rows, _snake_renames(events)).drop("props"))
 
 
 @_query(f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL}, {_FAULTY_REASON_SQL} FROM events')
 def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     rows = parse.parse_log(
         _faulty_event_log(events),
         _camel_schema(events, required=("event_id",)),
@@ -319,7 +326,7 @@ _WEATHER_WITH_ID_SQL = f"""
 
 @_query(_WEATHER_WITH_ID_SQL)
 def nested_parse_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _order_weather_log(_table(spark, sf_dir, "orders"))
+    log = _order_weather_log(_spread_table(spark, sf_dir, "orders"))
     return _plain_times(feeds.weather_rows(log))
 
 
@@ -349,7 +356,7 @@ def upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_LAST_EVENT_SQL.format(value="value + 1"))
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, then the same events with corrected values, upserted by user with a compaction."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "upsert_stream")
     sink, order = keyed.upsert_files(f"{root}/users"), ["ts", "event_id", "batch_id"]
     corrected = events.withColumn("value", F.col("value") + 1)
@@ -374,7 +381,7 @@ def _stream_events(
 
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_append")
     logs.publish_files(_event_log(events), root, "events", "all")
     _stream_events(spark, events, root, sinks.files(f"{root}/rows"), max_bytes=64 * 2**30)
@@ -384,7 +391,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same query started again on its checkpoint adds nothing."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_rerun")
     logs.publish_files(_event_log(events), root, "events", "all")
     for _ in range(2):
@@ -401,7 +408,7 @@ def stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second publish after the first run: the restarted query reads only what is new."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_resume")
     negated = events.withColumn("value", -F.col("value"))
     for run, table in [("first", events), ("second", negated)]:
@@ -413,7 +420,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_WEATHER_WITH_ID_SQL)
 def stream_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_nested")
-    log = _order_weather_log(_table(spark, sf_dir, "orders"))
+    log = _order_weather_log(_spread_table(spark, sf_dir, "orders"))
     logs.publish_files(log, root, "weather", "all")
     # Ids from topic, partition and offset alone, as with a Kafka topic.
     rows = feeds.weather_rows(logs.stream_files(spark, root, "weather").drop("run"))
@@ -426,7 +433,7 @@ def stream_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f'SELECT event_id AS "offset", {_FAULTY_REASON_SQL} FROM events')
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows in one pass over the stream."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_quarantine")
     logs.publish_files(_faulty_event_log(events), root, "events", "all")
     rows = parse.parse_log(
@@ -445,7 +452,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Namespace and table made if absent, twice over, then filled by a stream."""
-    events = _table(spark, sf_dir, "events")
+    events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "table_append")
     namespace = f"feedloom_{uuid.uuid4().hex}"
     logs.publish_files(_event_log(events), root, "events", "all")
@@ -620,6 +627,11 @@ _WARNING_ROW_SQL = """
 """
 
 
+def _with_document(orders: DataFrame, columns: list[Column]) -> DataFrame:
+    """Add ``document``, in a step of its own so that uses of it do not each encode it again."""
+    return orders.withColumn("document", F.to_json(F.struct(*columns), json_text.ENCODE_OPTIONS))
+
+
 def _landed(orders: DataFrame, body: Column, *extra: str) -> DataFrame:
     """Landed responses, one per order; pending orders are failed requests."""
     return orders.select(
@@ -632,19 +644,18 @@ def _landed(orders: DataFrame, body: Column, *extra: str) -> DataFrame:
     )
 
 
-def _warning_body() -> Column:
-    """An array of two warnings; three of the five order priorities bring a fault."""
-    warning = F.struct(*_warning_columns())
-    later = F.struct(*[F.lit(-1).alias("RegId"), F.lit("later").alias("MainText")])
-    document = F.to_json(warning, json_text.ENCODE_OPTIONS)
-    array = F.concat(F.lit("["), document, F.lit(", "), F.to_json(later), F.lit("]"))
+def _landed_warnings(orders: DataFrame, *extra: str) -> DataFrame:
+    """Arrays of two warnings; three of the five order priorities bring a fault."""
+    later = F.lit(', {"RegId":-1,"MainText":"later"}]')
+    array = F.concat(F.lit("["), F.col("document"), later)
     priority = F.col("o_orderpriority")
-    return (
+    body = (
         F.when(priority == "2-HIGH", "[]")
         .when(priority == "3-MEDIUM", F.substring(array, F.lit(1), F.length(array) - 3))
-        .when(priority == "4-NOT SPECIFIED", document)
+        .when(priority == "4-NOT SPECIFIED", F.col("document"))
         .otherwise(array)
     )
+    return _landed(_with_document(orders, _warning_columns()), body, *extra)
 
 
 _WARNING_REASON_SQL = """
@@ -658,24 +669,25 @@ _WARNING_REASON_SQL = """
 
 @_query(f"SELECT o_orderkey, {_WARNING_REASON_SQL} AS reject_reason FROM orders")
 def response_gate_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed(_table(spark, sf_dir, "orders"), _warning_body(), "o_orderkey")
+    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
     return responses.warning_documents(responded).select("o_orderkey", "reject_reason")
 
 
 @_query(f"SELECT {_WARNING_ROW_SQL} FROM orders WHERE ({_WARNING_REASON_SQL}) IS NULL")
 def response_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed(_table(spark, sf_dir, "orders"), _warning_body())
+    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"))
     log = feeds.warning_log(responses.warning_documents(responded))
     return _plain_times(feeds.warning_rows(log).drop("id"))
 
 
-def _weather_body() -> Column:
-    """The weather document without the request's fields; two order priorities bring a fault."""
-    own = ("region_id", "region_name", "start_date", "end_date")
-    columns = _weather_columns()[len(own) :]
-    document = F.to_json(F.struct(*columns), json_text.ENCODE_OPTIONS)
+_REQUEST_FIELDS = ("region_id", "region_name", "start_date", "end_date")
+
+
+def _landed_weather(orders: DataFrame, *extra: str) -> DataFrame:
+    """Weather documents without the request's fields; two order priorities bring a fault."""
+    document = F.col("document")
     priority = F.col("o_orderpriority")
-    return (
+    body = (
         F.when(priority == "2-HIGH", F.concat(F.lit("["), document, F.lit("]")))
         .when(priority == "3-MEDIUM", F.concat(document, F.lit(" <html>")))
         .when(
@@ -684,6 +696,8 @@ def _weather_body() -> Column:
         )
         .otherwise(document)
     )
+    columns = _weather_columns()[len(_REQUEST_FIELDS) :]
+    return _landed(_with_document(orders, columns), body, *extra)
 
 
 _WEATHER_REASON_SQL = """
@@ -702,7 +716,7 @@ _WEATHER_REASON_SQL = """
     """
 )
 def response_gate_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed(_table(spark, sf_dir, "orders"), _weather_body(), "o_orderkey")
+    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
     checked = responses.weather_documents(responded).withColumnRenamed("reject_reason", "checked")
     both = responses.weather_documents(checked.drop("document"), check_status=False)
     return both.select("o_orderkey", "checked", F.col("reject_reason").alias("unchecked"))
@@ -718,7 +732,7 @@ def response_gate_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request fields set in documents, over an old value in some; unknown members stay."""
-    responded = _landed(_table(spark, sf_dir, "orders"), _weather_body(), "o_orderkey")
+    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
     documents = responses.enrich_weather(parse.accepted(responses.weather_documents(responded)))
     log = to_log(documents, "weather", text=F.col("document"), offset=F.col("o_orderkey"))
     schema = StructType(
@@ -761,17 +775,16 @@ def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def strict_decode_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = F.struct(*[F.lit("mm").alias(key) for key in schemas.DAILY_KEYS])
-    document = F.to_json(
-        F.struct(
-            *_weather_columns()[4:],
-            F.lit(0.25).alias("generationtime_ms"),
-            F.lit(3600).alias("utc_offset_seconds"),
-            F.lit("Europe/Berlin").alias("timezone"),
-            F.lit("CET").alias("timezone_abbreviation"),
-            units.alias("daily_units"),
-        ),
-        json_text.ENCODE_OPTIONS,
-    )
+    columns = [
+        *_weather_columns()[len(_REQUEST_FIELDS) :],
+        F.lit(0.25).alias("generationtime_ms"),
+        F.lit(3600).alias("utc_offset_seconds"),
+        F.lit("Europe/Berlin").alias("timezone"),
+        F.lit("CET").alias("timezone_abbreviation"),
+        units.alias("daily_units"),
+    ]
+    documents = _with_document(_spread_table(spark, sf_dir, "orders"), columns)
+    document = F.col("document")
     priority = F.col("o_orderpriority")
     body = (
         F.when(priority == "1-URGENT", F.regexp_replace(document, r'"daily":\{', '"daily":{"x":1,'))
@@ -780,7 +793,7 @@ def strict_decode_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(priority == "5-LOW", F.regexp_replace(document, r"^\{", '{"extra":1,'))
         .otherwise(document)
     )
-    responded = _table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
+    responded = documents.select("o_orderkey", body.alias("body"))
     record = F.col("record")
     return decode.decode_weather(responded).select(
         "o_orderkey",
@@ -810,7 +823,8 @@ def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two warnings per response; a fault in the second one rejects the response."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("ValidFrom")
     columns = [day if i == 6 else column for i, column in enumerate(_warning_columns())]
-    one = F.to_json(F.struct(*columns), json_text.ENCODE_OPTIONS)
+    documents = _with_document(_spread_table(spark, sf_dir, "orders"), columns)
+    one = F.col("document")
     priority = F.col("o_orderpriority")
     two = (
         F.when(priority == "1-URGENT", F.regexp_replace(one, r"\}$", ',"X":1}'))
@@ -820,7 +834,7 @@ def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(priority == "3-MEDIUM", one).otherwise(
         F.concat(F.lit("["), one, F.lit(","), two, F.lit("]"))
     )
-    responded = _table(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
+    responded = documents.select("o_orderkey", body.alias("body"))
     return decode.decode_warnings(responded).select(
         "o_orderkey",
         F.col("record.RegId").alias("reg_id"),
@@ -855,7 +869,7 @@ def _whole_feed(spark: SparkSession, feed: str, responded: DataFrame) -> DataFra
 @_query(f"SELECT {_WARNING_ROW_SQL} FROM orders WHERE ({_WARNING_REASON_SQL}) IS NULL")
 def warning_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed responses to rows of the warning table, through the log."""
-    responded = _landed(_table(spark, sf_dir, "orders"), _warning_body())
+    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"))
     return _whole_feed(spark, "warnings", responded)
 
 
@@ -867,5 +881,5 @@ def warning_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed responses to rows of the weather table, through the log."""
-    responded = _landed(_table(spark, sf_dir, "orders"), _weather_body())
+    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"))
     return _whole_feed(spark, "weather", responded)

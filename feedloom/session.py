@@ -15,6 +15,8 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column takes longer than planning a wide query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_scratch: dict[str, str] = {}

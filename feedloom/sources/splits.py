@@ -1,0 +1,16 @@
+"""How input is split over tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, when the input has fewer splits than there are cores.
+
+    Parsing JSON costs far more per row than moving the row, and an input with that few splits is
+    small next to the cluster. One that has splits enough is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
