@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 # Fixed value: kilometres per degree, applied to both axes.
 KM_PER_DEGREE = 111.0
 
-# Largest cell count per axis that one sequence() call may make.
-_MAX_CELLS = 2**31 - 16
-
 
 def rows_for_box(
     lat_from: Column, lat_to: Column, lon_from: Column, lon_to: Column, columns: int
@@ -24,7 +21,8 @@ def rows_for_box(
     km_per_lon_degree = F.cos(F.radians((lat_from + lat_to) / F.lit(2))) * F.lit(KM_PER_DEGREE)
     lat_step = lon_step * (km_per_lon_degree / F.lit(KM_PER_DEGREE))
     ratio = F.rint(F.try_divide(lat_to - lat_from, lat_step))
-    return F.when(F.abs(ratio) <= F.lit(_MAX_CELLS), ratio.cast("int"))
+    infinite = F.isnan(ratio) | (F.abs(ratio) == F.lit(float("inf")))
+    return F.when(~infinite, ratio.cast("int"))
 
 
 def indexes(count: Column) -> Column:

@@ -23,19 +23,24 @@ def to_log(
 
     The document is built from ``document`` (all columns by default), or is ``text`` where the row
     already holds one. Without explicit positions the writing task gives them out; such a log has to
-    be written before it is read, since a recomputed task may number its rows otherwise.
+    be written before it is read, since a recomputed task may number its rows otherwise. Records of a
+    stream have none until they are written.
     """
     if text is None:
         fields = [F.col(c) if isinstance(c, str) else c for c in document or df.columns]
         value = json_text.encode(*fields)
     else:
         value = text.cast("binary")
+    if df.isStreaming:
+        own_partition, own_offset = F.lit(None), F.lit(None)
+    else:
+        own_partition, own_offset = F.spark_partition_id(), F.monotonically_increasing_id()
     parts = {
         "key": F.lit(None),
         "value": value,
         "topic": F.lit(topic),
-        "partition": F.spark_partition_id() if partition is None else partition,
-        "offset": F.monotonically_increasing_id() if offset is None else offset,
+        "partition": own_partition if partition is None else partition,
+        "offset": own_offset if offset is None else offset,
         "timestamp": F.lit(None) if timestamp is None else timestamp,
         "timestampType": F.lit(0),
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from feedloom import schemas
@@ -56,10 +57,14 @@ def publish_landed(
 ) -> None:
     """Landed responses of one run to the feed's log; those that cannot go on to ``rejects``."""
     spec = FEEDS[feed]
-    documents = spec.documents(landed)
-    logs.publish_files(spec.log(documents), log_root, spec.topic, run, replace=replace)
-    mode = "overwrite" if replace else "errorifexists"
-    parse.rejected(documents).write.mode(mode).parquet(f"{rejects}/{feed}/run={run}")
+    # Two writes from one parse; blocks of a lost executor are made again from the landed files.
+    documents = spec.documents(landed).persist(StorageLevel.DISK_ONLY)
+    try:
+        logs.publish_files(spec.log(documents), log_root, spec.topic, run, replace=replace)
+        mode = "overwrite" if replace else "errorifexists"
+        parse.rejected(documents).write.mode(mode).parquet(f"{rejects}/{feed}/run={run}")
+    finally:
+        documents.unpersist()
 
 
 def ingest(

@@ -23,13 +23,41 @@ def upsert_files(path: str) -> sinks.BatchSink:
     return sinks.files(_deltas(path))
 
 
-def _last_base(spark: SparkSession, path: str) -> int | None:
-    done = [
-        through
-        for through in storage.numbered(spark, f"{path}/base", "through")
-        if storage.exists(spark, f"{path}/base/through={through}/_SUCCESS")
+def _written(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the directories whose write has finished."""
+    return [
+        number
+        for number in storage.numbered(spark, path, prefix)
+        if storage.exists(spark, f"{path}/{prefix}={number}/_SUCCESS")
     ]
-    return max(done, default=None)
+
+
+def _parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """The last base, and the batches written after it."""
+    through = max(_written(spark, f"{path}/base", "through"), default=None)
+    batches = _written(spark, _deltas(path), BATCH)
+    return through, [batch for batch in batches if through is None or batch > through]
+
+
+def _latest(
+    spark: SparkSession,
+    path: str,
+    through: int | None,
+    batches: list[int],
+    keys: list[str],
+    order: list[str] | None,
+) -> DataFrame:
+    frames = []
+    if through is not None:
+        frames.append(spark.read.parquet(f"{path}/base/through={through}"))
+    if batches:
+        paths = [f"{_deltas(path)}/{BATCH}={batch}" for batch in batches]
+        deltas = spark.read.option("basePath", _deltas(path)).parquet(*paths)
+        frames.append(deltas.withColumn(BATCH, F.col(BATCH).cast("long")))
+    if not frames:
+        raise ValueError(f"nothing has been written to {path}")
+    rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    return latest_by_key(rows, keys, order or [BATCH])
 
 
 def read_latest(
@@ -40,12 +68,7 @@ def read_latest(
     By default the row of the latest batch wins. Name ``order`` columns to let the data decide; they
     should break all ties, and may include ``batch_id``.
     """
-    rows = spark.read.parquet(_deltas(path)).withColumn(BATCH, F.col(BATCH).cast("long"))
-    through = _last_base(spark, path)
-    if through is not None:
-        base = spark.read.parquet(f"{path}/base/through={through}")
-        rows = base.unionByName(rows.filter(F.col(BATCH) > through))
-    return latest_by_key(rows, keys, order or [BATCH])
+    return _latest(spark, path, *_parts(spark, path), keys, order)
 
 
 def compact(
@@ -55,16 +78,9 @@ def compact(
 
     The old base and the deltas stay in place, so readers that started earlier go on undisturbed.
     """
-    written = [
-        batch
-        for batch in storage.numbered(spark, _deltas(path), BATCH)
-        if storage.exists(spark, f"{_deltas(path)}/{BATCH}={batch}/_SUCCESS")
-    ]
-    if not written:
-        return None
-    through = written[-1]
-    if through == _last_base(spark, path):
+    through, batches = _parts(spark, path)
+    if not batches:
         return through
-    current = read_latest(spark, path, keys, order).filter(F.col(BATCH) <= through)
-    current.write.mode("overwrite").parquet(f"{path}/base/through={through}")
-    return through
+    current = _latest(spark, path, through, batches, keys, order)
+    current.write.mode("overwrite").parquet(f"{path}/base/through={batches[-1]}")
+    return batches[-1]

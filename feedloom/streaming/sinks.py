@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.parse import REJECT_REASON
-from feedloom.sources import storage
+from feedloom.sources import logs, storage
 from feedloom.streaming.tables import BATCH, quoted
 
 
@@ -85,6 +85,25 @@ def table(name: str) -> BatchSink:
     return BatchSink(write, batches)
 
 
+def file_log(root: str, topic: str, records: Callable[[DataFrame], DataFrame]) -> BatchSink:
+    """A topic of the file log, one run per batch; ``records`` makes log records of a batch."""
+    prefix = "run=batch-"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        logs.publish_files(records(batch), root, topic, f"batch-{batch_id}", replace=True)
+
+    def batches(spark: SparkSession) -> list[int]:
+        names = storage.child_names(spark, logs.topic_path(root, topic))
+        return sorted(int(name[len(prefix) :]) for name in names if name.startswith(prefix))
+
+    return BatchSink(write, batches)
+
+
+def kafka(topic: str, servers: str) -> FormatSink:
+    """A Kafka topic, fed from log records; needs Spark's Kafka package on the class path."""
+    return FormatSink("kafka", {"kafka.bootstrap.servers": servers, "topic": topic})
+
+
 def cassandra(keyspace: str, table_name: str) -> FormatSink:
     """A Cassandra table; needs the connector package on the class path."""
     return FormatSink(

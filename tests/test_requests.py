@@ -45,6 +45,7 @@ BOXES = {
     "tie_down": ((0.5, 0.0, -0.5, 2.0), 10),
     "tie_up": ((0.75, 0.0, -0.75, 5.0), 10),
     "no_edges": ((None, 8.0, 60.0, 9.0), 0),
+    "not_a_number": ((float("nan"), 8.0, 60.0, 9.0), 0),
 }
 
 

@@ -29,6 +29,15 @@ def test_cassandra_sink():
     assert sink.options == {"keyspace": "spark_weather", "table": "weather_forecast"}
 
 
+def test_kafka_sink():
+    sink = sinks.kafka("weather_forecast", "broker:29092")
+    assert sink.format == "kafka"
+    assert sink.options == {
+        "kafka.bootstrap.servers": "broker:29092",
+        "topic": "weather_forecast",
+    }
+
+
 def test_checkpoints_differ_by_query():
     assert runs.checkpoint_path("/c/", "a") != runs.checkpoint_path("/c/", "b")
 

@@ -2,6 +2,7 @@
 
 import pytest
 from feedloom import schemas
+from feedloom.operators import responses
 from feedloom.operators.encode import to_log
 from feedloom.plans import daily, feeds
 from feedloom.sources import landed, logs, regions
@@ -184,6 +185,38 @@ def test_format_sink(spark, tmp_path):
     assert spark.read.parquet(f"{root}/plain").count() == 10
 
 
+def test_landed_stream_to_log(spark, tmp_path):
+    """Responses are gated and published as they land."""
+    root = str(tmp_path)
+    sink = sinks.file_log(f"{root}/log", TOPIC, feeds.warning_log)
+    for day, n in [("2025-01-24", 3), ("2025-01-25", 4)]:
+        body = F.to_json(F.array(F.struct(F.col("id").cast("int").alias("RegId"))))
+        responded = spark.range(n).select(
+            F.lit("3022").alias("region_id"),
+            F.lit("T").alias("region_name"),
+            F.lit(day).alias("run_date"),
+            F.when(F.col("id") == 0, 500).otherwise(200).alias("status"),
+            body.alias("body"),
+        )
+        responded.write.mode("append").parquet(f"{root}/landed")
+        documents = responses.warning_documents(landed.stream_landed(spark, f"{root}/landed"))
+        runs.run_to_end(documents, sink, name="publish", checkpoints=f"{root}/checkpoints")
+    rows = feeds.warning_rows(logs.read_files(spark, f"{root}/log", TOPIC))
+    assert sorted(row["reg_id"] for row in rows.collect()) == [1, 1, 2, 2, 3]
+    assert len(set(ids(rows))) == 5
+    assert sink.batches(spark) == [0, 1]
+
+
+def test_stream_records_have_no_position_yet(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "a", range(3))
+    log = to_log(logs.stream_files(spark, root, TOPIC), "again", text=F.col("value"))
+    sink = sinks.FormatSink("parquet", {"path": f"{root}/again"})
+    runs.run_to_end(log, sink, name="again", checkpoints=f"{root}/checkpoints")
+    stored = spark.read.parquet(f"{root}/again")
+    assert stored.count() == 3 and stored.filter("offset IS NULL").count() == 3
+
+
 def test_daily_run(spark, tmp_path):
     """Two days of one feed, with a failed request on the second."""
     root = str(tmp_path)
