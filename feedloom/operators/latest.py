@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` values for every key.
+    """The row with the greatest ``order`` values for every key; NULL is below all values.
 
-    An aggregate, not a window: each task reduces its rows to one per key before the shuffle, so a
-    key that holds a large share of all rows costs no more than any other. ``order`` should break
-    all ties.
+    Spark turns the filter on the first row number into a group limit on both sides of the shuffle:
+    each task passes on one row per key, so a key that holds a large share of all rows costs no more
+    than any other. ``order`` should break all ties.
     """
-    last = F.max_by(F.struct(*df.columns), F.struct(*order))
-    columns = [F.col(f"_row.{name}").alias(name) for name in df.columns]
-    return df.groupBy(*keys).agg(last.alias("_row")).select(*columns)
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")

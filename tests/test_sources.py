@@ -80,13 +80,21 @@ def test_scratch_is_under_the_shared_folder(spark):
 
 
 def test_latest_with_a_hot_key(spark):
-    """A key with most of the rows is reduced in each task before the shuffle."""
+    """A key with most of the rows is reduced in each task, below the shuffle."""
     frame = spark.range(100_000).select(
         F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
     )
     latest = latest_by_key(frame, ["k"], ["v"])
     assert latest.filter("k = 0").collect()[0]["v"] == 99_996
-    assert latest.count() == 30_000 + (1 if latest.filter("k = 0").count() else 0)
+    assert latest.count() == 30_001
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    below_shuffle = plan[plan.index("Exchange") :]
+    assert "row_number(), 1, Partial" in below_shuffle
+
+
+def test_latest_orders_null_below_values(spark):
+    frame = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (2, None, "c")], "k int, v int, t string")
+    assert sorted(row["t"] for row in latest_by_key(frame, ["k"], ["v"]).collect()) == ["b", "c"]
 
 
 @pytest.mark.parametrize("column", ["reject_reason IS NULL", "reject_reason IS NOT NULL"])
