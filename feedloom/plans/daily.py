@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom import schemas
 from feedloom.operators import parse, requests, responses
 from feedloom.plans import feeds
+from feedloom.sources import landed as landing
 from feedloom.sources import logs
 from feedloom.streaming import runs
 from feedloom.streaming.sinks import BatchSink, FormatSink
@@ -24,6 +25,8 @@ class Feed:
     documents: Callable[[DataFrame], DataFrame]
     log: Callable[[DataFrame], DataFrame]
     rows: Callable[..., DataFrame]
+    namespace: str
+    table: str
 
 
 FEEDS = {
@@ -34,6 +37,8 @@ FEEDS = {
         responses.warning_documents,
         feeds.warning_log,
         feeds.warning_rows,
+        schemas.WARNING_NAMESPACE,
+        schemas.WARNING_TABLE,
     ),
     "weather": Feed(
         schemas.WEATHER_TOPIC,
@@ -42,6 +47,8 @@ FEEDS = {
         responses.weather_documents,
         feeds.weather_log,
         feeds.weather_rows,
+        schemas.WEATHER_NAMESPACE,
+        schemas.WEATHER_TABLE,
     ),
 }
 
@@ -82,3 +89,26 @@ def ingest(
     log = logs.stream_files(spark, log_root, spec.topic, max_bytes=max_bytes)
     rows = spec.rows(log, **row_options)
     runs.run_to_end(rows, sink, name=f"ingest_{feed}", checkpoints=checkpoints)
+
+
+def run(
+    spark: SparkSession,
+    feed: str,
+    run_date: str,
+    *,
+    landed_root: str,
+    log_root: str,
+    rejects: str,
+    sink: BatchSink | FormatSink,
+    checkpoints: str,
+    **ingest_options,
+) -> None:
+    """Everything after the fetch for one run date: landed responses to log, log to sink.
+
+    The responses of a run lie under ``landed_root/<feed>/run=<run_date>``. An error ends the run.
+    """
+    landed = landing.read_landed(spark, f"{landed_root}/{feed}/run={run_date}")
+    publish_landed(feed, landed, log_root=log_root, rejects=rejects, run=run_date)
+    ingest(
+        spark, feed, log_root=log_root, sink=sink, checkpoints=checkpoints, **ingest_options
+    )

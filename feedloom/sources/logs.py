@@ -19,6 +19,10 @@ def topic_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/{topic}"
 
 
+def run_path(root: str, topic: str, run: str) -> str:
+    return f"{topic_path(root, topic)}/run={run}"
+
+
 def kafka_options(
     topic: str,
     servers: str,
@@ -78,7 +82,7 @@ def stream_files(
 def publish_files(log: DataFrame, root: str, topic: str, run: str, *, replace: bool = False) -> None:
     """Write log records as one run of a topic. A run that exists is refused unless ``replace``."""
     mode = "overwrite" if replace else "errorifexists"
-    log.write.mode(mode).parquet(f"{topic_path(root, topic)}/run={run}")
+    log.write.mode(mode).parquet(run_path(root, topic, run))
 
 
 def publish_kafka(log: DataFrame, topic: str, servers: str) -> None:

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jvm_path)
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """True if a write to this directory has finished."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries right under ``path``; empty if there is no such directory."""
     file_system, jvm_path = _file_system(spark, path)

@@ -28,7 +28,7 @@ def _written(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return [
         number
         for number in storage.numbered(spark, path, prefix)
-        if storage.exists(spark, f"{path}/{prefix}={number}/_SUCCESS")
+        if storage.is_written(spark, f"{path}/{prefix}={number}")
     ]
 
 

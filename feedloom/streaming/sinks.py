@@ -1,7 +1,7 @@
 """Micro-batch sinks.
 
-Each batch lands under its own number and a repeated batch overwrites what its first attempt left,
-so a replay after a failure neither loses nor doubles rows.
+Each batch lands under its own number. A repeated batch replaces what an unfinished attempt left and
+is passed over if the first attempt had finished, so a replay neither loses nor doubles rows.
 """
 
 from __future__ import annotations
@@ -37,8 +37,9 @@ def files(path: str, partition_by: list[str] | None = None) -> BatchSink:
     """Parquet files under ``path/batch_id=N``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").partitionBy(*partition_by or [])
-        writer.parquet(f"{path}/{BATCH}={batch_id}")
+        target = f"{path}/{BATCH}={batch_id}"
+        if not storage.is_written(batch.sparkSession, target):
+            batch.write.mode("overwrite").partitionBy(*partition_by or []).parquet(target)
 
     return BatchSink(write, lambda spark: storage.numbered(spark, path, BATCH))
 
@@ -90,7 +91,9 @@ def file_log(root: str, topic: str, records: Callable[[DataFrame], DataFrame]) -
     prefix = "run=batch-"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        logs.publish_files(records(batch), root, topic, f"batch-{batch_id}", replace=True)
+        run = f"batch-{batch_id}"
+        if not storage.is_written(batch.sparkSession, logs.run_path(root, topic, run)):
+            logs.publish_files(records(batch), root, topic, run, replace=True)
 
     def batches(spark: SparkSession) -> list[int]:
         names = storage.child_names(spark, logs.topic_path(root, topic))

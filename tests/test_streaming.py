@@ -2,6 +2,7 @@
 
 import pytest
 from feedloom import schemas
+from feedloom.__main__ import main
 from feedloom.operators import responses
 from feedloom.operators.encode import to_log
 from feedloom.plans import daily, feeds
@@ -65,9 +66,16 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     publish(spark, root, "a", range(100))
     batch = feeds.warning_rows(logs.read_files(spark, root, TOPIC))
     sink = sinks.files(f"{root}/rows")
+    files = []
     for _ in range(2):
         sink.write(batch, 0)
-    assert spark.read.parquet(f"{root}/rows").count() == 100
+        files.append(sorted(spark.read.parquet(f"{root}/rows").inputFiles()))
+    assert spark.read.parquet(f"{root}/rows").count() == 100 and files[0] == files[1]
+    # An attempt that did not finish is written anew.
+    (tmp_path / "rows" / "batch_id=0" / "_SUCCESS").unlink()
+    sink.write(batch, 0)
+    files.append(sorted(spark.read.parquet(f"{root}/rows").inputFiles()))
+    assert spark.read.parquet(f"{root}/rows").count() == 100 and files[1] != files[2]
 
     tables.create_namespace(spark, "replays")
     tables.create_table(spark, "replays.warnings", schemas.WARNING_SINK)
@@ -230,18 +238,14 @@ def test_daily_run(spark, tmp_path):
             F.when(F.col("cell_row") == 0, status).otherwise(200).alias("status"),
             F.to_json(F.struct(F.col("lat").alias("latitude"))).alias("body"),
         )
-        got.write.parquet(f"{root}/landed/{day}")
-        daily.publish_landed(
-            "weather",
-            landed.read_landed(spark, f"{root}/landed/{day}"),
-            log_root=f"{root}/log",
-            rejects=f"{root}/rejects",
-            run=day,
-        )
-        daily.ingest(
+        got.write.parquet(f"{root}/landed/weather/run={day}")
+        daily.run(
             spark,
             "weather",
+            day,
+            landed_root=f"{root}/landed",
             log_root=f"{root}/log",
+            rejects=f"{root}/rejects",
             sink=sink,
             checkpoints=f"{root}/checkpoints",
             mode="quarantine",
@@ -252,3 +256,17 @@ def test_daily_run(spark, tmp_path):
     assert sinks.read_split(spark, f"{root}/rows", rejected=True).count() == 0
     rejects = spark.read.parquet(f"{root}/rejects/weather")
     assert [row["reject_reason"] for row in rejects.collect()] == ["status"] * 5
+
+
+def test_command_line(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "a", range(10))
+    command = ["warnings", "--log", f"files:{root}", "--checkpoints", f"{root}/cp", "--once"]
+    main([*command, "--sink", f"files:{root}/rows"])
+    assert spark.read.parquet(f"{root}/rows").count() == 10
+    main([*command[:4], f"{root}/cp2", "--once", "--mode", "quarantine", "--sink", f"files:{root}/q"])
+    assert sinks.read_split(spark, f"{root}/q", rejected=False).count() == 10
+    with pytest.raises(SystemExit):
+        main([*command, "--sink", "table", "--mode", "quarantine"])
+    with pytest.raises(SystemExit):
+        main([*command, "--sink", "elsewhere"])
