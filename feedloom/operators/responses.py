@@ -14,6 +14,8 @@ from feedloom.operators.parse import REJECT_REASON
 
 OK_STATUS = 200
 
+_JSON_SPACE = " \t\r\n"
+
 
 def _status_fault(status: Column) -> Column:
     return ~status.eqNullSafe(F.lit(OK_STATUS))
@@ -70,20 +72,19 @@ def add_members(document: Column, members: dict[str, Column]) -> Column:
         {"ignoreNullFields": "false"},
     )
     tail = F.substring(added, F.lit(2), F.length(added))
-    spliced = F.when(document.rlike(r"^\s*\{\s*\}\s*$"), added).otherwise(
-        F.concat(F.regexp_replace(document, r"\s*\}\s*$", ","), tail)
-    )
+
+    def joined(text: Column) -> Column:
+        head = F.substring(text, F.lit(1), F.length(text) - 1)
+        is_empty = F.btrim(head, F.lit("{" + _JSON_SPACE)) == ""
+        return F.when(is_empty, added).otherwise(F.concat(head, F.lit(","), tail))
 
     names = F.array(*[F.lit(name) for name in members])
     others = F.map_filter(
         F.from_json(document, "map<string,variant>"), lambda name, _: ~F.array_contains(names, name)
     )
-    rebuilt_rest = F.to_json(others)
-    rebuilt = F.when(F.size(others) == 0, added).otherwise(
-        F.concat(F.regexp_replace(rebuilt_rest, r"\}$", ","), tail)
-    )
     taken = F.arrays_overlap(F.json_object_keys(document), names)
-    return F.when(taken, rebuilt).otherwise(spliced)
+    trimmed = F.btrim(document, F.lit(_JSON_SPACE))
+    return F.when(taken, joined(F.to_json(others))).otherwise(joined(trimmed))
 
 
 def enrich_weather(documents: DataFrame) -> DataFrame:

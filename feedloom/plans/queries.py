@@ -140,6 +140,13 @@ def flat_parse_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_round_trip(lines, to_log(lines, "lines", _camel_document(lines)))
 
 
+@_query("SELECT * FROM documents")
+def flat_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts with all their quotes, line ends and odd characters."""
+    documents = _spread_table(spark, sf_dir, "documents")
+    return _flat_round_trip(documents, to_log(documents, "documents", _camel_document(documents)))
+
+
 @_query(
     """
     SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
@@ -755,6 +762,47 @@ def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    """
+    SELECT page_id, url, html, 'bad_json' AS bare_page, CAST(page_id AS VARCHAR) AS region_id,
+           'Page "' || page_id || '"' AS region_name
+    FROM pages
+    """
+)
+def enrich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as responses: refused as they are, enriched as members of an object."""
+    pages = _with_document(
+        _spread_table(spark, sf_dir, "pages"), [F.col("page_id"), F.col("url"), F.col("html")]
+    )
+    responded = pages.select(
+        F.col("page_id").cast("string").alias("region_id"),
+        F.format_string('Page "%d"', "page_id").alias("region_name"),
+        F.lit("2025-01-24").alias("run_date"),
+        F.lit(200).alias("status"),
+        F.col("html").alias("body"),
+        "document",
+    )
+    bare = responses.weather_documents(responded.withColumnRenamed("document", "page"))
+    wrapped = bare.select(
+        "region_id",
+        "region_name",
+        "run_date",
+        "status",
+        F.col("page").alias("body"),
+        F.col("reject_reason").alias("bare_page"),
+    )
+    enriched = responses.enrich_weather(parse.accepted(responses.weather_documents(wrapped)))
+    schema = StructType(
+        [
+            StructField("page_id", LongType()),
+            *[StructField(name, StringType()) for name in ("url", "html")],
+            *[StructField(name, StringType()) for name in ("region_id", "region_name")],
+        ]
+    )
+    log = enriched.select("bare_page", F.col("document").cast("binary").alias("value"))
+    return parse.parse_log(log, schema, keep=["bare_page"])
+
+
 @_query(
     """
     SELECT o_orderkey,
