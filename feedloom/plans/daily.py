@@ -81,7 +81,7 @@ def ingest(
     log_root: str,
     sink: BatchSink | FormatSink,
     checkpoints: str,
-    max_bytes: int | None = None,
+    max_bytes: int = logs.MAX_BATCH_BYTES,
     **row_options: str,
 ) -> None:
     """Append everything new in the feed's log to its sink, then return."""

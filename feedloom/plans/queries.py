@@ -380,9 +380,9 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_events(
-    spark: SparkSession, events: DataFrame, root: str, sink: sinks.BatchSink, **log_options
+    spark: SparkSession, events: DataFrame, root: str, sink: sinks.BatchSink
 ) -> None:
-    rows = _flat_round_trip(events, logs.stream_files(spark, root, "events", **log_options))
+    rows = _flat_round_trip(events, logs.stream_files(spark, root, "events"))
     runs.run_to_end(rows, sink, name="events", checkpoints=f"{root}/checkpoints")
 
 
@@ -391,7 +391,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _spread_table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_append")
     logs.publish_files(_event_log(events), root, "events", "all")
-    _stream_events(spark, events, root, sinks.files(f"{root}/rows"), max_bytes=64 * 2**30)
+    _stream_events(spark, events, root, sinks.files(f"{root}/rows"))
     return spark.read.parquet(f"{root}/rows").drop("batch_id")
 
 

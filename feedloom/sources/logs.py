@@ -12,6 +12,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from feedloom.schemas import LOG_RECORD
 
+# Bytes of log files per micro-batch.
+MAX_BATCH_BYTES = 2**40
+
 FILE_LOG = StructType([*LOG_RECORD.fields, StructField("run", StringType())])
 
 
@@ -64,17 +67,17 @@ def stream_files(
     topic: str,
     *,
     max_files: int | None = None,
-    max_bytes: int | None = None,
+    max_bytes: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
     """The file log of a topic as a stream: first every file there is, then new ones.
 
-    ``max_files`` or ``max_bytes`` bounds a micro-batch, so that a long backlog is worked off in
-    steps that each commit.
+    ``max_bytes``, or ``max_files`` in its place, bounds a micro-batch, so that a long backlog is
+    worked off in steps that each commit.
     """
     reader = spark.readStream.schema(FILE_LOG)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes:
+    else:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(topic_path(root, topic))
 

@@ -14,6 +14,9 @@ from feedloom.sources import storage
 from feedloom.streaming import sinks
 from feedloom.streaming.tables import BATCH
 
+# Up to this many rows since the last compaction, their keys are broadcast.
+BROADCAST_ROWS = 500_000
+
 
 def _deltas(path: str) -> str:
     return f"{path}/deltas"
@@ -47,17 +50,37 @@ def _latest(
     keys: list[str],
     order: list[str] | None,
 ) -> DataFrame:
-    frames = []
+    order = order or [BATCH]
+    base = deltas = None
     if through is not None:
-        frames.append(spark.read.parquet(f"{path}/base/through={through}"))
+        base = spark.read.parquet(f"{path}/base/through={through}")
     if batches:
         paths = [f"{_deltas(path)}/{BATCH}={batch}" for batch in batches]
         deltas = spark.read.option("basePath", _deltas(path)).parquet(*paths)
-        frames.append(deltas.withColumn(BATCH, F.col(BATCH).cast("long")))
-    if not frames:
+        deltas = deltas.withColumn(BATCH, F.col(BATCH).cast("long"))
+    if base is None and deltas is None:
         raise ValueError(f"nothing has been written to {path}")
-    rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    return latest_by_key(rows, keys, order or [BATCH])
+    if base is None:
+        return latest_by_key(deltas, keys, order)
+    if deltas is None:
+        return base
+    if deltas.count() > BROADCAST_ROWS:
+        return latest_by_key(base.unionByName(deltas), keys, order)
+    return _base_with_changes(base, deltas, keys, order)
+
+
+def _base_with_changes(
+    base: DataFrame, deltas: DataFrame, keys: list[str], order: list[str]
+) -> DataFrame:
+    """The base holds one row per key, so only keys of the deltas need to be looked at again.
+
+    Their keys are few enough to be sent everywhere; the base is read in place and not shuffled.
+    """
+    changed = F.broadcast(deltas.select(*keys).distinct())
+    same_key = [base[key].eqNullSafe(changed[key]) for key in keys]
+    untouched = base.join(changed, same_key, "left_anti")
+    contenders = base.join(changed, same_key, "left_semi").unionByName(deltas)
+    return untouched.unionByName(latest_by_key(contenders, keys, order))
 
 
 def read_latest(

@@ -137,7 +137,9 @@ def test_failing_batch_fails_the_run_and_is_made_up_for(spark, tmp_path):
     assert stored.count() == 100 == len(set(ids(stored)))
 
 
-def test_upsert_keeps_the_last_write(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
+def test_upsert_keeps_the_last_write(spark, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", broadcast_rows)
     root, keys = str(tmp_path), ["reg_id"]
     sink = keyed.upsert_files(f"{root}/table")
 
@@ -159,6 +161,32 @@ def test_upsert_keeps_the_last_write(spark, tmp_path):
     assert current() == expected
 
 
+def test_small_changes_leave_the_base_in_place(spark, tmp_path):
+    root, keys = str(tmp_path), ["k", "part"]
+    rows = spark.range(1000).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("a").alias("part"), F.lit(0).alias("v")
+    )
+    sink = keyed.upsert_files(root)
+    sink.write(rows, 0)
+    keyed.compact(spark, root, keys)
+    assert "Exchange" not in keyed.read_latest(spark, root, keys)._jdf.queryExecution().toString()
+    sink.write(rows.filter("k IS NULL OR k % 10 = 0").withColumn("v", F.lit(1)), 1)
+    sink.write(rows.limit(1).selectExpr("5000L AS k", "part", "2 AS v"), 2)
+    latest = keyed.read_latest(spark, root, keys)
+    assert {row["v"]: row["count"] for row in latest.groupBy("v").count().collect()} == {
+        0: 900,
+        1: 100,
+        2: 1,
+    }
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # The untouched rows of the base: a join with the broadcast keys right over its scan.
+    untouched = plan[plan.index("LeftAnti") : plan.index("BroadcastExchange")]
+    assert "FileScan parquet" in untouched and "hashpartitioning" not in untouched
+    assert keyed.compact(spark, root, keys) == 2
+    assert keyed.read_latest(spark, root, keys).exceptAll(latest).count() == 0
+
+
 def test_unfinished_base_is_not_read(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, root, "a", range(10))
