@@ -27,6 +27,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=["keep", "quarantine"], default="keep")
     parser.add_argument("--ids", choices=["stable", "random"], default="stable")
     parser.add_argument("--elevation", choices=["double", "int_strict"], default="double")
+    parser.add_argument("--min-partitions", type=int, help="Kafka: least tasks per micro-batch")
+    parser.add_argument("--max-offsets", type=int, help="Kafka: most records per micro-batch")
     parser.add_argument("--source-tz", help="zone of timestamps without an offset")
     arguments = parser.parse_args(argv)
     if arguments.log.partition(":")[0] not in ("kafka", "files"):
@@ -62,7 +64,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session(f"feedloom-{arguments.feed}")
     kind, _, where = arguments.log.partition(":")
     if kind == "kafka":
-        log = logs.read_kafka(spark, logs.kafka_options(feed.topic, where))
+        kafka = logs.kafka_options(
+            feed.topic,
+            where,
+            min_partitions=arguments.min_partitions,
+            max_offsets=arguments.max_offsets,
+        )
+        log = logs.read_kafka(spark, kafka)
     else:
         log = logs.stream_files(spark, where, feed.topic)
     options = {
