@@ -24,7 +24,10 @@ _TEXT_DAILY_KEYS = {"time", "weathercode"}
 
 WEATHER_RECORD = StructType(
     [
-        *[StructField(key, StringType() if key in _TEXT_KEYS else DoubleType()) for key in RESPONSE_KEYS],
+        *[
+            StructField(key, StringType() if key in _TEXT_KEYS else DoubleType())
+            for key in RESPONSE_KEYS
+        ],
         StructField(
             "daily",
             StructType(
@@ -36,7 +39,9 @@ WEATHER_RECORD = StructType(
                 ]
             ),
         ),
-        StructField("daily_units", StructType([StructField(key, StringType()) for key in DAILY_KEYS])),
+        StructField(
+            "daily_units", StructType([StructField(key, StringType()) for key in DAILY_KEYS])
+        ),
     ]
 )
 

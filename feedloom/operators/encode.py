@@ -23,8 +23,8 @@ def to_log(
 
     The document is built from ``document`` (all columns by default), or is ``text`` where the row
     already holds one. Without explicit positions the writing task gives them out; such a log has to
-    be written before it is read, since a recomputed task may number its rows otherwise. Records of a
-    stream have none until they are written.
+    be written before it is read, since a recomputed task may number its rows otherwise. Records of
+    a stream have none until they are written.
     """
     if text is None:
         fields = [F.col(c) if isinstance(c, str) else c for c in document or df.columns]

@@ -56,11 +56,10 @@ def coerce_to_sink(
     types = {field.name: field.dataType for field in df.schema}
     columns = []
     for field in sink:
-        column = F.col(field.name)
-        if types[field.name] != field.dataType:
-            if types[field.name].typeName() == "string" and field.dataType.typeName() == "timestamp":
-                column = to_instant(column, source_tz)
-            else:
-                column = column.try_cast(field.dataType)
+        column, has, wants = F.col(field.name), types[field.name], field.dataType
+        if has.typeName() == "string" and wants.typeName() == "timestamp":
+            column = to_instant(column, source_tz)
+        elif has != wants:
+            column = column.try_cast(wants)
         columns.append(column.alias(field.name))
     return df.select(*columns, *(extra or []))

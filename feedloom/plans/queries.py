@@ -744,7 +744,7 @@ def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = to_log(documents, "weather", text=F.col("document"), offset=F.col("o_orderkey"))
     schema = StructType(
         [
-            *[field for field in schemas.weather_wire() if field.name not in ("daily", "elevation")],
+            *[f for f in schemas.weather_wire() if f.name not in ("daily", "elevation")],
             StructField("extra", StructType([StructField("a", StringType())])),
         ]
     )

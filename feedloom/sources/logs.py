@@ -51,7 +51,9 @@ def kafka_options(
     return options
 
 
-def read_kafka(spark: SparkSession, options: dict[str, str], *, streaming: bool = True) -> DataFrame:
+def read_kafka(
+    spark: SparkSession, options: dict[str, str], *, streaming: bool = True
+) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
     return reader.format("kafka").options(**options).load()
 
@@ -82,7 +84,9 @@ def stream_files(
     return reader.parquet(topic_path(root, topic))
 
 
-def publish_files(log: DataFrame, root: str, topic: str, run: str, *, replace: bool = False) -> None:
+def publish_files(
+    log: DataFrame, root: str, topic: str, run: str, *, replace: bool = False
+) -> None:
     """Write log records as one run of a topic. A run that exists is refused unless ``replace``."""
     mode = "overwrite" if replace else "errorifexists"
     log.write.mode(mode).parquet(run_path(root, topic, run))
