@@ -62,14 +62,19 @@ def plan_requests(feed: str, regions: DataFrame, run_date: str) -> DataFrame:
 def publish_landed(
     feed: str, landed: DataFrame, *, log_root: str, rejects: str, run: str, replace: bool = False
 ) -> None:
-    """Landed responses of one run to the feed's log; those that cannot go on to ``rejects``."""
+    """Landed responses of one run to the feed's log; those that cannot go on to ``rejects``.
+
+    The log comes last: a run that fails before it is published can simply be repeated.
+    """
     spec = FEEDS[feed]
+    if not replace:
+        logs.refuse_published(landed.sparkSession, log_root, spec.topic, run)
     # Two writes from one parse; blocks of a lost executor are made again from the landed files.
     documents = spec.documents(landed).persist(StorageLevel.DISK_ONLY)
     try:
+        refused = parse.rejected(documents)
+        refused.write.mode("overwrite").parquet(f"{rejects}/{feed}/run={run}")
         logs.publish_files(spec.log(documents), log_root, spec.topic, run, replace=replace)
-        mode = "overwrite" if replace else "errorifexists"
-        parse.rejected(documents).write.mode(mode).parquet(f"{rejects}/{feed}/run={run}")
     finally:
         documents.unpersist()
 

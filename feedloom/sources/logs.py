@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from feedloom.schemas import LOG_RECORD
+from feedloom.sources import storage
 
 # Bytes of log files per micro-batch.
 MAX_BATCH_BYTES = 2**40
@@ -84,12 +85,22 @@ def stream_files(
     return reader.parquet(topic_path(root, topic))
 
 
+def refuse_published(spark: SparkSession, root: str, topic: str, run: str) -> None:
+    if storage.is_written(spark, run_path(root, topic, run)):
+        raise ValueError(f"run {run!r} of topic {topic!r} already exists")
+
+
 def publish_files(
     log: DataFrame, root: str, topic: str, run: str, *, replace: bool = False
 ) -> None:
-    """Write log records as one run of a topic. A run that exists is refused unless ``replace``."""
-    mode = "overwrite" if replace else "errorifexists"
-    log.write.mode(mode).parquet(run_path(root, topic, run))
+    """Write log records as one run of a topic.
+
+    A run that has been published is refused unless ``replace``; what is left of a publish that did
+    not finish is written over.
+    """
+    if not replace:
+        refuse_published(log.sparkSession, root, topic, run)
+    log.write.mode("overwrite").parquet(run_path(root, topic, run))
 
 
 def publish_kafka(log: DataFrame, topic: str, servers: str) -> None:

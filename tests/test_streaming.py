@@ -98,8 +98,32 @@ def test_new_checkpoint_on_a_filled_sink_is_refused(spark, tmp_path):
 
 def test_run_is_published_once(spark, tmp_path):
     publish(spark, str(tmp_path), "a", range(10))
-    with pytest.raises(Exception, match="already exists"):
+    with pytest.raises(ValueError, match="already exists"):
         publish(spark, str(tmp_path), "a", range(10))
+    (tmp_path / TOPIC / "run=a" / "_SUCCESS").unlink()
+    publish(spark, str(tmp_path), "a", range(7))
+    assert logs.read_files(spark, str(tmp_path), TOPIC).count() == 7
+
+
+def test_failed_publish_can_be_repeated(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    body = '[{"RegId":1}]'
+    rows = [("1", "T", "d", status, body) for status in (200, 500)]
+    responded = spark.createDataFrame(rows, schemas.LANDED_RESPONSE)
+
+    def run():
+        paths = {"log_root": f"{root}/log", "rejects": f"{root}/rejects"}
+        daily.publish_landed("warnings", responded, run="r", **paths)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(logs, "publish_files", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    run()
+    assert logs.read_files(spark, f"{root}/log", TOPIC).count() == 1
+    assert spark.read.parquet(f"{root}/rejects/warnings").count() == 1
+    with pytest.raises(ValueError, match="already exists"):
+        run()
 
 
 def test_catalog_table(spark, tmp_path):
