@@ -49,7 +49,7 @@ class Rolling(NamedTuple):
         """Hashes of all slices of one length, by their starts."""
         n = max(0, len(self.sums) - length)
         raw = (self.sums[length : length + n] - self.sums[:n]) * self.inverse[:n]
-        return mix(raw + _U(length) * _U(0xD6E8FEB86659FD93))
+        return mix(raw + _U(length * 0xD6E8FEB86659FD93 % 2**64))
 
 
 def rolling(codes: np.ndarray) -> Rolling:

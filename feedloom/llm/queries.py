@@ -13,6 +13,8 @@ from feedloom.llm import (
     positional_index,
     quality,
     sentence_pieces,
+    substring_index,
+    suffix_dedup,
     url_filter,
 )
 from feedloom.llm.tables import table
@@ -71,6 +73,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_index.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentence_pieces.encode(
         table(spark, sf_dir, "documents"), PIECE_MODEL, outputs=("ids", "decoded")
@@ -85,7 +99,8 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op3_decontamination, op4_url_filter, op5_quality, op6_language_id, op9_sentence_pieces,
+        op3_decontamination, op4_url_filter, op5_quality, op6_language_id, op7_substring_dedup,
+        op8_suffix_dedup, op9_sentence_pieces,
     )
 }
 
