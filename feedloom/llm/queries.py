@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import (
     language_id,
+    ngram_join,
     positional_index,
     quality,
     sentence_pieces,
@@ -30,6 +31,11 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % 5 == 0
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -99,7 +105,7 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op3_decontamination, op4_url_filter, op5_quality, op6_language_id, op7_substring_dedup,
+        op1_ngram_join, op3_decontamination, op4_url_filter, op5_quality, op6_language_id, op7_substring_dedup,
         op8_suffix_dedup, op9_sentence_pieces,
     )
 }
