@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from feedloom.llm.arrays import chunks, owners
+from feedloom.llm.tables import stored
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -148,17 +149,28 @@ def fit(
     per_language: int = 600, windows_per_text: int = 3,
 ) -> Network | None:
     """A network learnt from the rows with a text and a language; None without any."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
-    rows = (
+    rank = Window.partitionBy("lang").orderBy("order", "key")
+    usable = (
         df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
         .where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER))
+        .withColumn("order", F.xxhash64("key", "text"))
+    )
+    # Texts stay where they are; only keys are ranked.
+    chosen = stored(
+        usable.select("lang", "key", "order")
         .withColumn("rank", F.row_number().over(rank))
-        .where(F.col("rank") <= per_language)
-        .select("lang", "text", "rank")
+        .where(F.col("rank") <= per_language),
+        "language-sample",
+    )
+    same = [usable[c].eqNullSafe(chosen[c]) for c in ("lang", "key", "order")]
+    rows = (
+        usable.join(chosen, same)
+        .select(usable["lang"], "text", "rank")
         .mapInArrow(
             lambda batches: _windows_of(batches, windows_per_text),
             "lang string, rank int, part int, bytes binary",
         )
+        .distinct()
         .orderBy("lang", "rank", "part")
         .collect()
     )
@@ -191,17 +203,19 @@ def _windows_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
 
 
 def predict(
-    df: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text"
+    df: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """The key column, ``lang_pred`` and ``score`` for every row."""
+    """The key column (or the columns in ``keep``), ``lang_pred`` and ``score`` for every row."""
+    keep = keep or [key]
     schema = StructType(
-        [StructField("_key", df.schema[key].dataType), StructField("lang_pred", StringType()),
-         StructField("score", DoubleType())]
+        [StructField(f"_{i}", df.schema[name].dataType) for i, name in enumerate(keep)]
+        + [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lettered = batch.column(1), batch.column(2).to_pylist()
+            texts, lettered = batch.column(0), batch.column(1).to_pylist()
             langs: list[str] = [UNDETERMINED] * batch.num_rows
             scores = np.zeros(batch.num_rows)
             for chunk in chunks(texts, 1 << 18) if network else ():
@@ -218,10 +232,13 @@ def predict(
                         langs[chunk.first + row] = network.languages[best[row]]
                         scores[chunk.first + row] = min(1.0, odds[row, best[row]])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores)],
-                ["_key", "lang_pred", "score"],
+                [*batch.columns[2:], pa.array(langs, pa.string()), pa.array(scores)],
+                schema.names,
             )
 
     lettered = F.coalesce(F.col(text).rlike(LETTER), F.lit(False))
-    picked = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), lettered.alias("_l"))
-    return picked.mapInArrow(run, schema).withColumnRenamed("_key", key)
+    picked = df.select(
+        F.col(text).alias("_text"), lettered.alias("_lettered"),
+        *[F.col(name).alias(f"_{i}") for i, name in enumerate(keep)],
+    )
+    return picked.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import (
     language_id,
+    licenses,
+    nearest,
     ngram_join,
     positional_index,
     quality,
@@ -36,6 +38,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = positional_index.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -102,11 +108,15 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_ngram_join, op3_decontamination, op4_url_filter, op5_quality, op6_language_id, op7_substring_dedup,
-        op8_suffix_dedup, op9_sentence_pieces,
+        op1_ngram_join, op2_license_scan, op3_decontamination, op4_url_filter, op5_quality,
+        op6_language_id, op7_substring_dedup, op8_suffix_dedup, op9_sentence_pieces, op10_nearest,
     )
 }
 

@@ -384,12 +384,17 @@ def _searched(kind: Kind, search: Search) -> Callable:
     return run
 
 
-def with_repeats(df: DataFrame, kind: Kind, search: Search, key: str, text: str) -> DataFrame:
-    """Every row's key (as ``key``), ``text`` and ``repeated``, its spans as packed places or null."""
+def with_repeats(
+    df: DataFrame, kind: Kind, search: Search, key: str, text: str, keep: list[str]
+) -> DataFrame:
+    """Every row's ``text``, ``repeated`` (its spans as packed places, or null) and kept columns.
+
+    The columns of ``keep`` come under the names ``_0``, ``_1`` and so on.
+    """
     shards = shuffle_partitions(df.sparkSession)
     rows = df.select(
-        F.col(key).alias("key"), F.col(key).cast("bigint").alias("doc"),
-        F.xxhash64(key, text).alias("row_key"), F.col(text).alias("text"),
+        F.col(key).cast("bigint").alias("doc"), F.xxhash64(key, text).alias("row_key"),
+        F.col(text).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)],
     )
     packets = (
         rows.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
@@ -425,7 +430,7 @@ def with_repeats(df: DataFrame, kind: Kind, search: Search, key: str, text: str)
         .agg(F.collect_list("repeated").alias("repeated"))
     )
     return texts.join(found.hint("shuffle_hash"), "row_key", "left").select(
-        "key", "text", "repeated"
+        "text", "repeated", *[f"_{i}" for i in range(len(keep))]
     )
 
 

@@ -150,20 +150,24 @@ def search(symbols: np.ndarray, bounds: np.ndarray, doc: np.ndarray) -> np.ndarr
     return hit
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's key, ``n_words``, ``n_removed`` and ``kept``, its words left, joined by spaces."""
+def remove_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Every row's key (or the columns in ``keep``), ``n_words``, ``n_removed`` and ``kept``, its words left, joined by spaces."""
     kind = repeats.of_words(WINDOW)
-    found = repeats.with_repeats(df, kind, search, key, text)
+    keep = keep or [key]
+    found = repeats.with_repeats(df, kind, search, key, text, keep)
     schema = StructType(
-        [StructField("key", df.schema[key].dataType), StructField("n_words", LongType()),
-         StructField("n_removed", LongType()), StructField("kept", StringType())]
+        [StructField(f"_{i}", df.schema[c].dataType) for i, c in enumerate(keep)]
+        + [StructField("n_words", LongType()), StructField("n_removed", LongType()),
+           StructField("kept", StringType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column(2).to_pylist()
+            blobs = batch.column(1).to_pylist()
             n_words, n_removed, kept = [], [], []
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(0)):
                 cut = words(chunk)
                 raw = chunk.data.tobytes()
                 for row in range(chunk.last - chunk.first):
@@ -179,9 +183,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                     parts = [raw[a:b] for a, b in zip(start.tolist(), stop.tolist())]
                     kept.append(b" ".join(parts).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.string())],
-                ["key", "n_words", "n_removed", "kept"],
+                [*batch.columns[2:], pa.array(n_words, pa.int64()),
+                 pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                schema.names,
             )
 
-    return found.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return found.mapInArrow(run, schema).toDF(*keep, "n_words", "n_removed", "kept")

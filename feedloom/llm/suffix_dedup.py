@@ -91,21 +91,27 @@ def search(symbols: np.ndarray, bounds: np.ndarray, doc: np.ndarray) -> np.ndarr
     return hit & (np.arange(len(symbols)) + LENGTH <= np.repeat(bounds[1:], sizes))
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's key, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the bytes left."""
+def remove_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Every row's key (or the columns in ``keep``), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``.
+
+    ``kept`` holds the bytes that are left.
+    """
     kind = repeats.of_bytes(LENGTH)
-    found = repeats.with_repeats(df, kind, search, key, text)
+    keep = keep or [key]
+    found = repeats.with_repeats(df, kind, search, key, text, keep)
     schema = StructType(
-        [StructField("key", df.schema[key].dataType), StructField("n_bytes", LongType()),
-         StructField("n_removed", LongType()), StructField("n_spans", LongType()),
-         StructField("kept", BinaryType())]
+        [StructField(f"_{i}", df.schema[c].dataType) for i, c in enumerate(keep)]
+        + [StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
+           StructField("n_spans", LongType()), StructField("kept", BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column(2).to_pylist()
+            blobs = batch.column(1).to_pylist()
             counts, kept = [], []
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(0)):
                 raw = chunk.data.tobytes()
                 for row, blob in enumerate(blobs[chunk.first : chunk.last]):
                     low, high = int(chunk.bounds[row]), int(chunk.bounds[row + 1])
@@ -115,8 +121,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                     counts.append((high - low, int((stop - start).sum()), len(start)))
             columns = np.array(counts, np.int64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c) for c in columns), pa.array(kept, pa.binary())],
-                ["key", "n_bytes", "n_removed", "n_spans", "kept"],
+                [*batch.columns[2:], *(pa.array(c) for c in columns), pa.array(kept, pa.binary())],
+                schema.names,
             )
 
-    return found.mapInArrow(run, schema).withColumnRenamed("key", key)
+    names = ["n_bytes", "n_removed", "n_spans", "kept"]
+    return found.mapInArrow(run, schema).toDF(*keep, *names)
