@@ -21,6 +21,11 @@ WINDOW_WORDS = 13
 # Terms per phrase whose lists are intersected one by one before the rest is checked at once.
 RAREST = 2
 
+# A filter of hashed values has so many places at most, so it can go to every task whatever the input.
+FILTER_PLACES = 1 << 20
+# Postings are looked up by stretches of so many words.
+STRETCH = 32
+
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _END = ""  # the term of a document's last posting, which stands behind its words
 
@@ -53,6 +58,17 @@ def phrases(items: DataFrame, key: str, text: str, length: int = WINDOW_WORDS) -
     )
 
 
+def _likely(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """Rows that may have an equal in ``wanted``, by hashes of these columns; the others cannot.
+
+    The set of hashes is bounded by FILTER_PLACES and is broadcast. It only spares the join that has
+    to follow.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_PLACES))
+    held = F.broadcast(wanted.select(place.alias("_place")).distinct())
+    return rows.withColumn("_place", place).join(held, "_place", "left_semi").drop("_place")
+
+
 def build_index(
     documents: DataFrame, key: str, text: str, terms: DataFrame | None = None
 ) -> DataFrame:
@@ -68,18 +84,15 @@ def build_index(
     if terms is not None:
         end = terms.sparkSession.createDataFrame([(_END,)], "term string")
         wanted = terms.select("term").union(end).distinct()
-        postings = postings.join(wanted, "term", "left_semi")
+        postings = _likely(postings, wanted, "term").join(wanted, "term", "left_semi")
     return postings.select("term", "key", "hash", "position")
 
 
-def _listed(found: DataFrame, size: Column) -> DataFrame:
-    """A phrase's terms, the rarest first, with the offset of each; ``rank`` counts from 1."""
-    rank = Window.partitionBy("phrase_id").orderBy("n", "offset")
-    return found.withColumn("rank", F.row_number().over(rank)).withColumn("n_terms", size)
-
-
 def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Every occurrence ``(phrase_id, key, hash, start, size)`` of the phrases in the index."""
+    """Every occurrence ``(phrase_id, key, hash, start, size)`` of the phrases in the index.
+
+    Rows that repeat both key and text have equal postings; each occurrence is returned once.
+    """
     counts = index.where(F.col("term") != _END).groupBy("term").agg(F.count("*").alias("n"))
     terms = wanted.select(
         "phrase_id", F.size("phrase").alias("size"),
@@ -98,14 +111,14 @@ def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
     )
     postings = index.where(F.col("key").isNotNull())
     first = ranked.where("rank = 1")
-    hits = postings.join(first, "term").select(
+    hits = _likely(postings, first, "term").join(first, "term").select(
         "phrase_id", "key", "hash", (F.col("position") - F.col("offset")).alias("start"), "size"
     )
     hits = hits.where("start >= 0")
     for rank in range(2, RAREST + 1):
         # The lists of the next terms, shifted by their offsets.
         following = ranked.where(F.col("rank") == rank)
-        shifted = postings.join(following, "term").select(
+        shifted = _likely(postings, following, "term").join(following, "term").select(
             "phrase_id", "key", "hash", (F.col("position") - F.col("offset")).alias("start")
         )
         short = hits.where(F.col("size") < rank)
@@ -113,20 +126,19 @@ def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
             shifted, ["phrase_id", "key", "hash", "start"], "left_semi"
         )
         hits = both.union(short)
-    hits = stored(hits, "phrase-candidates")
+    hits = stored(hits.distinct(), "phrase-candidates")
     rest = ranked.where(F.col("rank") > RAREST)
-    docs = stored(hits.select("key", "hash").distinct(), "phrase-documents")
-    lists = postings.join(rest.select("term").distinct(), "term", "left_semi").join(
-        docs, ["key", "hash"], "left_semi"
-    )
     probes = hits.join(rest.select("phrase_id", "term", "offset"), "phrase_id").select(
         "phrase_id", "key", "hash", "start", "size", "term",
         (F.col("start") + F.col("offset")).alias("position"),
     )
+    stretch = F.floor(F.col("position") / STRETCH).alias("stretch")
+    asked = probes.select("key", "hash", stretch).distinct()
+    lists = _likely(postings.select("*", stretch), asked, "key", "hash", "stretch")
     full = (
-        probes.join(lists, ["key", "hash", "position", "term"])
+        probes.join(lists.drop("stretch"), ["key", "hash", "position", "term"])
         .groupBy("phrase_id", "key", "hash", "start", "size")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count_distinct("position").alias("n"))
         .where(F.col("n") == F.col("size") - RAREST)
         .drop("n")
     )
@@ -196,8 +208,7 @@ def contamination(
     wanted = stored(phrases(benchmark, item_key, item_text), "benchmark-windows")
     terms = wanted.select(F.explode("phrase").alias("term")).distinct()
     index = stored(build_index(documents, key, text, terms), "postings")
-    # Rows that repeat both key and text have equal postings; each place counts once.
-    found = find_phrases(index, wanted).distinct()
+    found = find_phrases(index, wanted)
     ends = index.where(F.col("term") == _END).select(
         "key", "hash", F.col("position").cast("bigint").alias("n_words")
     )
