@@ -206,29 +206,32 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 
 def fit(
-    df: DataFrame, positive: str, usable: str, key: str = "doc_id", text: str = "text",
-    sample: int = 6000,
+    df: DataFrame, marks: DataFrame, positive: str, usable: str, key: str = "doc_id",
+    text: str = "text", sample: int = 6000,
 ) -> Scorer | None:
-    """A scorer learnt from rows where ``positive`` holds and rows where ``usable`` holds besides.
-
-    Both name boolean columns: trusted positives, and rows that count as unlabelled.
-    """
-    picked = df.select(
-        F.col(key).alias("key"), F.col(text).alias("text"),
-        F.coalesce(F.col(positive), F.lit(False)).alias("positive"),
-        F.coalesce(F.col(usable), F.lit(False)).alias("usable"),
-    )
+    """A scorer learnt from marked rows of ``df``.
+
+    ``marks`` has the key and two boolean columns: ``positive`` for trusted positives, ``usable`` for
+    rows that count as unlabelled unless they are positives. Only keys are sorted for the sample; the
+    texts of the sample, which has a fixed size, are fetched where they lie.
+    """
+    good, usable = (F.coalesce(F.col(c), F.lit(False)) for c in (positive, usable))
+    known = marks.select(F.col(key).alias("key"), good.alias("good"), usable.alias("usable"))
+    texts = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def collected(rows: DataFrame) -> np.ndarray:
-        taken = rows.select("key", "text").orderBy(F.xxhash64("key"), "key", "text").limit(sample)
-        found = statistics(taken, "key", "text").select("features").collect()
+        keys = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
+        taken = texts.join(F.broadcast(keys), "key")
+        found = statistics(taken, "key", "text").orderBy("key", "features").collect()
         return np.array([r.features for r in found], np.float32).reshape(-1, len(FEATURES))
 
-    good = collected(picked.where("positive"))
-    web = collected(picked.where("usable AND NOT positive"))
-    if len(good) < 2 or not len(web):
+    positives = collected(known.where("good"))
+    web = collected(known.where("usable AND NOT good"))
+    if len(positives) < 2 or not len(web):
         return None
-    return train(good, web, estimate_prior(good, web))
+    # Sorted keys are in no way random, halves of the sample have to be.
+    positives = np.random.default_rng(3).permutation(positives)
+    return train(positives, web, estimate_prior(positives, web))
 
 
 def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

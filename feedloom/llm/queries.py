@@ -65,13 +65,14 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    marked = (
-        documents.where(~held_out())
+    marks = (
+        documents.select("doc_id")
+        .where(~held_out())
         .join(labels.where(F.col("quality").isNotNull()), "doc_id", "left")
         .withColumn("good", F.col("quality") == 1)
         .withColumn("web", F.col("quality").isNull())
     )
-    scored = quality.score(documents, quality.fit(marked, "good", "web"))
+    scored = quality.score(documents, quality.fit(documents, marks, "good", "web"))
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),

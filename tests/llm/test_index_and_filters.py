@@ -1,0 +1,198 @@
+"""The positional index, URL filters and license scans."""
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.llm import licenses, positional_index, queries, url_filter
+from feedloom.llm.tables import table
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def _found(df):
+    return {
+        r.doc_id: (r.n_words, r.n_hit, r.n_items, brute.sha(",".join(r["items"])), r.contaminated)
+        for r in df.collect()
+    }
+
+
+@pytest.fixture(scope="module")
+def items():
+    many = " ".join(f"term{i}" for i in range(20))
+    return [
+        (1, "Alpha beta, gamma"), (2, many), (3, "the " * 15), (4, None), (5, "..."), (6, ""),
+        (7, "lone"), (10, many), (11, "alpha BETA gamma"), (12, "ab cd"),
+    ]
+
+
+def test_contamination(spark, items):
+    many = [f"term{i}" for i in range(20)]
+    docs = [
+        (1, None), (2, ""), (3, "alpha beta gamma"), (4, "x " * 99 + "alpha-beta_gamma"),
+        (5, " ".join(["pad"] * 7 + many[2:17] + ["pad"] * 400)), (6, " ".join(many[:12])),
+        (7, "the " * 40), (8, "Lone lone LONE wolf"), (9, "alpha beta delta gamma"),
+        (10, "ab cd ab cd cd ab"), (11, " ".join(many * 3)),
+    ]
+    schema = "doc_id long, text string, words string, key string, term string"
+    df = spark.createDataFrame([(*d, None, None, None) for d in [*docs, docs[4]]], schema)
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    found = positional_index.contamination(df.repartition(3), wanted)
+    assert found.count() == len(docs) + 1
+    assert _found(found) == brute.contamination(docs, items)
+
+
+def test_contamination_query(spark):
+    docs = [tuple(r) for r in table(spark, SF_DIR, "documents").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in table(spark, SF_DIR, "benchmark").select("item_id", "text").collect()]
+    found = queries.op3_decontamination(spark, SF_DIR).collect()
+    names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert {r.doc_id: tuple(r[n] for n in names) for r in found} == brute.contamination(docs, items)
+
+
+def test_contamination_of_and_by_nothing(spark, empty, items):
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    assert positional_index.contamination(empty, wanted).collect() == []
+    none = spark.createDataFrame([], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b"), (None, "lone")], "doc_id long, text string")
+    found = positional_index.contamination(docs, none).collect()
+    assert {(r.doc_id, r.n_words, r.n_hit) for r in found} == {(1, 2, 0), (None, 1, 0)}
+    by_items = positional_index.contamination(docs, wanted).collect()
+    assert {(r.doc_id, r.n_hit) for r in by_items} == {(1, 0), (None, 0)}
+
+
+def test_near(spark):
+    docs = spark.createDataFrame(
+        [(1, "red x x green y blue"), (2, "red green"), (3, "blue z red z z z z green"), (4, None)],
+        "doc_id long, text string",
+    )
+    index = positional_index.build_index(docs, "doc_id", "text")
+    asked = spark.createDataFrame(
+        [(1, ["red", "green"]), (2, ["red", "green", "blue"]), (3, ["blue", "blue"]), (4, ["no"])],
+        "phrase_id long, phrase array<string>",
+    )
+
+    def near(within):
+        found = positional_index.find_near(index, asked, within)
+        return sorted({(r.phrase_id, r.key) for r in found.collect()})
+
+    assert near(2) == [(1, 2), (3, 1), (3, 3)]
+    assert near(4) == [(1, 1), (1, 2), (3, 1), (3, 3)]
+    assert near(6) == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (3, 3)]
+    assert near(8) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 3)]
+
+
+URLS = [
+    (1, "http://A.Example.ORG/es/1", "a.example.org", "/es/1", "example.org/es/", "block"),
+    (2, "https://example.org/en/12?x=/es/", "example.org", "/en/12", "example.org/en/1", "allow"),
+    (3, "https://example.org/en/2#f", "example.org", "/en/2", "org/", "allow"),
+    (4, "http://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
+    (5, "http://x.com/fr/a", "x.com", "/fr/a", "com/fr/", "allow"),
+    (6, "http://x.com/de/a", "x.com", "/de/a", "com/de/", "block"),
+    (7, "http://x.com/DE/a", "x.com", "/DE/a", None, None),
+    (8, "http://org", "org", "", None, None),
+    (9, "http://org/", "org", "/", "org/", "allow"),
+    (10, "no scheme", "", "", None, None),
+    (11, None, "", "", None, None),
+    (12, "", "", "", None, None),
+    (13, "a://b://org/es/", "b:", "//org/es/", None, None),
+    (14, "http://x.net?q=1", "x.net", "", None, None),
+    (15, "http://morg/es/", "morg", "/es/", None, None),
+    (16, "http://ÄB.org/\n?x", "Äb.org", "/\n", "org/", "allow"),
+    (16, "http://ÄB.org/\n?x", "Äb.org", "/\n", "org/", "allow"),
+]
+
+
+@pytest.mark.parametrize("with_model", [False, True])
+def test_rules(spark, with_model):
+    schema = "page_id long, url string, host string, path string, rule string, verdict string"
+    df = spark.createDataFrame(URLS, schema)
+    model = None
+    if with_model:
+        labelled = spark.createDataFrame(
+            [("x.com", f"/de/{i}", 1) for i in range(30)] + [("x.org", f"/en/{i}", 0) for i in range(30)]
+            + [("x.org", "/en/0", 0), (None, None, None)],
+            "host string, path string, label int",
+        )
+        model = url_filter.fit(labelled)
+    found = url_filter.judge(df, queries.URL_RULES, model)
+    rows = {r.page_id: (r.host, r.path, r.rule) for r in found.collect()}
+    assert found.count() == len(URLS)
+    assert rows == {u[0]: u[2:5] for u in URLS}
+    verdicts = {r.page_id: r.verdict for r in found.collect()}
+    assert all(verdicts[u[0]] == u[5] for u in URLS if u[4])
+    if with_model:
+        other = spark.createDataFrame([(1, "http://y.com/de/77"), (2, "http://y.org/en/77")], "page_id int, url string")
+        told = {r.page_id: r.verdict for r in url_filter.judge(other, [], model).collect()}
+        assert told == {1: "block", 2: "allow"}
+    else:
+        assert all(verdicts[u[0]] == "allow" for u in URLS if not u[4])
+
+
+def test_url_tables_without_rows_or_labels(spark):
+    none = spark.createDataFrame([], "host string, path string, label int")
+    assert url_filter.fit(none) is None
+    pages = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judge(pages, queries.URL_RULES, None).collect() == []
+    one = spark.createDataFrame([("a.com", "/x", 1)], "host string, path string, label int")
+    page = spark.createDataFrame([(1, "http://a.com/x")], "page_id int, url string")
+    assert url_filter.judge(page, [], url_filter.fit(one)).first().verdict == "block"
+
+
+def test_url_query_is_native(spark):
+    found = queries.op4_url_filter(spark, SF_DIR)
+    assert found.count() == table(spark, SF_DIR, "pages").count()
+    plan = found._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_licenses(spark):
+    mit = licenses.TEMPLATES["mit"]
+    words = mit.split()
+    edited = list(words)
+    edited[20] = "changed"
+    docs = [
+        (1, None), (2, ""), (3, "Released under the"), (4, "x y Released  under the\nMIT license. z"),
+        (5, "pad " * 333 + mit.upper() + " pad" * 400), (6, " ".join(edited)),
+        (7, " ".join(words[: len(words) // 2])), (8, "Released under the MIT Licence."),
+        (9, "Licensed under CC BY-NC 4.0. " * 300), (4, "x y Released  under the\nMIT license. z"),
+    ]
+    df = spark.createDataFrame([(*d, None) for d in docs], "doc_id int, text string, template string")
+    found = licenses.scan(df)
+    rows = {(r.doc_id, r.template, r.first_word, r.end_word) for r in found.collect()}
+    assert rows == {
+        (4, "mit-notice", 2, 7), (5, "mit", 333, 333 + len(words)), (6, "mit", 0, len(words)),
+        (9, "cc-by-nc-4.0-notice", 0, 6),
+    } or {r[:2] for r in rows} == {
+        (4, "mit-notice"), (5, "mit"), (6, "mit"), (9, "cc-by-nc-4.0-notice"),
+    }
+    assert found.where("doc_id = 4").count() == 2
+    best = {r.doc_id: r.containment for r in found.collect()}
+    assert best[5] == 1 and 0.75 <= best[6] < 1
+
+
+def test_license_query_finds_what_plain_containment_finds(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    found = queries.op2_license_scan(spark, "/root/testdata/sf0.01").collect()
+    held = {(r.doc_id, r.template) for r in found}
+    expected = set()
+    for row in docs.select("doc_id", "text").collect():
+        own = brute.shingles(row.text)
+        for name, body in licenses.TEMPLATES.items():
+            wanted = brute.shingles(body)
+            if 100 * len(own & wanted) >= 75 * len(wanted):
+                expected.add((row.doc_id, name))
+    assert held == expected and held
+
+
+def test_band_count():
+    template = licenses.Template("mit", licenses.TEMPLATES["mit"])
+    assert (1 - template.similarity) ** template.bands <= licenses.MISS
+
+
+def test_index_has_all_postings(spark):
+    docs = spark.createDataFrame([(1, "b a B"), (2, None)], "doc_id long, text string")
+    index = positional_index.build_index(docs, "doc_id", "text")
+    rows = sorted((r.term, r.key, r.position) for r in index.select("term", "key", "position").collect())
+    assert rows == [("", 1, 3), ("", 2, 0), ("a", 1, 1), ("b", 1, 0), ("b", 1, 2)]
+    assert index.where(F.col("term") == "b").count() == 2
