@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.arrays import Chunk, chunks, mix, word_codes, words
 from feedloom.llm.components import components
-from feedloom.llm.tables import shuffle_partitions, stored
+from feedloom.llm.tables import likely, shuffle_partitions, stored
 
 _U = np.uint64
 PERCENT = 75
@@ -361,8 +361,8 @@ def _coarse(percent: int):
     return run
 
 
-def coarse_links(pairs: DataFrame, classes: DataFrame, percent: int, most: int) -> DataFrame:
-    """Links between classes that the bucket counts do not keep apart.
+def coarse_links(pairs: DataFrame, counts: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links between classes that the bucket counts ``(class, counts)`` do not keep apart.
 
     A region with more than ``most`` members is not compared here: it counts as linked, and the exact
     join takes it apart.
@@ -375,9 +375,11 @@ def coarse_links(pairs: DataFrame, classes: DataFrame, percent: int, most: int)
     small = sized.where(F.col("n") <= most)
     own = small.select("pivot", "member").union(small.select("pivot", "pivot").distinct())
     shards = shuffle_partitions(pairs.sparkSession)
-    counted = own.join(
-        classes.select(F.col("class").alias("member"), "counts"), "member"
-    ).withColumn("shard", F.pmod(F.xxhash64("pivot"), F.lit(shards)))
+    # Only counts of members of regions move, once for each class.
+    named = likely(counts.withColumnRenamed("class", "member"), own, "member")
+    counted = own.join(named.dropDuplicates(["member"]), "member").withColumn(
+        "shard", F.pmod(F.xxhash64("pivot"), F.lit(shards))
+    )
     links = counted.groupBy("shard").applyInArrow(_coarse(percent), "a long, b long")
     return links.union(large)
 
@@ -540,13 +542,12 @@ def similar_groups(
     rows = _rows(df, key, text)
     described = stored(describe(rows, n), "sets")
     whole = described.where("class IS NOT NULL AND key IS NOT NULL")
-    classes = whole.groupBy("class").agg(
-        F.min("key").alias("first"), F.first("counts").alias("counts"), F.first("size").alias("size")
-    )
+    classes = whole.groupBy("class").agg(F.min("key").alias("first"), F.first("size").alias("size"))
+    counts = whole.select("class", "counts")
     taking_part = rows.where("key IS NOT NULL AND text IS NOT NULL")
     weight = element_weights(taking_part.select("text"))
     pairs = stored(regions(postings(taking_part, weight, n, percent)), "regions")
-    apart = components(coarse_links(pairs, classes, percent, region_members))
+    apart = components(coarse_links(pairs, counts, percent, region_members))
     members = stored(
         apart.join(classes.select(F.col("class").alias("node"), "first", "size"), "node").select(
             F.col("component").alias("cell"), F.col("node").alias("member"), "size", "first"
@@ -580,5 +581,5 @@ def _texts_of(rows: DataFrame, firsts: DataFrame, n: int) -> DataFrame:
             same = pa.array([a == b for a, b in zip(names, batch.column(0).to_pylist())])
             yield batch.filter(same)
 
-    picked = rows.join(firsts, "key").select("member", "text")
+    picked = likely(rows, firsts, "key").join(firsts, "key").select("member", "text")
     return picked.mapInArrow(run, "member long, text string").dropDuplicates(["member"])

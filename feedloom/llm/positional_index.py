@@ -15,14 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.tables import stored
+from feedloom.llm.tables import likely, stored
 
 WINDOW_WORDS = 13
 # Terms per phrase whose lists are intersected one by one before the rest is checked at once.
 RAREST = 2
 
-# A filter of hashed values has so many places at most, so it can go to every task whatever the input.
-FILTER_PLACES = 1 << 20
 # Postings are looked up by stretches of so many words.
 STRETCH = 32
 
@@ -58,17 +56,6 @@ def phrases(items: DataFrame, key: str, text: str, length: int = WINDOW_WORDS) -
     )
 
 
-def _likely(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
-    """Rows that may have an equal in ``wanted``, by hashes of these columns; the others cannot.
-
-    The set of hashes is bounded by FILTER_PLACES and is broadcast. It only spares the join that has
-    to follow.
-    """
-    place = F.pmod(F.xxhash64(*columns), F.lit(FILTER_PLACES))
-    held = F.broadcast(wanted.select(place.alias("_place")).distinct())
-    return rows.withColumn("_place", place).join(held, "_place", "left_semi").drop("_place")
-
-
 def build_index(
     documents: DataFrame, key: str, text: str, terms: DataFrame | None = None
 ) -> DataFrame:
@@ -84,7 +71,7 @@ def build_index(
     if terms is not None:
         end = terms.sparkSession.createDataFrame([(_END,)], "term string")
         wanted = terms.select("term").union(end).distinct()
-        postings = _likely(postings, wanted, "term").join(wanted, "term", "left_semi")
+        postings = likely(postings, wanted, "term").join(wanted, "term", "left_semi")
     return postings.select("term", "key", "hash", "position")
 
 
@@ -111,14 +98,14 @@ def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
     )
     postings = index.where(F.col("key").isNotNull())
     first = ranked.where("rank = 1")
-    hits = _likely(postings, first, "term").join(first, "term").select(
+    hits = likely(postings, first, "term").join(first, "term").select(
         "phrase_id", "key", "hash", (F.col("position") - F.col("offset")).alias("start"), "size"
     )
     hits = hits.where("start >= 0")
     for rank in range(2, RAREST + 1):
         # The lists of the next terms, shifted by their offsets.
         following = ranked.where(F.col("rank") == rank)
-        shifted = _likely(postings, following, "term").join(following, "term").select(
+        shifted = likely(postings, following, "term").join(following, "term").select(
             "phrase_id", "key", "hash", (F.col("position") - F.col("offset")).alias("start")
         )
         short = hits.where(F.col("size") < rank)
@@ -134,7 +121,7 @@ def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
     )
     stretch = F.floor(F.col("position") / STRETCH).alias("stretch")
     asked = probes.select("key", "hash", stretch).distinct()
-    lists = _likely(postings.select("*", stretch), asked, "key", "hash", "stretch")
+    lists = likely(postings.select("*", stretch), asked, "key", "hash", "stretch")
     full = (
         probes.join(lists.drop("stretch"), ["key", "hash", "position", "term"])
         .groupBy("phrase_id", "key", "hash", "start", "size")

@@ -169,10 +169,10 @@ def _plain_neighbours(rows, is_query, k):
 
 def test_neighbours_edges(spark):
     rng = np.random.default_rng(2)
-    good = [(i, rng.normal(0, 3, 5).tolist()) for i in range(1, 9)] + [(100, [1.0, 0, 0, 0, 0])]
-    good += [(200 + i, [1.0, 0, 0, 0, 0]) for i in range(30)]
-    bad = [(300, None), (400, [0.0] * 5), (500, [1.0, None, 0, 0, 0]), (600, [float("nan")] * 5),
-           (700, [float("inf"), 0, 0, 0, 0]), (800, [1.0, 2.0]), (None, [1.0] * 5), (900, [])]
+    good = [(i, rng.normal(0, 3, 5).tolist()) for i in range(1, 9)] + [(100, [1.0, 0.0, 0.0, 0.0, 0.0])]
+    good += [(200 + i, [1.0, 0.0, 0.0, 0.0, 0.0]) for i in range(30)]
+    bad = [(300, None), (400, [0.0] * 5), (500, [1.0, None, 0.0, 0.0, 0.0]), (600, [float("nan")] * 5),
+           (700, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (800, [1.0, 2.0]), (None, [1.0] * 5), (900, [])]
     rows = [*good, *bad, good[-1], good[0]]
     df = spark.createDataFrame(
         [(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, score string, part int"
