@@ -14,22 +14,24 @@ def rows_for_box(
 ) -> Column:
     """How many rows of cells keep the cells square, given the number of columns.
 
-    The ratio is rounded half to even. A box without width or height, and one whose spans have
-    opposite signs, gives a count that is NULL or below 1: no cells.
+    The ratio is rounded half to even. A box without width or height, one whose spans have opposite
+    signs, and one so thin that its rows exceed the integers give NULL or less than 1: no cells.
     """
-    lon_step = (lon_to - lon_from) / F.lit(columns)
-    km_per_lon_degree = F.cos(F.radians((lat_from + lat_to) / F.lit(2))) * F.lit(KM_PER_DEGREE)
-    lat_step = lon_step * (km_per_lon_degree / F.lit(KM_PER_DEGREE))
-    ratio = F.rint(F.try_divide(lat_to - lat_from, lat_step))
-    infinite = F.isnan(ratio) | (F.abs(ratio) == F.lit(float("inf")))
-    return F.when(~infinite, ratio.cast("int"))
-
-
-def indexes(count: Column) -> Column:
-    """0 .. count-1; an empty array when there are none."""
-    return F.when(count >= 1, F.sequence(F.lit(0), count - 1)).otherwise(
-        F.array().cast("array<int>")
-    )
+    width, height = lon_to - lon_from, lat_to - lat_from
+    # Fixed formula: which results are rounded, and when, decides ties.
+    km_across = F.cos(F.radians((lat_from + lat_to) / F.lit(2))) * F.lit(KM_PER_DEGREE)
+    cell_height = (width / F.lit(columns)) * (km_across / F.lit(KM_PER_DEGREE))
+    return F.rint(F.try_divide(height, cell_height)).try_cast("int")
+
+
+def blocks(count: Column, size: int) -> Column:
+    """0, size, 2 size .. below count; NULL when there are none."""
+    return F.when(count >= 1, F.sequence(F.lit(0), count - 1, F.lit(size)))
+
+
+def indexes(first: Column, count: Column, size: int) -> Column:
+    """The up to ``size`` indexes from ``first`` that are below ``count``."""
+    return F.sequence(first, first + F.least(count - first, F.lit(size)) - 1)
 
 
 def cell_centre(start: Column, stop: Column, index: Column, count: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    DataType,
     DoubleType,
     StringType,
     StructField,
@@ -66,9 +67,53 @@ def _has_others(names: Column, keys: list[str]) -> Column:
     return F.size(F.array_except(names, _names(keys))) > 0
 
 
+def _type(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
+def _is_scalar(value: Column) -> Column:
+    """Null, text, number or boolean: all that text can stand for."""
+    return ~_type(value).rlike("^(ARRAY|OBJECT)<|^VARIANT$")
+
+
+def _is_number(value: Column) -> Column:
+    return _type(value).rlike(r"^(VOID|BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$")
+
+
+def _is_whole(value: Column) -> Column:
+    """Null or a number that the integer type holds as it is."""
+    as_int = F.try_variant_get(value, "$", "int")
+    same = F.coalesce(as_int.cast("double") == F.try_variant_get(value, "$", "double"), F.lit(False))
+    return (_type(value) == "VOID") | (_is_number(value) & same)
+
+
+_CHECKS = {"string": _is_scalar, "double": _is_number, "int": _is_whole}
+
+
+def _fits(value: Column, kind: DataType) -> Column:
+    """Whether a variant can be cast to this type without loss."""
+    if isinstance(kind, ArrayType):
+        items = F.try_variant_get(value, "$", "array<variant>")
+        each = F.forall(items, lambda item: _fits(item, kind.elementType))
+        return (_type(value) == "VOID") | F.coalesce(each, F.lit(False))
+    return _CHECKS[kind.simpleString()](value)
+
+
+def _all_fit(value: Column, schema: StructType) -> Column:
+    fits = F.lit(True)
+    for field in schema:
+        member = F.try_variant_get(value, f"$.{field.name}", "variant")
+        inner = field.dataType
+        both = _all_fit(member, inner) if isinstance(inner, StructType) else _fits(member, inner)
+        fits = fits & both
+    return fits
+
+
 def decode_weather(responses: DataFrame) -> DataFrame:
     """Adds ``record`` and ``decode_error`` (NULL when the body is a complete weather response).
 
+    A member that its type cannot hold without loss is a ``field_type`` error; null fits all types.
+
     Unknown members are an error inside ``daily`` and ``daily_units`` and ignored at the top.
     """
     items = json_text.with_once(responses, "_items", json_text.read_variant(F.col("body")))
@@ -86,6 +131,7 @@ def decode_weather(responses: DataFrame) -> DataFrame:
         .when(_has_others(units, DAILY_KEYS), "units_unknown_key")
         .when(_lacks(units, DAILY_KEYS), "units_missing_key")
         .when(_lacks(top, RESPONSE_KEYS), "missing_key")
+        .when(~_all_fit(doc, WEATHER_RECORD), "field_type")
     )
     record = F.try_variant_get(doc, "$", WEATHER_RECORD.simpleString())
     return (
@@ -102,7 +148,8 @@ def decode_weather(responses: DataFrame) -> DataFrame:
 def decode_warnings(responses: DataFrame, schema: StructType = WARNING_RECORD) -> DataFrame:
     """One row per member of every sound response, one row with ``decode_error`` per other one.
 
-    A single member with a missing or an unknown name rejects the response as a whole.
+    A single member with a missing or an unknown name, or with a value that its type cannot hold
+    without loss, rejects the response as a whole.
     """
     keys = [field.name for field in schema]
     items = json_text.with_once(responses, "_items", json_text.read_variant(F.col("body")))
@@ -114,8 +161,15 @@ def decode_warnings(responses: DataFrame, schema: StructType = WARNING_RECORD) -
             F.when(member.isNull(), "not_an_object")
             .when(_has_others(names, keys), "unknown_key")
             .when(_lacks(names, keys), "missing_key")
+            .when(~fits(member), "field_type")
         )
 
+    def fits(member: Column) -> Column:
+        result = F.lit(True)
+        for field in schema:
+            result = result & _fits(F.element_at(member, field.name), field.dataType)
+        return result
+
     errors = F.array_compact(F.transform(members, member_error))
     error = (
         F.when(doc.isNull(), "bad_json")

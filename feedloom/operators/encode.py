@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.functions import json_text
@@ -22,28 +22,41 @@ def to_log(
     """Log records with one JSON document per row and no key.
 
     The document is built from ``document`` (all columns by default), or is ``text`` where the row
-    already holds one. Without explicit positions the writing task gives them out; such a log has to
-    be written before it is read, since a recomputed task may number its rows otherwise. Records of
-    a stream have none until they are written.
+    already holds one. Without an explicit position a record's place is a hash of its value: it does
+    not depend on how the rows are split over tasks. Equal documents share one until they are
+    numbered. Records of a stream have none until they are written.
     """
     if text is None:
         fields = [F.col(c) if isinstance(c, str) else c for c in document or df.columns]
         value = json_text.encode(*fields)
     else:
         value = text.cast("binary")
+    own_partition, own_offset = F.lit(0), F.xxhash64("_value")
     if df.isStreaming:
         own_partition, own_offset = F.lit(None), F.lit(None)
-    else:
-        own_partition, own_offset = F.spark_partition_id(), F.monotonically_increasing_id()
     parts = {
         "key": F.lit(None),
-        "value": value,
+        "value": F.col("_value"),
         "topic": F.lit(topic),
         "partition": own_partition if partition is None else partition,
         "offset": own_offset if offset is None else offset,
         "timestamp": F.lit(None) if timestamp is None else timestamp,
         "timestampType": F.lit(0),
     }
-    return df.select(
+    # Encoded once: the position is taken from it too.
+    encoded = json_text.with_once(df, "_value", value) if offset is None else df.withColumn("_value", value)
+    return encoded.select(
         *[parts[field.name].cast(field.dataType).alias(field.name) for field in LOG_RECORD]
     )
+
+
+def number_equal(log: DataFrame) -> DataFrame:
+    """Records placed by their values, with the partition telling equal ones apart, from 0.
+
+    Equal records are interchangeable, so a repeated publish gives the same places. Streams stay as
+    they are.
+    """
+    if log.isStreaming:
+        return log
+    equal = Window.partitionBy("offset", "value").orderBy("offset")
+    return log.withColumn("partition", F.row_number().over(equal) - 1)

@@ -20,6 +20,9 @@ WEATHER_TIMEZONE = "Europe%2FBerlin"
 # Fixed value: grid columns per region.
 GRID_COLUMNS = 5
 
+# Rows of cells that one task makes at a time.
+ROW_BLOCK = 4096
+
 # Days between the run and the day it asks for.
 WARNING_DAYS_BACK = 0
 WEATHER_DAYS_BACK = 1
@@ -68,18 +71,21 @@ def warning_requests(days: DataFrame) -> DataFrame:
 def grid_cells(regions: DataFrame, columns: int = GRID_COLUMNS) -> DataFrame:
     """One row per grid cell of every region, with ``cell_row``, ``cell_col`` and its centre.
 
-    Rows run from the north edge to the south edge, columns from the east edge to the west edge.
+    Rows run from the north edge to the south edge, columns from the east edge to the west edge. A
+    thin box has very many rows of cells: they are dealt over the tasks in blocks.
     """
     north, south = F.col("west_north_lat"), F.col("east_south_lat")
     east, west = F.col("east_south_lon"), F.col("west_north_lon")
     row, col, n_rows = F.col("cell_row"), F.col("cell_col"), F.col("_rows")
     return (
         regions.withColumn("_rows", grid.rows_for_box(north, south, east, west, columns))
-        .select("*", F.explode(grid.indexes(n_rows)).alias("cell_row"))
-        .select("*", F.explode(grid.indexes(F.lit(columns))).alias("cell_col"))
+        .select("*", F.explode(grid.blocks(n_rows, ROW_BLOCK)).alias("_block"))
+        .repartition("region_id", "_block")
+        .select("*", F.explode(grid.indexes(F.col("_block"), n_rows, ROW_BLOCK)).alias("cell_row"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("cell_col"))
         .withColumn("lat", grid.cell_centre(north, south, row, n_rows))
         .withColumn("lon", grid.cell_centre(east, west, col, F.lit(columns)))
-        .drop("_rows")
+        .drop("_rows", "_block")
     )
 
 

@@ -42,7 +42,7 @@ def warning_documents(responses: DataFrame) -> DataFrame:
 
 
 def weather_documents(responses: DataFrame, check_status: bool = True) -> DataFrame:
-    """Adds ``document``, the response's object, and ``reject_reason``.
+    """Adds ``document``, the response's object as it came, and ``reject_reason``.
 
     ``check_status=False`` lets the body of a failed request through when it is an object.
     """
@@ -56,35 +56,75 @@ def weather_documents(responses: DataFrame, check_status: bool = True) -> DataFr
     )
     return (
         parsed.withColumn(REJECT_REASON, reason)
-        .withColumn("document", F.when(F.col(REJECT_REASON).isNull(), value))
+        .withColumn(
+            "document",
+            F.when(F.col(REJECT_REASON).isNull(), F.btrim(F.col("body"), F.lit(_JSON_SPACE))),
+        )
         .drop("_items")
     )
 
 
+# Tokens of a JSON text in which no string holds an escaped quote: strings, marks, and all others.
+_TOKEN = r'"[^"]*"|[{}\[\],:]|[^\s"{}\[\],:]+'
+
+# Stand for an escaped backslash and an escaped quote; JSON texts cannot hold these characters.
+_HELD = [("\\\\", "\x01"), ('\\"', "\x02")]
+
+
+def _members(document: Column) -> Column:
+    """The texts of an object's members, ``"name":value`` without space around the tokens."""
+    for escape, held in _HELD:
+        document = F.replace(document, F.lit(escape), F.lit(held))
+    tokens = F.regexp_extract_all(document, F.lit(_TOKEN), F.lit(0))
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done")
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        depth, text, done = state["depth"], state["open"], state["done"]
+        after = depth + F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
+        begins, ends = depth == 0, (depth == 1) & token.isin(",", "}")
+        return F.struct(
+            after.alias("depth"),
+            F.when(begins | ends, "").otherwise(F.concat(text, token)).alias("open"),
+            F.when(ends & (text != ""), F.array_append(done, text)).otherwise(done).alias("done"),
+        )
+
+    def shown(text: Column) -> Column:
+        for escape, held in _HELD:
+            text = F.replace(text, F.lit(held), F.lit(escape))
+        return text
+
+    return F.transform(F.aggregate(tokens, start, step)["done"], shown)
+
+
 def add_members(document: Column, members: dict[str, Column]) -> Column:
     """The JSON object in ``document`` with these string members set, all others as they were.
 
-    Members go in at the end of the text. Only an object that already has one of the names is taken
-    apart, so that the old value is dropped.
+    Members go in at the end of the text. Only where one of the names occurs in it, the text is taken
+    apart into its members, so that old values are dropped; the others keep their text, so numbers
+    are not read and written again. A name that is spelt with escapes is not recognised.
     """
     added = F.to_json(
         F.struct(*[value.cast("string").alias(name) for name, value in members.items()]),
         {"ignoreNullFields": "false"},
     )
     tail = F.substring(added, F.lit(2), F.length(added))
-
-    def joined(text: Column) -> Column:
-        head = F.substring(text, F.lit(1), F.length(text) - 1)
-        is_empty = F.btrim(head, F.lit("{" + _JSON_SPACE)) == ""
-        return F.when(is_empty, added).otherwise(F.concat(head, F.lit(","), tail))
-
-    names = F.array(*[F.lit(name) for name in members])
-    others = F.map_filter(
-        F.from_json(document, "map<string,variant>"), lambda name, _: ~F.array_contains(names, name)
-    )
-    taken = F.arrays_overlap(F.json_object_keys(document), names)
+    occurs, is_old = F.lit(False), lambda member: F.lit(False)
+    for name in members:
+        key = f'"{name}"'
+        occurs = occurs | document.contains(key)
+        is_old = lambda m, key=key, others=is_old: others(m) | m.startswith(f"{key}:")
+
+    def joined(head: Column) -> Column:
+        return F.when(F.btrim(head, F.lit(_JSON_SPACE)) == "", added).otherwise(
+            F.concat(F.lit("{"), head, F.lit(","), tail)
+        )
+
+    others = F.array_join(F.filter(_members(document), lambda member: ~is_old(member)), ",")
     trimmed = F.btrim(document, F.lit(_JSON_SPACE))
-    return F.when(taken, joined(F.to_json(others))).otherwise(joined(trimmed))
+    inside = F.substring(trimmed, F.lit(2), F.length(trimmed) - 2)
+    return F.when(occurs, joined(others)).otherwise(joined(inside))
 
 
 def enrich_weather(documents: DataFrame) -> DataFrame:

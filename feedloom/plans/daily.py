@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from feedloom import schemas
 from feedloom.operators import parse, requests, responses
 from feedloom.plans import feeds
 from feedloom.sources import landed as landing
-from feedloom.sources import logs
+from feedloom.sources import logs, storage
 from feedloom.streaming import runs
 from feedloom.streaming.sinks import BatchSink, FormatSink
 
@@ -60,39 +61,56 @@ def plan_requests(feed: str, regions: DataFrame, run_date: str) -> DataFrame:
 
 
 def publish_landed(
-    feed: str, landed: DataFrame, *, log_root: str, rejects: str, run: str, replace: bool = False
-) -> None:
+    feed: str, landed: DataFrame, *, log: logs.Log, rejects: str, run: str
+) -> bool:
     """Landed responses of one run to the feed's log; those that cannot go on to ``rejects``.
 
-    The log comes last: a run that fails before it is published can simply be repeated.
+    The log comes last: a run that fails before it is published can simply be repeated. A run that
+    has been published is final: nothing is written then, and the answer is False.
     """
-    spec = FEEDS[feed]
-    if not replace:
-        logs.refuse_published(landed.sparkSession, log_root, spec.topic, run)
-    # Two writes from one parse; blocks of a lost executor are made again from the landed files.
-    documents = spec.documents(landed).persist(StorageLevel.DISK_ONLY)
-    try:
-        refused = parse.rejected(documents)
-        refused.write.mode("overwrite").parquet(f"{rejects}/{feed}/run={run}")
-        logs.publish_files(spec.log(documents), log_root, spec.topic, run, replace=replace)
-    finally:
-        documents.unpersist()
+    spec, spark = FEEDS[feed], landed.sparkSession
+    folder = f"{rejects}/{feed}"
+    if storage.is_finished(spark, folder, run) or log.is_published(spark, spec.topic, run):
+        return False
+    # Each response is judged and parsed once; both kinds lie apart in the shared folder.
+    staging = f"{folder}/_staging-{run.replace('=', '-')}"
+    documents = spec.documents(landed)
+    is_rejected = F.col(parse.REJECT_REASON).isNotNull()
+    split = documents.withColumn("is_rejected", is_rejected).write.mode("overwrite")
+    split.partitionBy("is_rejected").parquet(staging)
+    judged = spark.read.schema(
+        StructType([*documents.schema, StructField("is_rejected", BooleanType())])
+    ).parquet(staging)
+    refused = judged.where("is_rejected").drop("is_rejected")
+    refused.write.mode("overwrite").parquet(f"{folder}/run={run}")
+    accepted = judged.where("NOT is_rejected").drop("is_rejected")
+    log.publish(spec.log(accepted), spec.topic, run)
+    storage.mark_finished(spark, folder, run)
+    storage.remove(spark, staging)
+    return True
+
+
+def read_rejects(spark: SparkSession, feed: str, rejects: str) -> DataFrame:
+    """The responses of all published runs that could not go on, with their ``run``."""
+    folder = f"{rejects}/{feed}"
+    runs_ = [f"{folder}/run={name}" for name in sorted(storage.finished(spark, folder))]
+    if not runs_:
+        raise ValueError(f"no run of {folder} is finished")
+    return spark.read.option("basePath", folder).parquet(*runs_)
 
 
 def ingest(
     spark: SparkSession,
     feed: str,
     *,
-    log_root: str,
+    log: logs.Log,
     sink: BatchSink | FormatSink,
     checkpoints: str,
-    max_bytes: int = logs.MAX_BATCH_BYTES,
     **row_options: str,
 ) -> None:
     """Append everything new in the feed's log to its sink, then return."""
     spec = FEEDS[feed]
-    log = logs.stream_files(spark, log_root, spec.topic, max_bytes=max_bytes)
-    rows = spec.rows(log, **row_options)
+    rows = spec.rows(log.stream(spark, spec.topic), **row_options)
     runs.run_to_end(rows, sink, name=f"ingest_{feed}", checkpoints=checkpoints)
 
 
@@ -102,18 +120,17 @@ def run(
     run_date: str,
     *,
     landed_root: str,
-    log_root: str,
+    log: logs.Log,
     rejects: str,
     sink: BatchSink | FormatSink,
     checkpoints: str,
-    **ingest_options,
+    **row_options: str,
 ) -> None:
     """Everything after the fetch for one run date: landed responses to log, log to sink.
 
-    The responses of a run lie under ``landed_root/<feed>/run=<run_date>``. An error ends the run.
+    The responses of a run lie under ``landed_root/<feed>/run=<run_date>``. An error ends the run; a
+    repeated one goes on where the last one stopped.
     """
     landed = landing.read_landed(spark, f"{landed_root}/{feed}/run={run_date}")
-    publish_landed(feed, landed, log_root=log_root, rejects=rejects, run=run_date)
-    ingest(
-        spark, feed, log_root=log_root, sink=sink, checkpoints=checkpoints, **ingest_options
-    )
+    publish_landed(feed, landed, log=log, rejects=rejects, run=run_date)
+    ingest(spark, feed, log=log, sink=sink, checkpoints=checkpoints, **row_options)

@@ -7,22 +7,25 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators import parse, responses, shape
-from feedloom.operators.encode import to_log
+from feedloom.operators.encode import number_equal, to_log
 
 
 def warning_log(documents: DataFrame) -> DataFrame:
     """Accepted warning documents as log records."""
-    return to_log(parse.accepted(documents), schemas.WARNING_TOPIC, text=F.col("document"))
+    log = to_log(parse.accepted(documents), schemas.WARNING_TOPIC, text=F.col("document"))
+    return number_equal(log)
 
 
 def weather_log(documents: DataFrame) -> DataFrame:
     """Accepted weather documents as log records, with region and day put in."""
     enriched = responses.enrich_weather(parse.accepted(documents))
-    return to_log(enriched, schemas.WEATHER_TOPIC, text=F.col("document"))
+    return number_equal(to_log(enriched, schemas.WEATHER_TOPIC, text=F.col("document")))
 
 
-def _finish(rows: DataFrame, sink, mode: str, source_tz: str | None) -> DataFrame:
-    extra = [parse.REJECT_REASON, parse.RAW] if mode == "quarantine" else []
+def _finish(
+    rows: DataFrame, sink, mode: str, source_tz: str | None, position: list[str]
+) -> DataFrame:
+    extra = [*([parse.REJECT_REASON, parse.RAW] if mode == "quarantine" else []), *position]
     return shape.coerce_to_sink(rows, sink, source_tz=source_tz, extra=extra)
 
 
@@ -31,16 +34,21 @@ def warning_rows(
     *,
     mode: str = "keep",
     id_mode: str = "stable",
+    with_position: bool = False,
     source_tz: str | None = None,
 ) -> DataFrame:
-    """Rows of the warning table from its log, batch or stream."""
+    """Rows of the warning table from its log, batch or stream.
+
+    ``with_position`` keeps the record's place in the log, which a keyed sink needs to break ties.
+    """
     position = shape.position_columns(log)
     rows = parse.parse_log(
         log, schemas.WARNING_WIRE, mode=mode, keep=position, source_tz=source_tz
     )
     rows = shape.rename(rows, schemas.WARNING_RENAMES)
     rows = shape.add_id(rows, id_mode, position)
-    return _finish(rows, schemas.WARNING_SINK, mode, source_tz)
+    kept = position if with_position else []
+    return _finish(rows, schemas.WARNING_SINK, mode, source_tz, kept)
 
 
 def weather_rows(
@@ -49,6 +57,7 @@ def weather_rows(
     mode: str = "keep",
     id_mode: str = "stable",
     elevation: str = "double",
+    with_position: bool = False,
     source_tz: str | None = None,
 ) -> DataFrame:
     """Rows of the weather table from its log, batch or stream; day one of every daily array."""
@@ -58,4 +67,5 @@ def weather_rows(
     )
     rows = shape.pick_first_day(rows, schemas.DAILY_WIRE)
     rows = shape.add_id(rows, id_mode, position)
-    return _finish(rows, schemas.weather_sink(elevation), mode, source_tz)
+    kept = position if with_position else []
+    return _finish(rows, schemas.weather_sink(elevation), mode, source_tz, kept)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -29,8 +29,7 @@ from feedloom.operators.encode import to_log
 from feedloom.operators.latest import latest_by_key
 from feedloom.plans import daily, feeds
 from feedloom.session import scratch_dir
-from feedloom.sources import landed, logs, regions
-from feedloom.sources.splits import spread
+from feedloom.sources import landed, logs, regions, storage
 from feedloom.streaming import keyed, runs, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +51,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """For queries that make documents of the rows."""
-    return spread(_table(spark, sf_dir, name))
-
-
 def _plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the test tables have them."""
     return df.select(
@@ -127,7 +121,7 @@ def _flat_round_trip(table: DataFrame, log: DataFrame) -> DataFrame:
     """
 )
 def flat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     position = ["topic", "partition", "offset"]
     rows = parse.parse_log(_event_log(events), _camel_schema(events), keep=position)
     rows = shape.add_id(shape.rename(rows, _snake_renames(events)), position=position)
@@ -136,14 +130,14 @@ def flat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT * FROM lineitem")
 def flat_parse_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _spread_table(spark, sf_dir, "lineitem")
+    lines = _table(spark, sf_dir, "lineitem")
     return _flat_round_trip(lines, to_log(lines, "lines", _camel_document(lines)))
 
 
 @_query("SELECT * FROM documents")
 def flat_parse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long texts with all their quotes, line ends and odd characters."""
-    documents = _spread_table(spark, sf_dir, "documents")
+    documents = _table(spark, sf_dir, "documents")
     return _flat_round_trip(documents, to_log(documents, "documents", _camel_document(documents)))
 
 
@@ -181,7 +175,13 @@ _FAULTY_FIELDS_SQL = """
     CASE WHEN event_type = 'purchase' THEN user_id END AS user_id,
     CASE WHEN event_type IN ('click', 'purchase') THEN event_type END AS event_type,
     CASE WHEN event_type IN ('click', 'purchase') THEN value END AS value,
-    CASE WHEN event_type IN ('click', 'purchase') THEN ts END AS ts
+    CASE WHEN event_type IN ('click', 'purchase') THEN ts END AS ts,
+    CASE WHEN event_type IN ('click', 'purchase') THEN props END AS props
+"""
+# The user in the text of a rejected record: texts of accepted ones are not kept.
+_RAW_SQL = """
+    CASE WHEN event_type IN ('error', 'view', 'click') OR (event_type = 'purchase' AND value < 20)
+         THEN CAST(user_id AS VARCHAR) END AS raw_user
 """
 _FAULTY_REASON_SQL = """
     CASE WHEN event_type = 'error' THEN 'malformed'
@@ -195,21 +195,31 @@ _FAULTY_REASON_SQL = """
 
 @_query(f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL} FROM events')
 def parse_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     rows = parse.parse_log(_faulty_event_log(events), _camel_schema(events), keep=["offset"])
-    return _plain_times(shape.rename(rows, _snake_renames(events)).drop("props"))
+    return _plain_times(shape.rename(rows, _snake_renames(events)))
+
+
+def _faulty_rows(rows: DataFrame) -> DataFrame:
+    """Parsed faulty events with their reason, and the user that their raw text names."""
+    renames = {_camel(c): c for c in ("event_id", "ts", "user_id", "event_type", "value", "props")}
+    user = F.regexp_extract("raw", r'"UserId":"?([0-9]+)', 1)
+    named = shape.rename(rows, renames).withColumn("raw_user", F.when(user != "", user))
+    return _plain_times(named.drop("raw"))
 
 
-@_query(f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL}, {_FAULTY_REASON_SQL} FROM events')
+@_query(
+    f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL}, {_FAULTY_REASON_SQL}, {_RAW_SQL} FROM events'
+)
 def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     rows = parse.parse_log(
         _faulty_event_log(events),
         _camel_schema(events, required=("event_id",)),
         mode="quarantine",
         keep=["offset"],
     )
-    return _plain_times(shape.rename(rows, _snake_renames(events)).drop("props", "raw"))
+    return _faulty_rows(rows)
 
 
 # --- Ids and sink types ---------------------------------------------------------------------------
@@ -217,13 +227,18 @@ def parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     f"""
-    SELECT event_id, {_uuid_sql("'events:' || user_id || ':' || event_id")} AS id FROM events
+    SELECT event_id, CASE WHEN user_id % 10 <> 0 THEN
+           {_uuid_sql("'events:' || user_id || ':' || event_id")} END AS id
+    FROM events
     """
 )
 def stable_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").select("event_id", "user_id")
     log = to_log(
-        events, "events", partition=F.col("user_id").cast("int"), offset=F.col("event_id")
+        events,
+        "events",
+        partition=F.when(F.col("user_id") % 10 != 0, F.col("user_id")).cast("int"),
+        offset=F.col("event_id"),
     )
     return shape.add_id(log).select(F.col("offset").alias("event_id"), "id")
 
@@ -269,6 +284,23 @@ def sink_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(shape.coerce_to_sink(texts, sink))
 
 
+@_query(
+    """
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN o_orderdate - INTERVAL 9 HOUR
+           WHEN 'F' THEN o_orderdate - INTERVAL 2 HOUR ELSE o_orderdate END AS moment
+    FROM orders
+    """
+)
+def sink_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local times without a zone, with the name of one, and in UTC."""
+    status = F.col("o_orderstatus")
+    zone = F.when(status == "O", "").when(status == "F", " Etc/GMT-2").otherwise("UTC")
+    local = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    texts = _table(spark, sf_dir, "orders").select("o_orderkey", F.concat(local, zone).alias("moment"))
+    sink = StructType([StructField("o_orderkey", LongType()), StructField("moment", TimestampType())])
+    return _plain_times(shape.coerce_to_sink(texts, sink, source_tz="Asia/Tokyo"))
+
+
 # --- Nested documents -----------------------------------------------------------------------------
 
 # The weather document of an order, as SQL text that both Spark and the oracle's engine read.
@@ -333,7 +365,7 @@ _WEATHER_WITH_ID_SQL = f"""
 
 @_query(_WEATHER_WITH_ID_SQL)
 def nested_parse_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _order_weather_log(_spread_table(spark, sf_dir, "orders"))
+    log = _order_weather_log(_table(spark, sf_dir, "orders"))
     return _plain_times(feeds.weather_rows(log))
 
 
@@ -348,7 +380,7 @@ def array_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Upsert ---------------------------------------------------------------------------------------
 
 _LAST_EVENT_SQL = """
-    SELECT user_id, event_id, ts, event_type, {value} AS value
+    SELECT user_id, event_id, ts, event_type, {value} AS value, props
     FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """
@@ -356,26 +388,51 @@ _LAST_EVENT_SQL = """
 
 @_query(_LAST_EVENT_SQL.format(value="value"))
 def upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").drop("props")
+    events = _table(spark, sf_dir, "events")
     return latest_by_key(events, ["user_id"], ["ts", "event_id"])
 
 
 @_query(_LAST_EVENT_SQL.format(value="value + 1"))
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, then the same events with corrected values, upserted by user with a compaction."""
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "upsert_stream")
     sink, order = keyed.upsert_files(f"{root}/users"), ["ts", "event_id", "batch_id"]
     corrected = events.withColumn("value", F.col("value") + 1)
     for run, table in [("first", events), ("second", corrected)]:
         logs.publish_files(_event_log(table), root, "events", run)
         rows = _flat_round_trip(events, logs.stream_files(spark, root, "events"))
-        runs.run_to_end(rows.drop("props"), sink, name="users", checkpoints=f"{root}/checkpoints")
+        runs.run_to_end(rows, sink, name="users", checkpoints=f"{root}/checkpoints")
         if run == "first":
             keyed.compact(spark, f"{root}/users", ["user_id"], order)
     return keyed.read_latest(spark, f"{root}/users", ["user_id"], order).drop("batch_id")
 
 
+@_query(
+    """
+    SELECT event_type, max(event_id) AS event_id,
+           CAST(arg_max(user_id, event_id) AS BIGINT) AS user_id, arg_max(props, event_id) AS props
+    FROM events GROUP BY event_type
+    """
+)
+def upsert_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a key in one batch: the last one in the log wins, before and after a compaction."""
+    events = _table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "upsert_ties")
+    logs.publish_files(_event_log(events), root, "events", "all")
+    rows = parse.parse_log(
+        logs.stream_files(spark, root, "events"), _camel_schema(events), keep=["partition", "offset"]
+    )
+    rows = shape.rename(rows, _snake_renames(events))
+    sink, keys = keyed.upsert_files(f"{root}/types"), ["event_type"]
+    runs.run_to_end(rows, sink, name="types", checkpoints=f"{root}/checkpoints")
+    before = keyed.read_latest(spark, f"{root}/types", keys)
+    keyed.compact(spark, f"{root}/types", keys)
+    after = keyed.read_latest(spark, f"{root}/types", keys)
+    both = before.unionByName(after).select("event_type", "event_id", "user_id", "props")
+    return both.distinct()
+
+
 # --- Streams --------------------------------------------------------------------------------------
 
 
@@ -388,22 +445,37 @@ def _stream_events(
 
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_append")
     logs.publish_files(_event_log(events), root, "events", "all")
     _stream_events(spark, events, root, sinks.files(f"{root}/rows"))
-    return spark.read.parquet(f"{root}/rows").drop("batch_id")
+    return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
+
+
+@_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events come in files far older than those that were read before."""
+    events = _table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "stream_late_files")
+    for run, table in [
+        ("first", events.where("event_id % 2 = 0")), ("second", events.where("event_id % 2 = 1")),
+    ]:
+        logs.publish_files(_event_log(table), root, "events", run)
+        if run == "second":
+            storage.set_age(spark, logs.run_path(root, "events", run), days=400)
+        _stream_events(spark, events, root, sinks.files(f"{root}/rows"))
+    return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
 
 
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same query started again on its checkpoint adds nothing."""
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_rerun")
     logs.publish_files(_event_log(events), root, "events", "all")
     for _ in range(2):
         _stream_events(spark, events, root, sinks.files(f"{root}/rows"))
-    return spark.read.parquet(f"{root}/rows").drop("batch_id")
+    return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
 
 
 @_query(
@@ -415,32 +487,34 @@ def stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second publish after the first run: the restarted query reads only what is new."""
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_resume")
     negated = events.withColumn("value", -F.col("value"))
     for run, table in [("first", events), ("second", negated)]:
         logs.publish_files(_event_log(table), root, "events", run)
         _stream_events(spark, events, root, sinks.files(f"{root}/rows"))
-    return spark.read.parquet(f"{root}/rows").drop("batch_id")
+    return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
 
 
 @_query(_WEATHER_WITH_ID_SQL)
 def stream_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_nested")
-    log = _order_weather_log(_spread_table(spark, sf_dir, "orders"))
+    log = _order_weather_log(_table(spark, sf_dir, "orders"))
     logs.publish_files(log, root, "weather", "all")
     # Ids from topic, partition and offset alone, as with a Kafka topic.
     rows = feeds.weather_rows(logs.stream_files(spark, root, "weather").drop("run"))
     runs.run_to_end(
         rows, sinks.files(f"{root}/rows"), name="weather", checkpoints=f"{root}/checkpoints"
     )
-    return _plain_times(spark.read.parquet(f"{root}/rows").drop("batch_id"))
+    return _plain_times(sinks.read_files(spark, f"{root}/rows").drop("batch_id"))
 
 
-@_query(f'SELECT event_id AS "offset", {_FAULTY_REASON_SQL} FROM events')
+@_query(
+    f'SELECT event_id AS "offset", {_FAULTY_FIELDS_SQL}, {_FAULTY_REASON_SQL}, {_RAW_SQL} FROM events'
+)
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows in one pass over the stream."""
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "stream_quarantine")
     logs.publish_files(_faulty_event_log(events), root, "events", "all")
     rows = parse.parse_log(
@@ -453,18 +527,26 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, sinks.split_files(f"{root}/rows"), name="events", checkpoints=f"{root}/checkpoints"
     )
     kinds = [sinks.read_split(spark, f"{root}/rows", rejected=kind) for kind in (False, True)]
-    return kinds[0].unionByName(kinds[1]).select("offset", "reject_reason")
+    return _faulty_rows(kinds[0].unionByName(kinds[1]))
+
+
+def _fresh_namespace(spark: SparkSession) -> str:
+    """A namespace of its own for the queries, in the same place each time, without tables."""
+    namespace = "feedloom_queries"
+    spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE")
+    tables.create_namespace(spark, namespace, scratch_dir(spark, "warehouse"))
+    return namespace
 
 
 @_query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Namespace and table made if absent, twice over, then filled by a stream."""
-    events = _spread_table(spark, sf_dir, "events")
+    events = _table(spark, sf_dir, "events")
     root = scratch_dir(spark, "table_append")
-    namespace = f"feedloom_{uuid.uuid4().hex}"
+    namespace = _fresh_namespace(spark)
     logs.publish_files(_event_log(events), root, "events", "all")
     for _ in range(2):
-        tables.create_namespace(spark, namespace, f"{root}/warehouse")
+        tables.create_namespace(spark, namespace)
         tables.create_table(spark, f"{namespace}.events", events.schema)
     _stream_events(spark, events, root, sinks.table(f"{namespace}.events"))
     return spark.table(f"{namespace}.events").drop("batch_id")
@@ -496,8 +578,17 @@ _REGIONS_SQL = f"""
            {", ".join(f"{sql} AS {name}" for name, sql in _BOX_SQL.items())}
     FROM customer
 """
+# Some boxes made a thousand times thinner, some so thin that their rows cannot be counted.
+_THIN_SQL = "east_south_lon + (west_north_lon - east_south_lon) * {factor}"
+_THIN_FACTOR_SQL = (
+    "CASE WHEN CAST(region_id AS INT) % 50 = 0 THEN 1e-3 "
+    "WHEN CAST(region_id AS INT) % 50 = 1 THEN 1e-14 ELSE 1e0 END"
+)
 _CELLS_SQL = f"""
-    WITH boxes AS ({_REGIONS_SQL}),
+    WITH whole AS ({_REGIONS_SQL}),
+    boxes AS (
+        SELECT * REPLACE ({_THIN_SQL.format(factor=_THIN_FACTOR_SQL)} AS west_north_lon) FROM whole
+    ),
     steps AS (
         SELECT *, (west_north_lon - east_south_lon) / 5 AS lon_step,
                cos(radians((west_north_lat + east_south_lat) / 2)) * 111.0e0 / 111.0e0 AS shrink
@@ -505,7 +596,9 @@ _CELLS_SQL = f"""
     ),
     counts AS (
         SELECT *, CASE WHEN lon_step <> 0 THEN
-                  CAST(round_even((east_south_lat - west_north_lat) / (lon_step * shrink), 0) AS INT)
+                  TRY_CAST(
+                      round_even((east_south_lat - west_north_lat) / (lon_step * shrink), 0) AS INT
+                  )
                   END AS n
         FROM steps
     ),
@@ -533,6 +626,11 @@ _CELLS_SQL = f"""
 """
 
 
+def _boxes(customers: DataFrame) -> DataFrame:
+    thin = F.expr(_THIN_SQL.format(factor=_THIN_FACTOR_SQL))
+    return _customer_regions(customers).withColumn("west_north_lon", thin)
+
+
 @_query(_REGIONS_SQL)
 def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "region_table")
@@ -542,7 +640,7 @@ def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"{_CELLS_SQL} SELECT region_id, cell_row, cell_col, lat, lon FROM cells")
 def request_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = requests.grid_cells(_customer_regions(_table(spark, sf_dir, "customer")))
+    cells = requests.grid_cells(_boxes(_table(spark, sf_dir, "customer")))
     return cells.select("region_id", "cell_row", "cell_col", "lat", "lon")
 
 
@@ -558,7 +656,7 @@ def request_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def request_rows_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = _customer_regions(_table(spark, sf_dir, "customer"))
+    boxes = _boxes(_table(spark, sf_dir, "customer"))
     rows = daily.plan_requests("weather", boxes, "2025-01-25")
     return rows.select("region_id", "cell_row", "cell_col", "url")
 
@@ -676,17 +774,26 @@ _WARNING_REASON_SQL = """
 
 @_query(f"SELECT o_orderkey, {_WARNING_REASON_SQL} AS reject_reason FROM orders")
 def response_gate_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
+    responded = _landed_warnings(_table(spark, sf_dir, "orders"), "o_orderkey")
     return responses.warning_documents(responded).select("o_orderkey", "reject_reason")
 
 
 @_query(f"SELECT {_WARNING_ROW_SQL} FROM orders WHERE ({_WARNING_REASON_SQL}) IS NULL")
 def response_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"))
+    responded = _landed_warnings(_table(spark, sf_dir, "orders"))
     log = feeds.warning_log(responses.warning_documents(responded))
     return _plain_times(feeds.warning_rows(log).drop("id"))
 
 
+# What documents with an old request field hold besides: texts that have to come through unchanged.
+_OLD_MEMBERS = {
+    "extra": '{"a":[1],"region_id":"own"}',
+    "half": "812.0",
+    "whole": "12345678901234567890123456789012345678901234567890",
+    "twice": '{"a":1,"a":2}',
+    "text": 'a "region_id": \\',
+}
+
 _REQUEST_FIELDS = ("region_id", "region_name", "start_date", "end_date")
 
 
@@ -699,7 +806,13 @@ def _landed_weather(orders: DataFrame, *extra: str) -> DataFrame:
         .when(priority == "3-MEDIUM", F.concat(document, F.lit(" <html>")))
         .when(
             priority == "5-LOW",
-            F.regexp_replace(document, r"^\{", '{"region_id":"old","extra":{"a":[1]},'),
+            F.regexp_replace(
+                document,
+                r"^\{",
+                '{"region_id":"old", "extra":{"a":[1],"region_id":"own"}, "half":812.0, '
+                '"whole":12345678901234567890123456789012345678901234567890, '
+                '"twice":{"a":1,"a":2}, "text":"a \\\\"region_id\\\\": \\\\\\\\", ',
+            ),
         )
         .otherwise(document)
     )
@@ -723,7 +836,7 @@ _WEATHER_REASON_SQL = """
     """
 )
 def response_gate_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
+    responded = _landed_weather(_table(spark, sf_dir, "orders"), "o_orderkey")
     checked = responses.weather_documents(responded).withColumnRenamed("reject_reason", "checked")
     both = responses.weather_documents(checked.drop("document"), check_status=False)
     return both.select("o_orderkey", "checked", F.col("reject_reason").alias("unchecked"))
@@ -733,33 +846,29 @@ def response_gate_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS region_id, o_orderpriority AS region_name,
            o_orderdate AS start_date, o_orderdate AS end_date, {_WEATHER_SCALARS_SQL["latitude"]}
-           AS latitude, CASE WHEN o_orderpriority = '5-LOW' THEN '[1]' END AS extra
+           AS latitude, {_WEATHER_SCALARS_SQL["longitude"]} AS longitude,
+           {_WEATHER_SCALARS_SQL["elevation"]} AS elevation, o_orderdate AS time,
+           {", ".join(f"{sql} AS {name}" for name, sql in _WEATHER_DAY_SQL.items())},
+           {", ".join(f"CASE WHEN o_orderpriority = '5-LOW' THEN '{text}' END AS {name}"
+                      for name, text in _OLD_MEMBERS.items())}
     FROM orders WHERE ({_WEATHER_REASON_SQL.format(check="true")}) IS NULL
     """
 )
 def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request fields set in documents, over an old value in some; unknown members stay."""
-    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"), "o_orderkey")
+    responded = _landed_weather(_table(spark, sf_dir, "orders"), "o_orderkey")
     documents = responses.enrich_weather(parse.accepted(responses.weather_documents(responded)))
     log = to_log(documents, "weather", text=F.col("document"), offset=F.col("o_orderkey"))
     schema = StructType(
         [
-            *[f for f in schemas.weather_wire() if f.name not in ("daily", "elevation")],
-            StructField("extra", StructType([StructField("a", StringType())])),
+            *schemas.weather_wire(),
+            *[StructField(name, StringType()) for name in _OLD_MEMBERS],
         ]
     )
     rows = parse.parse_log(log, schema, keep=["offset"])
-    return _plain_times(
-        rows.select(
-            F.col("offset").alias("o_orderkey"),
-            "region_id",
-            "region_name",
-            "start_date",
-            "end_date",
-            "latitude",
-            F.col("extra.a").alias("extra"),
-        )
-    )
+    rows = shape.pick_first_day(rows, schemas.DAILY_WIRE)
+    rows = rows.withColumn("time", F.col("time").cast("timestamp"))
+    return _plain_times(rows.withColumnRenamed("offset", "o_orderkey"))
 
 
 @_query(
@@ -772,7 +881,7 @@ def enrich_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as responses: refused as they are, enriched as members of an object."""
     pages = _with_document(
-        _spread_table(spark, sf_dir, "pages"), [F.col("page_id"), F.col("url"), F.col("html")]
+        _table(spark, sf_dir, "pages"), [F.col("page_id"), F.col("url"), F.col("html")]
     )
     responded = pages.select(
         F.col("page_id").cast("string").alias("region_id"),
@@ -803,91 +912,181 @@ def enrich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.parse_log(log, schema, keep=["bare_page"])
 
 
+# Every seventh order brings a value of another type, in a place that depends on its priority.
+_TYPE_FAULT_SQL = "o_orderkey % 7 = 0 AND o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')"
+_SOUND_SQL = "o_orderkey % 7 <> 0 AND o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')"
+_WEATHER_CONSTANTS = {
+    "generationtime_ms": "0.25e0",
+    "utc_offset_seconds": "3600e0",
+    "timezone": "'Europe/Berlin'",
+    "timezone_abbreviation": "'CET'",
+}
+_STRICT_WEATHER_SQL = {
+    **_WEATHER_SCALARS_SQL,
+    **_WEATHER_CONSTANTS,
+    "first_time": "strftime(o_orderdate, '%Y-%m-%d')",
+    "second_time": "strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d')",
+    **{
+        f"{place}_{name}": f"CAST({sql} AS VARCHAR)" if name == "weathercode" else sql
+        for name, value in _WEATHER_DAY_SQL.items()
+        for place, sql in (("first", value), ("second", f"({value}) * 2 + 1"))
+    },
+    **{f"unit_{name}": "'mm'" for name in schemas.DAILY_KEYS},
+}
+
+
 @_query(
-    """
+    f"""
     SELECT o_orderkey,
            CASE o_orderpriority WHEN '1-URGENT' THEN 'daily_unknown_key'
                 WHEN '2-HIGH' THEN 'daily_missing_key' WHEN '3-MEDIUM' THEN 'missing_key'
+                ELSE CASE WHEN {_TYPE_FAULT_SQL} THEN 'field_type' END
            END AS decode_error,
-           CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
-                THEN o_totalprice / 10000 END AS latitude,
-           CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
-                THEN strftime(o_orderdate, '%Y-%m-%d') END AS time,
-           CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
-                THEN CAST(o_orderkey % 100 AS VARCHAR) END AS weathercode,
-           CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
-                THEN o_custkey / 2.0e0 END AS winddirection,
-           CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN 'mm' END AS rain_unit
+           {", ".join(f"CASE WHEN {_SOUND_SQL} THEN {sql} END AS {name}"
+                      for name, sql in _STRICT_WEATHER_SQL.items())}
     FROM orders
     """
 )
 def strict_decode_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All members of a response; a number as text, or text as a number, is a fault."""
     units = F.struct(*[F.lit("mm").alias(key) for key in schemas.DAILY_KEYS])
     columns = [
         *_weather_columns()[len(_REQUEST_FIELDS) :],
-        F.lit(0.25).alias("generationtime_ms"),
-        F.lit(3600).alias("utc_offset_seconds"),
-        F.lit("Europe/Berlin").alias("timezone"),
-        F.lit("CET").alias("timezone_abbreviation"),
+        *[F.expr(sql).alias(name) for name, sql in _WEATHER_CONSTANTS.items()],
         units.alias("daily_units"),
     ]
-    documents = _with_document(_spread_table(spark, sf_dir, "orders"), columns)
+    documents = _with_document(_table(spark, sf_dir, "orders"), columns)
     document = F.col("document")
     priority = F.col("o_orderpriority")
+    faulty = F.when(
+        priority == "5-LOW", F.regexp_replace(document, '"latitude":[^,]*,', '"latitude":"north",')
+    ).otherwise(F.regexp_replace(document, r'"rain_sum":\[[^,]*,', '"rain_sum":["wet",'))
     body = (
         F.when(priority == "1-URGENT", F.regexp_replace(document, r'"daily":\{', '"daily":{"x":1,'))
         .when(priority == "2-HIGH", F.regexp_replace(document, r'"rain_sum":\[[^\]]*\],', ""))
         .when(priority == "3-MEDIUM", F.regexp_replace(document, '"timezone":"[^"]*",', ""))
+        .when(F.expr(_TYPE_FAULT_SQL), faulty)
         .when(priority == "5-LOW", F.regexp_replace(document, r"^\{", '{"extra":1,'))
         .otherwise(document)
     )
     responded = documents.select("o_orderkey", body.alias("body"))
     record = F.col("record")
+    days = [
+        F.get(record["daily"][key], F.lit(i)).alias(f"{place}_{key}")
+        for key in schemas.DAILY_KEYS
+        for i, place in enumerate(("first", "second"))
+    ]
     return decode.decode_weather(responded).select(
         "o_orderkey",
         "decode_error",
-        record["latitude"].alias("latitude"),
-        first_item(record["daily"]["time"]).alias("time"),
-        first_item(record["daily"]["weathercode"]).alias("weathercode"),
-        first_item(record["daily"]["winddirection_10m_dominant"]).alias("winddirection"),
-        record["daily_units"]["rain_sum"].alias("rain_unit"),
+        *[record[key].alias(key) for key in schemas.RESPONSE_KEYS],
+        *days,
+        *[record["daily_units"][key].alias(f"unit_{key}") for key in schemas.DAILY_KEYS],
     )
 
 
+_STRICT_WARNING_SQL = {
+    "RegId": "CAST(o_orderkey % 1000000000 AS INT)",
+    "RegionId": "CAST(o_custkey % 1000000000 AS INT)",
+    "RegionName": "o_orderpriority",
+    "RegionTypeId": "CAST(10 AS INT)",
+    "RegionTypeName": "'A'",
+    "DangerLevel": "CAST(o_orderkey % 1000000000 % 5 + 1 AS VARCHAR)",
+    "ValidFrom": "strftime(o_orderdate, '%Y-%m-%d')",
+    "ValidTo": "strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d')",
+    "NextWarningTime": "CAST(NULL AS VARCHAR)",
+    "PublishTime": "strftime(o_orderdate, '%Y-%m-%d')",
+    "DangerIncreaseTime": "CAST(NULL AS VARCHAR)",
+    "DangerDecreaseTime": "CAST(NULL AS VARCHAR)",
+    "MainText": "'Fare – ' || o_orderstatus",
+    "LangKey": "CAST(1 AS INT)",
+}
+
+
 @_query(
-    """
-    SELECT o_orderkey, CAST(o_orderkey % 1000000000 AS INT) AS reg_id,
-           strftime(o_orderdate, '%Y-%m-%d') AS valid_from, CAST(NULL AS VARCHAR) AS decode_error
+    f"""
+    SELECT o_orderkey, CAST(NULL AS VARCHAR) AS decode_error,
+           {", ".join(f"{sql} AS {name}" for name, sql in _STRICT_WARNING_SQL.items())}
     FROM orders, (SELECT unnest(range(0, 2)))
-    WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
-    UNION ALL
-    SELECT o_orderkey, NULL, NULL,
+    WHERE {_SOUND_SQL}
+    UNION ALL BY NAME
+    SELECT o_orderkey,
            CASE o_orderpriority WHEN '1-URGENT' THEN 'unknown_key'
-                WHEN '2-HIGH' THEN 'missing_key' ELSE 'not_an_array' END
-    FROM orders WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW')
+                WHEN '2-HIGH' THEN 'missing_key' WHEN '3-MEDIUM' THEN 'not_an_array'
+                ELSE 'field_type' END AS decode_error
+    FROM orders WHERE NOT ({_SOUND_SQL})
     """
 )
 def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two warnings per response; a fault in the second one rejects the response."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("ValidFrom")
-    columns = [day if i == 6 else column for i, column in enumerate(_warning_columns())]
-    documents = _with_document(_spread_table(spark, sf_dir, "orders"), columns)
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    columns = [
+        day.alias(name) if name in ("ValidFrom", "PublishTime") else column
+        for name, column in zip(_STRICT_WARNING_SQL, _warning_columns(), strict=True)
+    ]
+    documents = _with_document(_table(spark, sf_dir, "orders"), columns)
     one = F.col("document")
     priority = F.col("o_orderpriority")
+    # Text, a fraction, and a number beyond the integers.
+    wrong = F.element_at(
+        F.array(F.lit('"abc"'), F.lit("1.5"), F.lit(str(2**40))),
+        (F.col("o_orderkey") % 3 + 1).cast("int"),
+    )
     two = (
         F.when(priority == "1-URGENT", F.regexp_replace(one, r"\}$", ',"X":1}'))
         .when(priority == "2-HIGH", F.regexp_replace(one, r',"LangKey":1\}$', "}"))
+        .when(
+            F.expr(_TYPE_FAULT_SQL),
+            F.regexp_replace(one, F.lit('"RegId":[0-9]+'), F.concat(F.lit('"RegId":'), wrong)),
+        )
         .otherwise(one)
     )
     body = F.when(priority == "3-MEDIUM", one).otherwise(
         F.concat(F.lit("["), one, F.lit(","), two, F.lit("]"))
     )
     responded = documents.select("o_orderkey", body.alias("body"))
-    return decode.decode_warnings(responded).select(
-        "o_orderkey",
-        F.col("record.RegId").alias("reg_id"),
-        F.col("record.ValidFrom").alias("valid_from"),
-        "decode_error",
+    return decode.decode_warnings(responded).select("o_orderkey", "decode_error", "record.*")
+
+
+# --- Sink tables ---------------------------------------------------------------------------------
+
+
+def _feed_table(
+    spark: SparkSession, log: DataFrame, topic: str, rows_of, sink: StructType, day_of: str
+) -> DataFrame:
+    """A log to the feed's own table, partitioned by batch and day."""
+    root = scratch_dir(spark, "feed_table")
+    name = f"{_fresh_namespace(spark)}.{topic.replace('-', '_')}"
+    logs.publish_files(log, root, topic, "all")
+    tables.create_table(spark, name, sink, day_of)
+    rows = rows_of(logs.stream_files(spark, root, topic))
+    runs.run_to_end(
+        rows, sinks.table(name, day_of), name="rows", checkpoints=f"{root}/checkpoints"
+    )
+    return _plain_times(spark.table(name).drop("batch_id", "id"))
+
+
+@_query(
+    f"""
+    SELECT {_WARNING_ROW_SQL}, CAST(o_orderdate AS DATE) AS day
+    FROM orders WHERE ({_WARNING_REASON_SQL}) IS NULL
+    """
+)
+def table_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 columns of the warning table, by day of publication."""
+    documents = responses.warning_documents(_landed_warnings(_table(spark, sf_dir, "orders")))
+    log = feeds.warning_log(documents)
+    return _feed_table(
+        spark, log, schemas.WARNING_TOPIC, feeds.warning_rows, schemas.WARNING_SINK, "publish_time"
+    )
+
+
+@_query(f"SELECT {_WEATHER_ROW_SQL}, CAST(o_orderdate AS DATE) AS day FROM orders")
+def table_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 19 columns of the weather table, by the day they are for."""
+    log = _order_weather_log(_table(spark, sf_dir, "orders"))
+    return _feed_table(
+        spark, log, schemas.WEATHER_TOPIC, feeds.weather_rows, schemas.weather_sink(), "start_date"
     )
 
 
@@ -897,37 +1096,54 @@ def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _whole_feed(spark: SparkSession, feed: str, responded: DataFrame) -> DataFrame:
     root = scratch_dir(spark, f"{feed}_feed")
     responded.write.parquet(f"{root}/landed")
+    log = logs.FileLog(f"{root}/log")
     daily.publish_landed(
         feed,
         landed.read_landed(spark, f"{root}/landed"),
-        log_root=f"{root}/log",
+        log=log,
         rejects=f"{root}/rejects",
         run="2025-01-24",
     )
     daily.ingest(
         spark,
         feed,
-        log_root=f"{root}/log",
+        log=log,
         sink=sinks.files(f"{root}/rows"),
         checkpoints=f"{root}/checkpoints",
     )
-    return _plain_times(spark.read.parquet(f"{root}/rows").drop("batch_id", "id"))
+    rows = _plain_times(sinks.read_files(spark, f"{root}/rows").drop("batch_id"))
+    # An id is a hash of topic, run, and position; what matters here is that each row has its own.
+    n_ids = F.count("*").over(Window.partitionBy("id"))
+    rows = rows.withColumn("has_own_id", F.col("id").isNotNull() & (n_ids == 1)).drop("id")
+    refused = daily.read_rejects(spark, feed, f"{root}/rejects").select(
+        F.col("region_id").alias("rejected_region"), F.col("run_date").alias("rejected_day"),
+        F.col("status").alias("rejected_status"), "reject_reason",
+    )
+    return rows.unionByName(refused, allowMissingColumns=True)
+
+
+_FEED_SQL = """
+    SELECT {row}, true AS has_own_id FROM orders WHERE ({reason}) IS NULL
+    UNION ALL BY NAME
+    SELECT CAST(o_custkey AS VARCHAR) AS rejected_region,
+           strftime(o_orderdate, '%Y-%m-%d') AS rejected_day,
+           CAST(CASE WHEN o_orderstatus = 'P' THEN 500 ELSE 200 END AS INT) AS rejected_status,
+           {reason} AS reject_reason
+    FROM orders WHERE ({reason}) IS NOT NULL
+"""
 
 
-@_query(f"SELECT {_WARNING_ROW_SQL} FROM orders WHERE ({_WARNING_REASON_SQL}) IS NULL")
+@_query(_FEED_SQL.format(row=_WARNING_ROW_SQL, reason=_WARNING_REASON_SQL))
 def warning_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed responses to rows of the warning table, through the log."""
-    responded = _landed_warnings(_spread_table(spark, sf_dir, "orders"))
+    """Landed responses to rows of the warning table, through the log; and the refused ones."""
+    responded = _landed_warnings(_table(spark, sf_dir, "orders"))
     return _whole_feed(spark, "warnings", responded)
 
 
 @_query(
-    f"""
-    SELECT {_WEATHER_ROW_SQL} FROM orders
-    WHERE ({_WEATHER_REASON_SQL.format(check="true")}) IS NULL
-    """
+    _FEED_SQL.format(row=_WEATHER_ROW_SQL, reason=_WEATHER_REASON_SQL.format(check="true"))
 )
 def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed responses to rows of the weather table, through the log."""
-    responded = _landed_weather(_spread_table(spark, sf_dir, "orders"))
+    """Landed responses to rows of the weather table, through the log; and the refused ones."""
+    responded = _landed_weather(_table(spark, sf_dir, "orders"))
     return _whole_feed(spark, "weather", responded)

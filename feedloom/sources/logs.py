@@ -1,11 +1,14 @@
 """The message log: Kafka topics, or Parquet files of the same record shape.
 
 The Kafka kind needs Spark's Kafka package on the class path. The file kind needs nothing; every
-publish goes to its own ``run=<label>`` directory under the topic's.
+publish goes to its own ``run=<label>`` directory under the topic's. It is written under a name that
+readers pass over and gets its own name when it is complete. A published run is final.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,6 +19,10 @@ from feedloom.sources import storage
 # Bytes of log files per micro-batch.
 MAX_BATCH_BYTES = 2**40
 
+# The file source skips files that are this much older than the newest one it has seen. Copied and
+# restored files keep their times, so the age must never matter.
+ANY_AGE = {"maxFileAge": "36500d"}
+
 FILE_LOG = StructType([*LOG_RECORD.fields, StructField("run", StringType())])
 
 
@@ -77,7 +84,7 @@ def stream_files(
     ``max_bytes``, or ``max_files`` in its place, bounds a micro-batch, so that a long backlog is
     worked off in steps that each commit.
     """
-    reader = spark.readStream.schema(FILE_LOG)
+    reader = spark.readStream.schema(FILE_LOG).options(**ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     else:
@@ -85,22 +92,23 @@ def stream_files(
     return reader.parquet(topic_path(root, topic))
 
 
-def refuse_published(spark: SparkSession, root: str, topic: str, run: str) -> None:
-    if storage.is_written(spark, run_path(root, topic, run)):
-        raise ValueError(f"run {run!r} of topic {topic!r} already exists")
+def is_published(spark: SparkSession, root: str, topic: str, run: str) -> bool:
+    return storage.exists(spark, run_path(root, topic, run))
 
 
-def publish_files(
-    log: DataFrame, root: str, topic: str, run: str, *, replace: bool = False
-) -> None:
+def publish_files(log: DataFrame, root: str, topic: str, run: str) -> None:
     """Write log records as one run of a topic.
 
-    A run that has been published is refused unless ``replace``; what is left of a publish that did
-    not finish is written over.
+    A run that has been published is refused: streams may have read it, and would read other files
+    in its place as new ones. What is left of a publish that did not finish is written over.
     """
-    if not replace:
-        refuse_published(log.sparkSession, root, topic, run)
-    log.write.mode("overwrite").parquet(run_path(root, topic, run))
+    spark = log.sparkSession
+    if is_published(spark, root, topic, run):
+        raise ValueError(f"run {run!r} of topic {topic!r} already exists")
+    # Names with a leading underscore and no "=" are hidden from Spark's readers.
+    staging = f"{topic_path(root, topic)}/_staging-{run.replace('=', '-')}"
+    log.write.mode("overwrite").parquet(staging)
+    storage.put_in_place(spark, staging, run_path(root, topic, run))
 
 
 def publish_kafka(log: DataFrame, topic: str, servers: str) -> None:
@@ -111,3 +119,50 @@ def publish_kafka(log: DataFrame, topic: str, servers: str) -> None:
         .option("topic", topic)
         .save()
     )
+
+
+@dataclass(frozen=True)
+class FileLog:
+    """A log of Parquet files under ``root``."""
+
+    root: str
+    max_bytes: int = MAX_BATCH_BYTES
+
+    def publish(self, records: DataFrame, topic: str, run: str) -> None:
+        publish_files(records, self.root, topic, run)
+
+    def is_published(self, spark: SparkSession, topic: str, run: str) -> bool:
+        return is_published(spark, self.root, topic, run)
+
+    def stream(self, spark: SparkSession, topic: str) -> DataFrame:
+        return stream_files(spark, self.root, topic, max_bytes=self.max_bytes)
+
+
+@dataclass(frozen=True)
+class KafkaLog:
+    """Topics on Kafka. A publish that fails half way and is repeated sends records twice."""
+
+    servers: str
+    limits: dict[str, int | None] = field(default_factory=dict)
+
+    def publish(self, records: DataFrame, topic: str, run: str) -> None:
+        publish_kafka(records, topic, self.servers)
+
+    def is_published(self, spark: SparkSession, topic: str, run: str) -> bool:
+        return False  # topics know no runs
+
+    def stream(self, spark: SparkSession, topic: str) -> DataFrame:
+        return read_kafka(spark, kafka_options(topic, self.servers, **self.limits))
+
+
+Log = FileLog | KafkaLog
+
+
+def open_log(place: str, *, max_bytes: int | None = None, **limits: int | None) -> Log:
+    """A log from ``files:<root>`` or ``kafka:<servers>``."""
+    kind, _, where = place.partition(":")
+    if kind == "files" and where:
+        return FileLog(where, max_bytes or MAX_BATCH_BYTES)
+    if kind == "kafka" and where:
+        return KafkaLog(where, limits)
+    raise ValueError(f"unknown log {place!r}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -15,9 +17,55 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jvm_path)
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """True if a write to this directory has finished."""
-    return exists(spark, f"{path}/_SUCCESS")
+def write_text(spark: SparkSession, path: str, text: str = "") -> None:
+    file_system, jvm_path = _file_system(spark, path)
+    stream = file_system.create(jvm_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(row[0] for row in spark.read.text(path, wholetext=True).collect())
+
+
+def put_in_place(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished directory its final name, under which nobody has seen anything yet."""
+    file_system, jvm_path = _file_system(spark, source)
+    _, jvm_target = _file_system(spark, target)
+    file_system.mkdirs(jvm_target.getParent())
+    if not file_system.rename(jvm_path, jvm_target):
+        raise OSError(f"{source} cannot be renamed to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    file_system, jvm_path = _file_system(spark, path)
+    file_system.delete(jvm_path, True)
+
+
+def set_age(spark: SparkSession, path: str, days: int) -> None:
+    """Make the files under a directory as old as a copy or a restored backup may be."""
+    file_system, jvm_path = _file_system(spark, path)
+    then = int((time.time() - days * 86_400) * 1000)
+    for status in file_system.listStatus(jvm_path):
+        file_system.setTimes(status.getPath(), then, -1)
+
+
+# What has been written under a folder is noted in it by name, so one listing tells all of it.
+_FINISHED = "_finished"
+
+
+def mark_finished(spark: SparkSession, folder: str, name: str) -> None:
+    write_text(spark, f"{folder}/{_FINISHED}/{name}")
+
+
+def is_finished(spark: SparkSession, folder: str, name: str) -> bool:
+    return exists(spark, f"{folder}/{_FINISHED}/{name}")
+
+
+def finished(spark: SparkSession, folder: str) -> list[str]:
+    return child_names(spark, f"{folder}/{_FINISHED}")
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:

@@ -1,12 +1,16 @@
 """Keyed upsert on plain files: writes append, reads keep the last row of every key.
 
-``deltas/batch_id=N`` holds the micro-batches as they came, ``base/through=N`` a compacted copy of
-everything up to batch N. A write needs no shuffle and never touches earlier files.
+``deltas/batch_id=N`` holds the micro-batches as they came. ``compact`` folds them into a base that is
+divided by a hash of the key, and rewrites only the buckets that have changed: ``base/through=N/bucket=B``
+is bucket B as it was after batch N, and ``base/_manifests/N`` names the current files of all buckets.
+A write needs no shuffle and never touches earlier files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.latest import latest_by_key
@@ -14,8 +18,11 @@ from feedloom.sources import storage
 from feedloom.streaming import sinks
 from feedloom.streaming.tables import BATCH
 
-# Up to this many rows since the last compaction, their keys are broadcast.
-BROADCAST_ROWS = 500_000
+BUCKET, THROUGH = "bucket", "through"
+BUCKETS = 64
+
+# Where a record lies in its log, the last part last.
+_POSITION = ["run", "partition", "offset"]
 
 
 def _deltas(path: str) -> str:
@@ -26,61 +33,52 @@ def upsert_files(path: str) -> sinks.BatchSink:
     return sinks.files(_deltas(path))
 
 
-def _written(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the directories whose write has finished."""
-    return [
-        number
-        for number in storage.numbered(spark, path, prefix)
-        if storage.is_written(spark, f"{path}/{prefix}={number}")
-    ]
+def _manifest(spark: SparkSession, path: str) -> dict:
+    """What the base consists of: the last batch in it, and for each bucket the batch of its files."""
+    folder = f"{path}/base/_manifests"
+    last = max((int(name) for name in storage.child_names(spark, folder)), default=None)
+    if last is None:
+        return {THROUGH: -1, "buckets": {}, "of": BUCKETS}
+    return json.loads(storage.read_text(spark, f"{folder}/{last}"))
 
 
-def _parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
-    """The last base, and the batches written after it."""
-    through = max(_written(spark, f"{path}/base", "through"), default=None)
-    batches = _written(spark, _deltas(path), BATCH)
-    return through, [batch for batch in batches if through is None or batch > through]
+def _bucket(keys: list[str], of: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(of)).cast("int")
 
 
-def _latest(
-    spark: SparkSession,
-    path: str,
-    through: int | None,
-    batches: list[int],
-    keys: list[str],
-    order: list[str] | None,
-) -> DataFrame:
-    order = order or [BATCH]
-    base = deltas = None
-    if through is not None:
-        base = spark.read.parquet(f"{path}/base/through={through}")
-    if batches:
-        paths = [f"{_deltas(path)}/{BATCH}={batch}" for batch in batches]
-        deltas = spark.read.option("basePath", _deltas(path)).parquet(*paths)
-        deltas = deltas.withColumn(BATCH, F.col(BATCH).cast("long"))
-    if base is None and deltas is None:
-        raise ValueError(f"nothing has been written to {path}")
-    if base is None:
-        return latest_by_key(deltas, keys, order)
-    if deltas is None:
-        return base
-    if deltas.count() > BROADCAST_ROWS:
-        return latest_by_key(base.unionByName(deltas), keys, order)
-    return _base_with_changes(base, deltas, keys, order)
+def _order(rows: DataFrame, order: list[str] | None) -> list[str]:
+    if order:
+        return order
+    if "offset" not in rows.columns:
+        raise ValueError("name order columns that break ties, or keep the record's log position")
+    return [BATCH, *[name for name in _POSITION if name in rows.columns]]
 
 
-def _base_with_changes(
-    base: DataFrame, deltas: DataFrame, keys: list[str], order: list[str]
-) -> DataFrame:
-    """The base holds one row per key, so only keys of the deltas need to be looked at again.
+def _base(spark: SparkSession, path: str, manifest: dict, buckets: set[int]) -> DataFrame | None:
+    targets = [
+        f"{path}/base/{THROUGH}={through}/{BUCKET}={bucket}"
+        for bucket, through in manifest["buckets"].items()
+        if int(bucket) in buckets
+    ]
+    return spark.read.parquet(*targets) if targets else None
+
+
+def _changes(
+    spark: SparkSession, path: str, manifest: dict, batches: list[int], keys: list[str],
+    order: list[str] | None,
+) -> tuple[DataFrame, set[int]]:
+    """Current rows of the buckets that the batches touch, and those buckets."""
+    deltas = sinks.read_files(spark, _deltas(path), batches)
+    numbers = deltas.select(_bucket(keys, manifest["of"])).distinct().collect()
+    touched = {row[0] for row in numbers}
+    base = _base(spark, path, manifest, touched)
+    rows = deltas if base is None else base.unionByName(deltas)
+    return latest_by_key(rows, keys, _order(rows, order)), touched
 
-    Their keys are few enough to be sent everywhere; the base is read in place and not shuffled.
-    """
-    changed = F.broadcast(deltas.select(*keys).distinct())
-    same_key = [base[key].eqNullSafe(changed[key]) for key in keys]
-    untouched = base.join(changed, same_key, "left_anti")
-    contenders = base.join(changed, same_key, "left_semi").unionByName(deltas)
-    return untouched.unionByName(latest_by_key(contenders, keys, order))
+
+def _new_batches(spark: SparkSession, path: str, manifest: dict) -> list[int]:
+    batches = sinks.finished_batches(spark, _deltas(path))
+    return [batch for batch in batches if batch > manifest[THROUGH]]
 
 
 def read_latest(
@@ -88,22 +86,39 @@ def read_latest(
 ) -> DataFrame:
     """The current row of every key.
 
-    By default the row of the latest batch wins. Name ``order`` columns to let the data decide; they
-    should break all ties, and may include ``batch_id``.
+    The row of the latest batch wins, and within a batch the last one in the log. Name ``order``
+    columns to let the data decide; they have to break all ties, and may include ``batch_id``. Only
+    buckets that have changed since the last compaction are shuffled.
     """
-    return _latest(spark, path, *_parts(spark, path), keys, order)
+    manifest = _manifest(spark, path)
+    batches = _new_batches(spark, path, manifest)
+    present = {int(bucket) for bucket in manifest["buckets"]}
+    if not batches:
+        base = _base(spark, path, manifest, present)
+        if base is None:
+            raise ValueError(f"nothing has been written to {path}")
+        return base
+    changed, touched = _changes(spark, path, manifest, batches, keys, order)
+    untouched = _base(spark, path, manifest, present - touched)
+    return changed if untouched is None else untouched.unionByName(changed)
 
 
 def compact(
     spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None
 ) -> int | None:
-    """Fold all batches so far into a new base and return the last one folded.
+    """Fold all batches so far into the base and return the last one folded.
 
-    The old base and the deltas stay in place, so readers that started earlier go on undisturbed.
+    Old files stay in place, so readers that started earlier go on undisturbed.
     """
-    through, batches = _parts(spark, path)
+    manifest = _manifest(spark, path)
+    batches = _new_batches(spark, path, manifest)
     if not batches:
-        return through
-    current = _latest(spark, path, through, batches, keys, order)
-    current.write.mode("overwrite").parquet(f"{path}/base/through={batches[-1]}")
-    return batches[-1]
+        return manifest[THROUGH] if manifest[THROUGH] >= 0 else None
+    changed, touched = _changes(spark, path, manifest, batches, keys, order)
+    last, target = batches[-1], f"{path}/base/{THROUGH}={batches[-1]}"
+    by_bucket = changed.withColumn(BUCKET, _bucket(keys, manifest["of"]))
+    by_bucket.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+    manifest["buckets"] |= {str(bucket): last for bucket in touched}
+    manifest[THROUGH] = last
+    storage.write_text(spark, f"{path}/base/_manifests/{last}", json.dumps(manifest))
+    return last

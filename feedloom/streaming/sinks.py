@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.parse import REJECT_REASON
 from feedloom.sources import logs, storage
-from feedloom.streaming.tables import BATCH, quoted
+from feedloom.streaming.tables import BATCH, DAY, quoted
 
 
 @dataclass(frozen=True)
@@ -34,16 +34,34 @@ class FormatSink:
 
 
 def files(path: str, partition_by: list[str] | None = None) -> BatchSink:
-    """Parquet files under ``path/batch_id=N``."""
+    """Parquet files under ``path/batch_id=N``. Read them back with ``read_files``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/{BATCH}={batch_id}"
-        if not storage.is_written(batch.sparkSession, target):
+        spark = batch.sparkSession
+        if not storage.is_finished(spark, path, str(batch_id)):
+            target = f"{path}/{BATCH}={batch_id}"
             batch.write.mode("overwrite").partitionBy(*partition_by or []).parquet(target)
+            storage.mark_finished(spark, path, str(batch_id))
 
     return BatchSink(write, lambda spark: storage.numbered(spark, path, BATCH))
 
 
+def finished_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches whose write has finished, ascending."""
+    return sorted(int(name) for name in storage.finished(spark, path))
+
+
+def read_files(spark: SparkSession, path: str, batches: list[int] | None = None) -> DataFrame:
+    """All finished batches of a ``files`` sink, or the given ones, with their ``batch_id``."""
+    if batches is None:
+        batches = finished_batches(spark, path)
+    if not batches:
+        raise ValueError(f"no batch of {path} is finished")
+    targets = [f"{path}/{BATCH}={batch}" for batch in batches]
+    rows = spark.read.option("basePath", path).parquet(*targets)
+    return rows.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+
+
 def split_files(path: str) -> BatchSink:
     """Files as above with accepted and rejected rows in separate partitions.
 
@@ -61,27 +79,33 @@ def split_files(path: str) -> BatchSink:
 
 
 def read_split(spark: SparkSession, path: str, *, rejected: bool) -> DataFrame:
-    rows = spark.read.parquet(path)
+    rows = read_files(spark, path)
     kept = rows.filter(F.col("is_rejected") == F.lit(rejected))
     return kept.drop("is_rejected", BATCH)
 
 
-def table(name: str) -> BatchSink:
-    """A catalog table made by ``create_table``; a repeated batch replaces its partition."""
+def table(name: str, day_of: str | None = None) -> BatchSink:
+    """A catalog table made by ``create_table``; a repeated batch replaces its partitions.
+
+    ``day_of`` is the column by whose day the table is partitioned besides, if it is.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # A fixed partition in the statement: an overwrite without one may clear the whole table.
         spark = batch.sparkSession
-        columns = ", ".join(quoted(c) for c in spark.table(name).columns if c != BATCH)
+        plain = [quoted(c) for c in spark.table(name).columns if c not in (BATCH, DAY)]
+        day = [f"to_date({quoted(day_of)})"] if day_of else []
+        columns = ", ".join([*plain, *day])
         spark.sql(
-            f"INSERT OVERWRITE TABLE {quoted(name)} PARTITION ({BATCH} = {int(batch_id)}) "
+            f"INSERT OVERWRITE TABLE {quoted(name)} "
+            f"PARTITION ({BATCH} = {int(batch_id)}{', ' + DAY if day_of else ''}) "
             f"SELECT {columns} FROM {{batch}}",
             batch=batch,
         )
 
     def batches(spark: SparkSession) -> list[int]:
         rows = spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()
-        return sorted(int(row[0].split("=")[1]) for row in rows)
+        return sorted({int(row[0].split("/")[0].split("=")[1]) for row in rows})
 
     return BatchSink(write, batches)
 
@@ -92,8 +116,8 @@ def file_log(root: str, topic: str, records: Callable[[DataFrame], DataFrame]) -
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run = f"batch-{batch_id}"
-        if not storage.is_written(batch.sparkSession, logs.run_path(root, topic, run)):
-            logs.publish_files(records(batch), root, topic, run, replace=True)
+        if not logs.is_published(batch.sparkSession, root, topic, run):
+            logs.publish_files(records(batch), root, topic, run)
 
     def batches(spark: SparkSession) -> list[int]:
         names = storage.child_names(spark, logs.topic_path(root, topic))

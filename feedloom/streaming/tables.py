@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
+DAY = "day"
 
 
 def quoted(name: str) -> str:
@@ -18,10 +19,16 @@ def create_namespace(spark: SparkSession, namespace: str, location: str | None =
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(namespace)}{where}")
 
 
-def create_table(spark: SparkSession, table: str, schema: StructType) -> None:
-    """Create the table if it is absent: the sink's columns, partitioned by micro-batch."""
+def create_table(
+    spark: SparkSession, table: str, schema: StructType, day_of: str | None = None
+) -> None:
+    """Create the table if it is absent: the sink's columns, partitioned by micro-batch.
+
+    With ``day_of``, a timestamp column, also by its day.
+    """
+    day = f", {DAY} DATE" if day_of else ""
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, {BATCH} BIGINT) "
-        f"USING parquet PARTITIONED BY ({BATCH})"
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, {BATCH} BIGINT{day}) "
+        f"USING parquet PARTITIONED BY ({BATCH}{', ' + DAY if day_of else ''})"
     )

@@ -28,7 +28,9 @@ _TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 

@@ -3,7 +3,7 @@
 import pytest
 from feedloom.operators.encode import to_log
 from feedloom.operators.requests import add_backfill_days
-from feedloom.plans import daily, feeds
+from feedloom.plans import daily, feeds, queries
 from feedloom.sources import logs, regions
 from pyspark.sql import functions as F
 
@@ -34,13 +34,28 @@ def test_log_to_rows_is_narrow(log, rows, mode, id_mode):
 
 @pytest.mark.parametrize("feed", ["warnings", "weather"])
 def test_requests_have_no_join(spark, feed):
+    # Blocks of grid rows are dealt over the tasks, by key; nothing else is exchanged.
+    dealt = {"warnings": 0, "weather": 1}[feed]
     text = plan(daily.plan_requests(feed, regions.active_regions(spark), "2025-01-25"))
-    assert not [word for word in COSTLY if word in text]
+    assert not [word for word in COSTLY[1:] if word in text]
+    assert text.count("Exchange") == text.count("Exchange hashpartitioning(region_id") == dealt
     days = add_backfill_days(
         regions.active_regions(spark), F.lit("2025-01-01"), F.lit("2025-12-31")
     )
     text = plan(daily.FEEDS[feed].requests(days))
-    assert not [word for word in COSTLY if word in text]
+    assert not [word for word in COSTLY[1:] if word in text]
+    assert text.count("Exchange") == text.count("Exchange hashpartitioning(region_id") == dealt
+
+
+def test_queries_deal_no_rows_round_robin(spark):
+    for name in ("flat_parse", "enrich_encode", "strict_decode_weather", "request_grid"):
+        text = plan(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "RoundRobin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_enrichment_reads_each_document_once_and_parses_once(spark):
+    text = plan(queries.enrich_encode(spark, "/root/testdata/sf0.001"))
+    assert text.count("from_json") <= 2
 
 
 def test_runs_are_pruned(spark, log):

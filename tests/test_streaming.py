@@ -3,8 +3,8 @@
 import pytest
 from feedloom import schemas
 from feedloom.__main__ import main
-from feedloom.operators import responses
-from feedloom.operators.encode import to_log
+from feedloom.operators import responses, shape
+from feedloom.operators.encode import number_equal, to_log
 from feedloom.plans import daily, feeds
 from feedloom.sources import landed, logs, regions
 from feedloom.streaming import keyed, runs, sinks, tables
@@ -72,7 +72,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
         files.append(sorted(spark.read.parquet(f"{root}/rows").inputFiles()))
     assert spark.read.parquet(f"{root}/rows").count() == 100 and files[0] == files[1]
     # An attempt that did not finish is written anew.
-    (tmp_path / "rows" / "batch_id=0" / "_SUCCESS").unlink()
+    (tmp_path / "rows" / "_finished" / "0").unlink()
     sink.write(batch, 0)
     files.append(sorted(spark.read.parquet(f"{root}/rows").inputFiles()))
     assert spark.read.parquet(f"{root}/rows").count() == 100 and files[1] != files[2]
@@ -100,9 +100,42 @@ def test_run_is_published_once(spark, tmp_path):
     publish(spark, str(tmp_path), "a", range(10))
     with pytest.raises(ValueError, match="already exists"):
         publish(spark, str(tmp_path), "a", range(10))
-    (tmp_path / TOPIC / "run=a" / "_SUCCESS").unlink()
-    publish(spark, str(tmp_path), "a", range(7))
-    assert logs.read_files(spark, str(tmp_path), TOPIC).count() == 7
+    assert logs.read_files(spark, str(tmp_path), TOPIC).count() == 10
+
+
+def test_half_written_run_is_not_seen(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark, root, "a", range(10))
+    (tmp_path / TOPIC / "run=a").rename(tmp_path / TOPIC / "_staging-b")
+    publish(spark, root, "c", range(3))
+    assert logs.read_files(spark, root, TOPIC).count() == 3
+    ingest(spark, root, sinks.files(f"{root}/rows"))
+    assert sinks.read_files(spark, f"{root}/rows").count() == 3
+    publish(spark, root, "b", range(4))
+    assert logs.read_files(spark, root, TOPIC).count() == 7
+
+
+def test_unfinished_batch_is_not_read(spark, tmp_path):
+    sink, path = sinks.files(f"{tmp_path}/rows"), f"{tmp_path}/rows"
+    for number in range(3):
+        sink.write(spark.range(3), number)
+    (tmp_path / "rows" / "_finished" / "1").unlink()
+    assert sinks.read_files(spark, path).count() == 6
+    sink.write(spark.range(5), 1)
+    assert sinks.read_files(spark, path).count() == 11
+    with pytest.raises(ValueError, match="no batch"):
+        sinks.read_files(spark, f"{tmp_path}/other")
+
+
+def test_positions_do_not_depend_on_splits(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "concat('text ', id) AS text")
+    found = []
+    for n in (2, 3):
+        twice = rows.union(rows.where("id % 2 = 0")).repartition(n)
+        logs.publish_files(number_equal(to_log(twice, "t")), f"{tmp_path}/{n}", "t", "r")
+        log = logs.read_files(spark, f"{tmp_path}/{n}", "t")
+        found.append(sorted((bytes(r.value), r.id) for r in shape.add_id(log).collect()))
+    assert found[0] == found[1] and len({name for _, name in found[0]}) == 1500
 
 
 def test_failed_publish_can_be_repeated(spark, tmp_path, monkeypatch):
@@ -112,18 +145,40 @@ def test_failed_publish_can_be_repeated(spark, tmp_path, monkeypatch):
     responded = spark.createDataFrame(rows, schemas.LANDED_RESPONSE)
 
     def run():
-        paths = {"log_root": f"{root}/log", "rejects": f"{root}/rejects"}
-        daily.publish_landed("warnings", responded, run="r", **paths)
+        paths = {"log": logs.FileLog(f"{root}/log"), "rejects": f"{root}/rejects"}
+        return daily.publish_landed("warnings", responded, run="r", **paths)
 
     with monkeypatch.context() as patch:
         patch.setattr(logs, "publish_files", lambda *_, **__: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run()
-    run()
-    assert logs.read_files(spark, f"{root}/log", TOPIC).count() == 1
-    assert spark.read.parquet(f"{root}/rejects/warnings").count() == 1
-    with pytest.raises(ValueError, match="already exists"):
-        run()
+    with pytest.raises(ValueError, match="no run"):
+        daily.read_rejects(spark, "warnings", f"{root}/rejects")
+    for is_new in (True, False):
+        assert run() is is_new
+        assert logs.read_files(spark, f"{root}/log", TOPIC).count() == 1
+        assert daily.read_rejects(spark, "warnings", f"{root}/rejects").count() == 1
+
+
+def test_run_is_repeatable_after_a_failed_ingest(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(str(n), "T", "d", 200, f'[{{"RegId":{n}}}]') for n in range(5)]
+    landed_rows = spark.createDataFrame(rows, schemas.LANDED_RESPONSE)
+    landed_rows.write.parquet(f"{root}/landed/warnings/run=d")
+    good = sinks.files(f"{root}/rows")
+    broken = sinks.BatchSink(lambda *_: 1 / 0, good.batches)
+
+    def run(sink):
+        daily.run(
+            spark, "warnings", "d", landed_root=f"{root}/landed", log=logs.FileLog(f"{root}/log"),
+            rejects=f"{root}/rejects", sink=sink, checkpoints=f"{root}/checkpoints",
+        )
+
+    with pytest.raises(Exception, match="division by zero"):
+        run(broken)
+    for _ in range(2):
+        run(good)
+        assert sinks.read_files(spark, f"{root}/rows").count() == 5
 
 
 def test_catalog_table(spark, tmp_path):
@@ -161,23 +216,25 @@ def test_failing_batch_fails_the_run_and_is_made_up_for(spark, tmp_path):
     assert stored.count() == 100 == len(set(ids(stored)))
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 500_000])
-def test_upsert_keeps_the_last_write(spark, tmp_path, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(keyed, "BROADCAST_ROWS", broadcast_rows)
+def test_upsert_keeps_the_last_write(spark, tmp_path):
     root, keys = str(tmp_path), ["reg_id"]
     sink = keyed.upsert_files(f"{root}/table")
 
+    def ingest_positions():
+        rows = feeds.warning_rows(logs.stream_files(spark, root, TOPIC), with_position=True)
+        runs.run_to_end(rows, sink, name="w", checkpoints=f"{root}/cp")
+
     def current():
         rows = keyed.read_latest(spark, f"{root}/table", keys).collect()
         return {row["reg_id"]: row["main_text"] for row in rows}
 
     assert keyed.compact(spark, f"{root}/table", keys) is None
     publish(spark, root, "a", range(10))
-    ingest(spark, root, sink, max_files=None)
+    ingest_positions()
     assert current() == {n: "first" for n in range(10)}
     assert keyed.compact(spark, f"{root}/table", keys) == 0
     publish(spark, root, "b", range(5, 15), "second")
-    ingest(spark, root, sink, max_files=None)
+    ingest_positions()
     expected = {n: "first" if n < 5 else "second" for n in range(15)}
     assert current() == expected
     assert keyed.compact(spark, f"{root}/table", keys) == 1
@@ -185,30 +242,36 @@ def test_upsert_keeps_the_last_write(spark, tmp_path, monkeypatch, broadcast_row
     assert current() == expected
 
 
-def test_small_changes_leave_the_base_in_place(spark, tmp_path):
-    root, keys = str(tmp_path), ["k", "part"]
+def test_only_touched_buckets_are_shuffled_and_rewritten(spark, tmp_path):
+    root, keys, order = str(tmp_path), ["k", "part"], ["batch_id", "v"]
     rows = spark.range(1000).select(
         F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("a").alias("part"), F.lit(0).alias("v")
     )
     sink = keyed.upsert_files(root)
     sink.write(rows, 0)
-    keyed.compact(spark, root, keys)
-    assert "Exchange" not in keyed.read_latest(spark, root, keys)._jdf.queryExecution().toString()
-    sink.write(rows.filter("k IS NULL OR k % 10 = 0").withColumn("v", F.lit(1)), 1)
+    keyed.compact(spark, root, keys, order)
+    plain = keyed.read_latest(spark, root, keys, order)
+    assert "Exchange" not in plain._jdf.queryExecution().toString()
+    sink.write(rows.filter("k IS NULL OR k = 10").withColumn("v", F.lit(1)), 1)
     sink.write(rows.limit(1).selectExpr("5000L AS k", "part", "2 AS v"), 2)
-    latest = keyed.read_latest(spark, root, keys)
+    latest = keyed.read_latest(spark, root, keys, order)
     assert {row["v"]: row["count"] for row in latest.groupBy("v").count().collect()} == {
-        0: 900,
-        1: 100,
+        0: 998,
+        1: 2,
         2: 1,
     }
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
-    # The untouched rows of the base: a join with the broadcast keys right over its scan.
-    untouched = plan[plan.index("LeftAnti") : plan.index("BroadcastExchange")]
-    assert "FileScan parquet" in untouched and "hashpartitioning" not in untouched
-    assert keyed.compact(spark, root, keys) == 2
-    assert keyed.read_latest(spark, root, keys).exceptAll(latest).count() == 0
+    assert "Join" not in plan and "Broadcast" not in plan
+    expected = {tuple(row) for row in latest.collect()}
+    assert keyed.compact(spark, root, keys, order) == 2
+    assert len(list((tmp_path / "base" / "through=2").glob("bucket=*"))) <= 3
+    assert {tuple(row) for row in keyed.read_latest(spark, root, keys, order).collect()} == expected
+
+
+def test_upsert_without_an_order_is_refused(spark, tmp_path):
+    keyed.upsert_files(str(tmp_path)).write(spark.range(3), 0)
+    with pytest.raises(ValueError, match="break ties"):
+        keyed.read_latest(spark, str(tmp_path), ["id"])
 
 
 def test_unfinished_base_is_not_read(spark, tmp_path):
@@ -216,7 +279,8 @@ def test_unfinished_base_is_not_read(spark, tmp_path):
     publish(spark, root, "a", range(10))
     ingest(spark, root, keyed.upsert_files(f"{root}/table"))
     (tmp_path / "table" / "base" / "through=9").mkdir(parents=True)
-    assert keyed.read_latest(spark, f"{root}/table", ["reg_id"]).count() == 10
+    found = keyed.read_latest(spark, f"{root}/table", ["reg_id"], ["batch_id", "id"])
+    assert found.count() == 10
 
 
 def test_continuous_query(spark, tmp_path):
@@ -296,7 +360,7 @@ def test_daily_run(spark, tmp_path):
             "weather",
             day,
             landed_root=f"{root}/landed",
-            log_root=f"{root}/log",
+            log=logs.FileLog(f"{root}/log"),
             rejects=f"{root}/rejects",
             sink=sink,
             checkpoints=f"{root}/checkpoints",
@@ -306,7 +370,7 @@ def test_daily_run(spark, tmp_path):
     assert stored.count() == 35 == len(set(ids(stored)))
     assert stored.filter("region_id = '3022' AND latitude IS NOT NULL").count() == 35
     assert sinks.read_split(spark, f"{root}/rows", rejected=True).count() == 0
-    rejects = spark.read.parquet(f"{root}/rejects/weather")
+    rejects = daily.read_rejects(spark, "weather", f"{root}/rejects")
     assert [row["reject_reason"] for row in rejects.collect()] == ["status"] * 5
 
 
@@ -318,7 +382,44 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(f"{root}/rows").count() == 10
     main([*command[:4], f"{root}/cp2", "--once", "--mode", "quarantine", "--sink", f"files:{root}/q"])
     assert sinks.read_split(spark, f"{root}/q", rejected=False).count() == 10
+    main([*command[:4], f"{root}/cp3", "--once", "--sink", f"upsert:{root}/keyed"])
+    assert keyed.read_latest(spark, f"{root}/keyed", ["reg_id"]).count() == 10
+    main([*command[:4], f"{root}/cp4", "--once", "--mode", "quarantine", "--sink", "table"])
+    checked = spark.table(f"{schemas.WARNING_NAMESPACE}.{schemas.WARNING_TABLE}_checked")
+    assert checked.where("reject_reason IS NULL").count() == 10
     with pytest.raises(SystemExit):
-        main([*command, "--sink", "table", "--mode", "quarantine"])
+        main([*command, "--sink", "cassandra", "--mode", "quarantine"])
     with pytest.raises(SystemExit):
         main([*command, "--sink", "elsewhere"])
+
+
+def test_daily_commands(spark, tmp_path):
+    root = str(tmp_path)
+    main(["plan", "warnings", "--date", "2025-01-25", "--out", f"{root}/requests"])
+    assert spark.read.parquet(f"{root}/requests").where("url LIKE '%2025-01-25'").count() == 1
+    rows = [(str(n), "T", "d", 200, f'[{{"RegId":{n}}}]') for n in range(5)]
+    responses_ = spark.createDataFrame(rows, schemas.LANDED_RESPONSE)
+    for run in ("a", "b"):
+        responses_.write.parquet(f"{root}/landed/warnings/run={run}")
+    places = ["--log", f"files:{root}/log", "--rejects", f"{root}/rejects"]
+    main(["publish", "warnings", "--run", "a", "--landed", f"{root}/landed/warnings/run=a", *places])
+    main(
+        ["run", "warnings", "--date", "b", "--landed-root", f"{root}/landed", *places]
+        + ["--sink", f"files:{root}/rows", "--checkpoints", f"{root}/cp"]
+    )
+    assert sinks.read_files(spark, f"{root}/rows").count() == 10
+    assert logs.open_log("kafka:a:1,b:2", max_offsets=5) == logs.KafkaLog("a:1,b:2", {"max_offsets": 5})
+    with pytest.raises(ValueError, match="unknown log"):
+        logs.open_log("files:")
+
+
+def test_kafka_log_publishes_and_reads_its_topic(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(logs, "publish_kafka", lambda *given: sent.append(given))
+    monkeypatch.setattr(logs, "read_kafka", lambda _, options: sent.append(options))
+    log = logs.open_log("kafka:broker:29092", min_partitions=8)
+    log.publish("records", "t", "run")
+    log.stream(spark, "t")
+    assert sent[0] == ("records", "t", "broker:29092")
+    assert sent[1]["minPartitions"] == "8" and sent[1]["subscribe"] == "t"
+    assert not log.is_published(spark, "t", "run")
