@@ -13,6 +13,7 @@ from feedloom.llm import (
     licenses,
     nearest,
     ngram_join,
+    oracles,
     positional_index,
     quality,
     sentence_pieces,
@@ -121,4 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": oracles.NGRAM_JOIN,
+    "op3_decontamination": oracles.DECONTAMINATION,
+    "op7_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
