@@ -10,8 +10,8 @@ are compared in four steps, none of which needs all of the corpus in one place:
 2. Occurrences meet in shards by anchor hash. Where the contents of two are equal as a whole, the one
    in the later document is repeated. An anchor with different contents leaves a *contest*: the first
    document of each content is still to be searched for windows that other contents hold.
-   Equal contents within one batch are settled before the shuffle, so that a passage which very many
-   documents share crosses it once per batch.
+   Equal contents within some megabytes are settled before the shuffle, so that a passage which very
+   many documents share crosses it once for each such stretch.
 3. Contested occurrences fetch their symbols and are searched, shard by shard, by an index over them
    (``search``, which an operator supplies).
 4. Repeated places go back to their documents.
@@ -37,6 +37,8 @@ from feedloom.llm.tables import shuffle_partitions, stored
 
 _U = np.uint64
 _PLACE_BITS = 24
+# Text whose occurrences are settled and packed together.
+PACKED_BYTES = 8 << 20
 # Symbols that one in-memory index holds at most, unless a single anchor has more.
 INDEX_SYMBOLS = 400_000
 
@@ -166,43 +168,49 @@ def _unpack(packet: bytes, settled: bool):
     return np.repeat(doc, sizes), np.repeat(row_key, sizes), start, count, hashes
 
 
+def _packed(
+    doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, shards: int
+) -> pa.RecordBatch:
+    """The packets of some rows' occurrences, equal contents settled among them."""
+    order, new, least = _ranked(occ, doc)
+    settled = np.zeros(len(doc), bool)
+    settled[order] = doc[order] > least[np.cumsum(new) - 1]
+    shard = (occ.anchor & _U(0xFFFFFF)).astype(np.int64) % shards
+    out: list[list] = [[], [], []]
+    for done in (False, True):
+        which = np.flatnonzero(settled == done)
+        own = row_key[which] % shards if done else shard[which]
+        in_order = np.argsort(own, kind="stable")
+        which, own = which[in_order], own[in_order]
+        for group in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1):
+            if len(group):
+                pick = which[group]
+                out[0].append(int(own[group[0]]))
+                out[1].append(done)
+                out[2].append(_pack(doc[pick], row_key[pick], occ.pick(pick), done))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(out[0], pa.int32()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.binary())],
+        ["shard", "settled", "packet"],
+    )
+
+
 def _packets(kind: Kind, shards: int) -> Callable:
-    """Batches of (doc, row key, text) into (shard, settled, packet)."""
+    """Batches of (doc, row key, text) into (shard, settled, packet), some megabytes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
+            docs, row_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            parts, size = [], 0
             for chunk in chunks(batch.column(2)):
                 codes, bounds = kind.symbols(chunk)
                 occ = occurrences(codes, bounds, kind)
                 parts.append(occ._replace(row=occ.row + chunk.first))
-            if not parts:
-                continue
-            occ = Occurrences(*(np.concatenate(c) for c in zip(*parts)))
-            if not len(occ.row):
-                continue
-            doc = batch.column(0).to_numpy()[occ.row]
-            row_key = batch.column(1).to_numpy()[occ.row]
-            order, new, least = _ranked(occ, doc)
-            settled = np.zeros(len(doc), bool)
-            settled[order] = doc[order] > least[np.cumsum(new) - 1]
-            shard = (occ.anchor & _U(0xFFFFFF)).astype(np.int64) % shards
-            out: list[list] = [[], [], []]
-            for done in (False, True):
-                which = np.flatnonzero(settled == done)
-                own = shard[which] if not done else row_key[which] % shards
-                which = which[np.argsort(own, kind="stable")]
-                own = np.sort(own)
-                for group in np.split(which, np.flatnonzero(np.diff(own)) + 1):
-                    if len(group):
-                        s = row_key[group[0]] % shards if done else shard[group[0]]
-                        out[0].append(int(s))
-                        out[1].append(done)
-                        out[2].append(_pack(doc[group], row_key[group], occ.pick(group), done))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), pa.array(out[1]), pa.array(out[2], pa.binary())],
-                ["shard", "settled", "packet"],
-            )
+                size += len(chunk.data)
+                if size >= PACKED_BYTES or chunk.last == batch.num_rows:
+                    occ = Occurrences(*(np.concatenate(c) for c in zip(*parts)))
+                    if len(occ.row):
+                        yield _packed(docs[occ.row], row_keys[occ.row], occ, shards)
+                    parts, size = [], 0
 
     return run
 
