@@ -75,6 +75,7 @@ RESPONSE_KEYS = [
     "elevation",
 ]
 
+# Daily variables that are not numbers with a fraction.
 _DAILY_TYPES = {"time": StringType(), "weathercode": IntegerType()}
 
 DAILY_WIRE = StructType(
@@ -90,6 +91,7 @@ def weather_wire(elevation: str = "double") -> StructType:
     """
     if elevation not in ("double", "int_strict"):
         raise ValueError(f"elevation must be 'double' or 'int_strict', not {elevation!r}")
+    # Members of the document and their types.
     return StructType(
         [
             StructField("region_id", StringType(), False),
