@@ -186,7 +186,8 @@ def search(
         held.union(asked)
         .groupBy("table", "bucket", "part")
         .applyInArrow(_nearest(k), "query_id long, vec_id long, score double")
-        .distinct()
+        .groupBy("query_id", "vec_id")
+        .agg(F.min("score").alias("score"))
     )
     in_order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
