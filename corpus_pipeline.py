@@ -26,24 +26,27 @@ from feedloom.llm import (
     sentence_pieces,
     substring_index,
 )
-from feedloom.llm.tables import stored, table
+from feedloom.llm.tables import small_batches, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     network = language_id.fit(docs.where(~queries.held_out()))
     found = language_id.predict(docs, network, keep=COLUMNS)
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = ngram_join.similar_groups(docs)
     first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = substring_index.remove_repeats(docs, keep=COLUMNS)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     cut = found.where("n_removed < n_words").withColumn("text", text)
@@ -51,12 +54,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = positional_index.contamination(docs, table(spark, sf_dir, "benchmark"))
     dirty = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
     return docs.join(dirty, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return sentence_pieces.encode(
         docs, queries.PIECE_MODEL, outputs=("ids", "begins", "ends", "decoded")
     )

@@ -21,7 +21,7 @@ from feedloom.llm import (
     suffix_dedup,
     url_filter,
 )
-from feedloom.llm.tables import table
+from feedloom.llm.tables import small_batches, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -114,8 +114,19 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _in_small_batches(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: _in_small_batches(f)
     for f in (
         op1_ngram_join, op2_license_scan, op3_decontamination, op4_url_filter, op5_quality,
         op6_language_id, op7_substring_dedup, op8_suffix_dedup, op9_sentence_pieces, op10_nearest,

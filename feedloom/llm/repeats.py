@@ -399,7 +399,9 @@ def with_repeats(
 
     The columns of ``keep`` come under the names ``_0``, ``_1`` and so on.
     """
-    shards = shuffle_partitions(df.sparkSession)
+    partitions = shuffle_partitions(df.sparkSession)
+    # A shard is held in memory as a whole; two of them make up an ordinary partition.
+    shards = 2 * partitions
     rows = df.select(
         F.col(key).cast("bigint").alias("doc"), F.xxhash64(key, text).alias("row_key"),
         F.col(text).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)],
@@ -412,7 +414,7 @@ def with_repeats(
     resolved = stored(
         packets.groupBy("shard").applyInArrow(_resolve(kind), _RESOLVED), f"repeats-{kind.name}"
     )
-    texts = rows.repartition(shards, "row_key")
+    texts = rows.repartition(partitions, "row_key")
     contests = (
         resolved.where(F.length("contested") > 0)
         .groupBy("row_key")

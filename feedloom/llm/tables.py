@@ -12,6 +12,15 @@ from feedloom.session import scratch_dir
 FILTER_PLACES = 1 << 20
 
 
+# Rows of an Arrow batch between Spark and Python. Texts are long, and a batch is held several times.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's batch size for whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
