@@ -7,6 +7,9 @@ are compared in four steps, none of which needs all of the corpus in one place:
 1. Each window chooses its anchor, the slice of ``anchor`` symbols in it with the smallest hash (the
    leftmost of equal ones). Equal windows choose equal anchors, so they meet at the anchor's hash.
    Neighbouring windows mostly share an anchor; such a run of windows is one *occurrence*.
+   Slices that are frequent in the table are passed over, so that no anchor gathers very many
+   occurrences; a window of frequent slices only is an occurrence by itself, with its own hash for an
+   anchor. Any set of frequent slices gives the same result, so they are counted on a sample.
 2. Occurrences meet in shards by anchor hash. Where the contents of two are equal as a whole, the one
    in the later document is repeated. An anchor with different contents leaves a *contest*: the first
    document of each content is still to be searched for windows that other contents hold.
@@ -32,15 +35,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.arrays import BYTE_CODES, Chunk, chunks, expand, rolling, word_codes, words
-from feedloom.llm.tables import shuffle_partitions, stored
+from feedloom.llm.arrays import BYTE_CODES, Chunk, chunks, expand, mix, rolling, word_codes, words
+from feedloom.llm.tables import FILTER_PLACES, shuffle_partitions, stored
 
 _U = np.uint64
 _PLACE_BITS = 24
 # Text whose occurrences are settled and packed together.
 PACKED_BYTES = 8 << 20
-# Symbols that one in-memory index holds at most, unless a single anchor has more.
+# Symbols that one in-memory index holds at most, and the segments of one anchor besides.
 INDEX_SYMBOLS = 400_000
+# A slice that stands in so many places is no anchor; about half as many may do.
+FREQUENT = 8_000
+# So many of a frequent slice's places are sampled.
+_SAMPLED = 128
 
 
 class Kind(NamedTuple):
@@ -83,7 +90,10 @@ class Occurrences(NamedTuple):
         return Occurrences(*(column[which] for column in self))
 
 
-def occurrences(codes: np.ndarray, bounds: np.ndarray, kind: Kind) -> Occurrences:
+def occurrences(
+    codes: np.ndarray, bounds: np.ndarray, kind: Kind, frequent: np.ndarray | None = None
+) -> Occurrences:
+    """``frequent`` tells for the low bits of a slice's hash whether it is passed over."""
     counts = np.maximum(0, np.diff(bounds) - kind.window + 1)
     if not counts.any():
         return Occurrences(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U)))
@@ -91,6 +101,10 @@ def occurrences(codes: np.ndarray, bounds: np.ndarray, kind: Kind) -> Occurrence
     grams = roll.every(kind.anchor)
     bits = _U(max(_PLACE_BITS, len(grams).bit_length()))
     low = (grams >> bits << bits) | np.arange(len(grams), dtype=_U)
+    last = ~_U(0) >> bits << bits
+    if frequent is not None:
+        passed = frequent[(grams & _U(FILTER_PLACES - 1)).astype(np.int64)]
+        low[passed] |= last
     reach, width = kind.window - kind.anchor + 1, 1
     while 2 * width <= reach:
         low = np.minimum(low[:-width], low[width:])
@@ -103,8 +117,17 @@ def occurrences(codes: np.ndarray, bounds: np.ndarray, kind: Kind) -> Occurrence
     count = np.diff(np.append(first, len(place)))
     start = starts[first]
     row = np.searchsorted(bounds, start, "right") - 1
+    anchor = grams[place[first]]
+    # Windows without another slice: places differ from window to window, so each is a run of its own.
+    bare = np.flatnonzero((low[start] & last) == last)
+    if frequent is not None and len(bare):
+        at, half = start[bare], kind.window // 2
+        anchor[bare] = mix(
+            roll.hashes(at, at + half) * _U(0xC2B2AE3D27D4EB4F)
+            + roll.hashes(at + half, at + kind.window)
+        )
     return Occurrences(
-        row, start - bounds[row], count, grams[place[first]],
+        row, start - bounds[row], count, anchor,
         roll.hashes(start, start + count - 1 + kind.window),
     )
 
@@ -132,7 +155,7 @@ def _pack(doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, settled: bool)
         doc[first].astype("<i8"), row_key[first].astype("<i8"),
         np.diff(np.append(first, len(occ.row))).astype("<i4"),
         step.astype("<u4").view(np.uint8).reshape(-1, 4).T.copy(),
-        occ.count.astype("<u2"),
+        occ.count.astype("<u4" if settled else "<u2").view(np.uint8),
     ]
     if not settled:
         parts += [
@@ -155,7 +178,8 @@ def _unpack(packet: bytes, settled: bool):
     doc, row_key = take(8 * n_docs).view("<i8"), take(8 * n_docs).view("<i8")
     sizes = take(4 * n_docs).copy().view("<i4")
     step = take(4 * n).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
-    count = take(2 * n).copy().view("<u2").astype(np.int64)
+    wide = 4 if settled else 2
+    count = take(wide * n).copy().view(f"<u{wide}").astype(np.int64)
     total = np.cumsum(step)
     first = np.cumsum(sizes) - sizes
     before = np.concatenate([[0], total])[first]
@@ -168,6 +192,15 @@ def _unpack(packet: bytes, settled: bool):
     return np.repeat(doc, sizes), np.repeat(row_key, sizes), start, count, hashes
 
 
+def _joined(occ: Occurrences) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of windows begin that follow each other in a row, and how many windows each has."""
+    if not len(occ.row):
+        return occ.row, occ.count
+    follows = (occ.row[1:] == occ.row[:-1]) & (occ.start[1:] == occ.start[:-1] + occ.count[:-1])
+    first = np.flatnonzero(np.append(True, ~follows))
+    return first, np.add.reduceat(occ.count, first)
+
+
 def _packed(
     doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, shards: int
 ) -> pa.RecordBatch:
@@ -185,25 +218,64 @@ def _packed(
         for group in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1):
             if len(group):
                 pick = which[group]
+                part = occ.pick(pick)
+                if done:
+                    first, count = _joined(part)
+                    pick, part = pick[first], part.pick(first)._replace(count=count)
                 out[0].append(int(own[group[0]]))
                 out[1].append(done)
-                out[2].append(_pack(doc[pick], row_key[pick], occ.pick(pick), done))
+                out[2].append(_pack(doc[pick], row_key[pick], part, done))
     return pa.RecordBatch.from_arrays(
         [pa.array(out[0], pa.int32()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.binary())],
         ["shard", "settled", "packet"],
     )
 
 
-def _packets(kind: Kind, shards: int) -> Callable:
+def _sampled(kind: Kind, share: float) -> Callable:
+    """Batches of texts into the hashes of a share of their slices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(5)
+        for batch in batches:
+            for chunk in chunks(batch.column(0)):
+                slices = rolling(kind.symbols(chunk)[0]).every(kind.anchor)
+                taken = slices[rng.random(len(slices)) < share]
+                yield pa.RecordBatch.from_arrays([pa.array(taken.view(np.int64))], ["slice"])
+
+    return run
+
+
+def frequent_slices(texts: DataFrame, kind: Kind, frequent: int) -> bytes:
+    """A bit for every value of the low bits of a slice's hash: whether such a slice is frequent.
+
+    The set has FILTER_PLACES places, whatever the table; a rare slice that shares one is passed over too.
+    """
+    share = min(1.0, _SAMPLED / frequent)
+    found = (
+        texts.mapInArrow(_sampled(kind, share), "slice long")
+        .groupBy("slice")
+        .count()
+        .where(F.col("count") >= share * frequent / 2)
+        .select(F.col("slice").bitwiseAND(FILTER_PLACES - 1).alias("place"))
+        .distinct()
+        .toArrow()
+    )
+    held = np.zeros(FILTER_PLACES, bool)
+    held[found.column("place").to_numpy()] = True
+    return np.packbits(held).tobytes()
+
+
+def _packets(kind: Kind, shards: int, frequent: bytes) -> Callable:
     """Batches of (doc, row key, text) into (shard, settled, packet), some megabytes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
         for batch in batches:
             docs, row_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             parts, size = [], 0
             for chunk in chunks(batch.column(2)):
                 codes, bounds = kind.symbols(chunk)
-                occ = occurrences(codes, bounds, kind)
+                occ = occurrences(codes, bounds, kind, passed)
                 parts.append(occ._replace(row=occ.row + chunk.first))
                 size += len(chunk.data)
                 if size >= PACKED_BYTES or chunk.last == batch.num_rows:
@@ -393,11 +465,13 @@ def _searched(kind: Kind, search: Search) -> Callable:
 
 
 def with_repeats(
-    df: DataFrame, kind: Kind, search: Search, key: str, text: str, keep: list[str]
-) -> DataFrame:
+    df: DataFrame, kind: Kind, search: Search, key: str, text: str, keep: list[str],
+    frequent: int = FREQUENT,
+) -> DataFrame:
     """Every row's ``text``, ``repeated`` (its spans as packed places, or null) and kept columns.
 
-    The columns of ``keep`` come under the names ``_0``, ``_1`` and so on.
+    The columns of ``keep`` come under the names ``_0``, ``_1`` and so on. Slices in ``frequent`` places
+    and more are no anchors.
     """
     partitions = shuffle_partitions(df.sparkSession)
     # A shard is held in memory as a whole; two of them make up an ordinary partition.
@@ -406,10 +480,10 @@ def with_repeats(
         F.col(key).cast("bigint").alias("doc"), F.xxhash64(key, text).alias("row_key"),
         F.col(text).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)],
     )
-    packets = (
-        rows.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
-        .select("doc", "row_key", "text")
-        .mapInArrow(_packets(kind, shards), "shard int, settled boolean, packet binary")
+    compared = rows.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
+    passed = frequent_slices(compared.select("text"), kind, frequent)
+    packets = compared.select("doc", "row_key", "text").mapInArrow(
+        _packets(kind, shards, passed), "shard int, settled boolean, packet binary"
     )
     resolved = stored(
         packets.groupBy("shard").applyInArrow(_resolve(kind), _RESOLVED), f"repeats-{kind.name}"

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm import ngram_join, queries, substring_index, suffix_dedup
+from feedloom.llm import ngram_join, queries, repeats, substring_index, suffix_dedup
 from feedloom.llm.components import components
 from feedloom.llm.tables import table
 
@@ -116,6 +116,54 @@ def test_repeats_of_nothing_and_null_keys(spark, empty, remove):
     assert sorted(map(tuple, found), key=repr) == [(1, False), (1, False), (2, True), (None, False)]
 
 
+def _bounded(search, most):
+    def run(symbols, bounds, doc):
+        assert len(symbols) <= most, f"an index of {len(symbols)} symbols"
+        return search(symbols, bounds, doc)
+
+    return run
+
+
+@pytest.mark.parametrize("kind, search", [
+    (repeats.of_words(), substring_index.search), (repeats.of_bytes(), suffix_dedup.search),
+])
+def test_a_line_of_very_many_documents_is_not_searched_in_one_index(spark, kind, search):
+    """A line shorter than a window, in different surroundings, and two documents that repeat."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def own(n):
+        return ["".join(w) for w in letters[rng.integers(0, 26, (n, 6))]]
+
+    line = own(45) if kind.name == "words" else own(5)
+    docs = [(i, " ".join(own(25) + line + own(25))) for i in range(20_000)]
+    docs += [(30_000, docs[70][1]), (30_001, "x " + docs[9_000][1] + " y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(16)
+    guarded = _bounded(search, 2 * repeats.INDEX_SYMBOLS)
+    found = repeats.with_repeats(df, kind, guarded, "doc_id", "text", ["doc_id"])
+    spans = {
+        r._0: [(int(a), int(b)) for a, b in zip(*repeats.spans_from_bytes(r.repeated))]
+        for r in found.where("repeated is not null").collect()
+    }
+    sizes = [95 if kind.name == "words" else len(docs[i][1]) for i in (70, 9_000)]
+    before = 1 if kind.name == "words" else 2
+    assert spans == {30_000: [(0, sizes[0])], 30_001: [(before, before + sizes[1])]}
+
+
+@pytest.mark.parametrize("frequent", [2, 6, 40])
+def test_repeats_with_frequent_slices(spark, clashing, tricky, frequent):
+    for kind, search, plain in (
+        (repeats.of_words(), substring_index.search, brute.repeated(tricky, brute.SPACED.findall)),
+        (repeats.of_bytes(), suffix_dedup.search, brute.repeated(tricky, lambda t: list(t.encode()))),
+    ):
+        found = repeats.with_repeats(clashing, kind, search, "doc_id", "text", ["doc_id"], frequent)
+        for r in found.collect():
+            hit = np.zeros(len(plain[r._0][0]), bool)
+            for a, b in zip(*repeats.spans_from_bytes(r.repeated or [])):
+                hit[a:b] = True
+            assert (hit == plain[r._0][1]).all()
+
+
 @pytest.mark.parametrize("module, dtype", [(substring_index, "u8"), (suffix_dedup, "u1")])
 def test_search(module, dtype):
     rng = np.random.default_rng(8)
