@@ -19,7 +19,8 @@ are compared in four steps, none of which needs all of the corpus in one place:
    (``search``, which an operator supplies).
 4. Repeated places go back to their documents.
 
-Hashes of contents have 80 bits together with the anchor's; the search in step 3 compares symbols.
+Hashes of contents have 104 bits together with the anchor's, 64 of them within one anchor; the search in
+step 3 compares symbols.
 
 Rows are told apart by key and text. Rows with the same key never make each other's windows repeated.
 A null key takes no part: its text is kept whole. A null text is empty. Further columns are ignored.
@@ -159,8 +160,8 @@ def _pack(doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, settled: bool)
     ]
     if not settled:
         parts += [
-            (hashes >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5].copy()
-            for hashes in (occ.anchor, occ.content)
+            (occ.anchor >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5].copy(),
+            occ.content.astype("<u8"),
         ]
     return b"".join(p.tobytes() for p in parts)
 
@@ -185,10 +186,10 @@ def _unpack(packet: bytes, settled: bool):
     before = np.concatenate([[0], total])[first]
     start = total - np.repeat(before, sizes)
     hashes = []
-    for _ in range(0 if settled else 2):
-        wide = np.zeros((n, 8), np.uint8)
-        wide[:, :5] = take(5 * n).reshape(-1, 5)
-        hashes.append(wide.view("<u8")[:, 0])
+    if not settled:
+        anchor = np.zeros((n, 8), np.uint8)
+        anchor[:, :5] = take(5 * n).reshape(-1, 5)
+        hashes = [anchor.view("<u8")[:, 0], take(8 * n).copy().view("<u8")]
     return np.repeat(doc, sizes), np.repeat(row_key, sizes), start, count, hashes
 
 

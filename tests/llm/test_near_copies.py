@@ -2,6 +2,7 @@
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,20 @@ def test_a_line_of_very_many_documents_is_not_searched_in_one_index(spark, kind,
     assert spans == {30_000: [(0, sizes[0])], 30_001: [(before, before + sizes[1])]}
 
 
+def test_contents_of_one_anchor_are_told_apart_by_all_bits():
+    """Two documents' contents that differ in the low 24 bits only are a contest, not a repeat."""
+    column = lambda *values: np.array(values, np.int64)
+    content = np.array([5 << 40, (5 << 40) + 1], np.uint64)
+    occ = repeats.Occurrences(
+        column(0, 1), column(3, 9), column(1, 1), np.full(2, 7 << 40, np.uint64), content
+    )
+    batch = repeats._packed(column(1, 2), column(11, 12), occ, 1)
+    found = repeats._resolve(repeats.of_words())(pa.Table.from_batches([batch])).to_pylist()
+    assert [(r["row_key"], r["repeated"], len(r["contested"])) for r in found] == [
+        (11, b"", repeats._CONTEST.itemsize), (12, b"", repeats._CONTEST.itemsize)
+    ]
+
+
 @pytest.mark.parametrize("frequent", [2, 6, 40])
 def test_repeats_with_frequent_slices(spark, clashing, tricky, frequent):
     for kind, search, plain in (
