@@ -101,12 +101,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentence_pieces.encode(
-        table(spark, sf_dir, "documents"), PIECE_MODEL, outputs=("ids", "decoded")
+        table(spark, sf_dir, "documents"), PIECE_MODEL, outputs=("ids", "begins", "ends", "decoded")
     )
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+
+    def joined(name: str):
+        return F.array_join(F.col(name).cast("array<string>"), ",")
+
+    spans = F.concat_ws(";", joined("begins"), joined("ends"))
     return found.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(joined("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2(spans, 256).alias("spans_sha256"),
     )
 
 

@@ -239,3 +239,17 @@ def test_pipeline_stages_on_edges(spark):
         found = stage(spark, few, SMALL_DIR)
         assert name == "pieces" or found.columns == columns
         found.collect()
+
+
+def test_pieces_query_covers_the_spans_of_all_documents(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
+    wanted = {}
+    for r in table(spark, sf_dir, "documents").select("doc_id", "text").collect():
+        text = r.text or ""
+        pieces = library.encode(text, return_type="proto").pieces
+        begins = ",".join(str(p.begin) for p in pieces)
+        ends = ",".join(str(p.end) for p in pieces)
+        wanted[r.doc_id] = len(pieces), brute.sha(f"{begins};{ends}")
+    found = queries.op9_sentence_pieces(spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_tokens, r.spans_sha256) for r in found} == wanted
