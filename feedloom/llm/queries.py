@@ -26,12 +26,13 @@ from feedloom.llm.tables import small_batches, table
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 URL_RULES = url_filter.rules(
-    "allow org/", "block example.org/es/", "allow example.org/en/1", "allow com/fr/", "block com/de/"
+    "allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"
 )
 
 
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string")) % 5 == 0
+    """One row in five by its key; a row without a key is not held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The positional index, URL filters and license scans."""
 
 import brute
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def test_near(spark):
 
 URLS = [
     (1, "http://A.Example.ORG/es/1", "a.example.org", "/es/1", "example.org/es/", "block"),
-    (2, "https://example.org/en/12?x=/es/", "example.org", "/en/12", "example.org/en/1", "allow"),
+    (2, "https://example.org/en/12?x=/es/", "example.org", "/en/12", "example.org/en/1", "block"),
     (3, "https://example.org/en/2#f", "example.org", "/en/2", "org/", "allow"),
     (4, "http://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
     (5, "http://x.com/fr/a", "x.com", "/fr/a", "com/fr/", "allow"),
@@ -129,6 +130,41 @@ def test_rules(spark, with_model):
         assert all(verdicts[u[0]] == "allow" for u in URLS if not u[4])
 
 
+RULES_SQL = """
+WITH rules(rule, verdict) AS (
+    VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'),
+           ('com/fr/', 'allow'), ('com/de/', 'block')
+), parts AS (
+    SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), places AS (
+    SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+), fits AS (
+    SELECT p.page_id, p.url, r.rule, r.verdict,
+           row_number() OVER (PARTITION BY p.page_id, p.url ORDER BY length(r.rule) DESC) AS place
+    FROM places p JOIN rules r
+      ON ('.' || p.host) LIKE ('%.' || split_part(r.rule, '/', 1))
+     AND starts_with(p.path, substr(r.rule, strpos(r.rule, '/')))
+)
+SELECT p.page_id, p.host, p.path, f.rule, f.verdict
+FROM places p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1 AND f.url IS NOT DISTINCT FROM p.url
+"""
+
+
+def test_rules_of_the_query_against_sql(spark):
+    """All that SQL can tell of the query's rows: host, path, rule, and the verdict of a rule."""
+    sf_dir = "/root/testdata/sf0.01"
+    told = queries.QUERIES["op4_url_filter"](spark, sf_dir).collect()
+    expected = oracle.connect(sf_dir).execute(RULES_SQL).fetchall()
+    assert sorted((r.page_id, r.host, r.path, r.rule) for r in told) == sorted(e[:4] for e in expected)
+    verdicts = {r.page_id: r.verdict for r in told}
+    assert all(verdicts[page] == verdict for page, _, _, rule, verdict in expected if rule)
+    assert {v for page, v in verdicts.items()} == {"allow", "block"}
+
+
 def test_url_tables_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "host string, path string, label int")
     assert url_filter.fit(none) is None
