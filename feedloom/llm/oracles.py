@@ -124,3 +124,36 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes,
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM cut LEFT JOIN kept USING (doc_id)
 """
+
+FILL_IN_MIDDLE = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[^\\n]*\\n|[^\\n]+') AS units,
+           CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM hashed
+), formed AS (
+    SELECT *, len(units) AS n,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                     OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+           least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+           greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b
+    FROM drawn
+), cut AS (
+    SELECT doc_id, t, n, form, coalesce(array_to_string(units[1:a], ''), '') AS p,
+           coalesce(array_to_string(units[a + 1:b], ''), '') AS m,
+           coalesce(array_to_string(units[b + 1:n], ''), '') AS s
+    FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""

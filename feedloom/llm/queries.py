@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
+    fill_in_middle,
     language_id,
     licenses,
     nearest,
@@ -120,6 +121,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.pieces(table(spark, sf_dir, "documents")))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -136,6 +141,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_ngram_join, op2_license_scan, op3_decontamination, op4_url_filter, op5_quality,
         op6_language_id, op7_substring_dedup, op8_suffix_dedup, op9_sentence_pieces, op10_nearest,
+        op13_fill_in_middle,
     )
 }
 
@@ -144,4 +150,5 @@ ORACLES: dict[str, str] = {
     "op3_decontamination": oracles.DECONTAMINATION,
     "op7_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
