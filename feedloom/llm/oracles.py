@@ -157,3 +157,52 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
        sha256(t) AS restored_sha256
 FROM cut
 """
+
+_KEPT_VECTORS = """
+kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+dims AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS d, unnest(v) AS x FROM kept),
+first AS (
+    SELECT row_number() OVER (
+               ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v
+    FROM kept
+),
+c0 AS MATERIALIZED (SELECT c, unnest(range(1, 65)) AS d, unnest(v) AS y FROM first WHERE c < 16)
+"""
+
+
+def _near(n: int) -> str:
+    return f"""
+a{n} AS MATERIALIZED (
+    SELECT r, c, distance
+    FROM (SELECT r, c, sum((x - y) * (x - y)) AS distance FROM dims JOIN c{n} USING (d) GROUP BY r, c)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1
+)"""
+
+
+def _moved(n: int) -> str:
+    return f"""
+s{n} AS (
+    SELECT c, d, sum(x) AS s, count(*) AS k FROM a{n} JOIN dims USING (r) GROUP BY c, d
+),
+c{n + 1} AS MATERIALIZED (
+    SELECT o.c, o.d, CAST(coalesce((s - ((s % k) + k) % k) // k, o.y) AS BIGINT) AS y
+    FROM c{n} o LEFT JOIN s{n} USING (c, d)
+)"""
+
+
+CENTROID_CLUSTERS = f"""
+WITH {_KEPT_VECTORS}, {", ".join(_near(n) + "," + _moved(n) for n in range(3))}, {_near(3)},
+names AS (
+    SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS h FROM c3 GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM a3 JOIN kept USING (r) JOIN names USING (c)
+"""

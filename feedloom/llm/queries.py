@@ -19,6 +19,7 @@ from feedloom.llm import (
     quality,
     sentence_pieces,
     substring_index,
+    subvector_clusters,
     suffix_dedup,
     url_filter,
 )
@@ -121,6 +122,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = subvector_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return subvector_clusters.described(found).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(fill_in_middle.pieces(table(spark, sf_dir, "documents")))
 
@@ -141,7 +149,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_ngram_join, op2_license_scan, op3_decontamination, op4_url_filter, op5_quality,
         op6_language_id, op7_substring_dedup, op8_suffix_dedup, op9_sentence_pieces, op10_nearest,
-        op13_fill_in_middle,
+        op12_centroid_clusters, op13_fill_in_middle,
     )
 }
 
@@ -150,5 +158,6 @@ ORACLES: dict[str, str] = {
     "op3_decontamination": oracles.DECONTAMINATION,
     "op7_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op8_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op12_centroid_clusters": oracles.CENTROID_CLUSTERS,
     "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
