@@ -18,6 +18,7 @@ from feedloom.llm import (
     positional_index,
     quality,
     sentence_pieces,
+    source_mix,
     substring_index,
     subvector_clusters,
     suffix_dedup,
@@ -122,6 +123,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document belongs to the one source that it names."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = source_mix.mix(documents, F.array("source"))
+    sources = found.sources.select(
+        F.col("source").alias("named"), F.col("size").alias("source_size"), "target"
+    )
+    own = F.col("sources")[0].eqNullSafe(F.col("named"))
+    return found.rows.join(sources, own).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = subvector_clusters.cluster(table(spark, sf_dir, "embeddings"))
     return subvector_clusters.described(found).select(
@@ -149,7 +161,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_ngram_join, op2_license_scan, op3_decontamination, op4_url_filter, op5_quality,
         op6_language_id, op7_substring_dedup, op8_suffix_dedup, op9_sentence_pieces, op10_nearest,
-        op12_centroid_clusters, op13_fill_in_middle,
+        op11_source_mix, op12_centroid_clusters, op13_fill_in_middle,
     )
 }
 
