@@ -1054,7 +1054,7 @@ def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _feed_table(
     spark: SparkSession, log: DataFrame, topic: str, rows_of, sink: StructType, day_of: str
 ) -> DataFrame:
-    """A log to the feed's own table, partitioned by batch and day."""
+    """A log to the feed's own table, laid out by day."""
     root = scratch_dir(spark, "feed_table")
     name = f"{_fresh_namespace(spark)}.{topic.replace('-', '_')}"
     logs.publish_files(log, root, topic, "all")
@@ -1063,7 +1063,7 @@ def _feed_table(
     runs.run_to_end(
         rows, sinks.table(name, day_of), name="rows", checkpoints=f"{root}/checkpoints"
     )
-    return _plain_times(spark.table(name).drop("batch_id", "id"))
+    return _plain_times(spark.table(name).drop("batch_id", "period", "id"))
 
 
 @_query(

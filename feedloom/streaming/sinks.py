@@ -6,7 +6,8 @@ is passed over if the first attempt had finished, so a replay neither loses nor
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators.parse import REJECT_REASON
 from feedloom.sources import logs, storage
-from feedloom.streaming.tables import BATCH, DAY, quoted
+from feedloom.streaming.tables import BATCH, DAY, PERIOD, location, quoted
 
 
 @dataclass(frozen=True)
@@ -52,13 +53,25 @@ def finished_batches(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_files(spark: SparkSession, path: str, batches: list[int] | None = None) -> DataFrame:
-    """All finished batches of a ``files`` sink, or the given ones, with their ``batch_id``."""
+    """All finished batches of a ``files`` sink, or the given ones, with their ``batch_id``.
+
+    The folder is read as one, however many batches there are; a batch whose write has not finished is
+    left out by its partition.
+    """
     if batches is None:
-        batches = finished_batches(spark, path)
-    if not batches:
-        raise ValueError(f"no batch of {path} is finished")
-    targets = [f"{path}/{BATCH}={batch}" for batch in batches]
-    rows = spark.read.option("basePath", path).parquet(*targets)
+        done = set(finished_batches(spark, path))
+        if not done:
+            raise ValueError(f"no batch of {path} is finished")
+        # Batches follow each other, so hardly any of those below the last one is unfinished.
+        broken = [n for n in storage.numbered(spark, path, BATCH) if n < max(done) and n not in done]
+        rows = spark.read.parquet(path).where(F.col(BATCH) <= max(done))
+        if broken:
+            rows = rows.where(~F.col(BATCH).isin(broken))
+    else:
+        if not batches:
+            raise ValueError(f"no batch of {path} is finished")
+        targets = [f"{path}/{BATCH}={batch}" for batch in batches]
+        rows = spark.read.option("basePath", path).parquet(*targets)
     return rows.withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
@@ -84,30 +97,52 @@ def read_split(spark: SparkSession, path: str, *, rejected: bool) -> DataFrame:
     return kept.drop("is_rejected", BATCH)
 
 
-def table(name: str, day_of: str | None = None) -> BatchSink:
+# Replaces the partitions that a write has rows for, and no others.
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def _overwriting_partitions(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
+
+
+def table(name: str, day_of: str | None = None, period: str = "month") -> BatchSink:
     """A catalog table made by ``create_table``; a repeated batch replaces its partitions.
 
-    ``day_of`` is the column by whose day the table is partitioned besides, if it is.
+    ``day_of`` is the column by whose day the table is laid out besides, if it is: in partitions of a
+    ``period`` (``day``, ``month``, ``year``), and sorted by day in their files, so that a query for a day
+    reads the pages that hold it. A batch's rows are brought together by period, which gives a file for
+    each period of a batch and not one from every task. Spark splits a period that is larger than an
+    advisory partition over several tasks and files, a hot day too, and lets a task write several small
+    ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A fixed partition in the statement: an overwrite without one may clear the whole table.
         spark = batch.sparkSession
-        plain = [quoted(c) for c in spark.table(name).columns if c not in (BATCH, DAY)]
-        day = [f"to_date({quoted(day_of)})"] if day_of else []
-        columns = ", ".join([*plain, *day])
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {quoted(name)} "
-            f"PARTITION ({BATCH} = {int(batch_id)}{', ' + DAY if day_of else ''}) "
-            f"SELECT {columns} FROM {{batch}}",
-            batch=batch,
-        )
-
-    def batches(spark: SparkSession) -> list[int]:
-        rows = spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()
-        return sorted({int(row[0].split("/")[0].split("=")[1]) for row in rows})
-
-    return BatchSink(write, batches)
+        folder = location(spark, name)
+        if storage.is_finished(spark, folder, str(batch_id)):
+            return
+        rows = batch.withColumn(BATCH, F.lit(int(batch_id)).cast("bigint"))
+        if day_of:
+            day = F.to_date(day_of)
+            first = day if period == "day" else F.trunc(day, period)
+            rows = rows.withColumn(DAY, day).withColumn(PERIOD, first)
+            # The order that the partitioned write asks for, and the day behind it.
+            rows = rows.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, BATCH, DAY)
+        columns = [quoted(c) for c in spark.table(name).columns]
+        with _overwriting_partitions(spark):
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {quoted(name)} SELECT {', '.join(columns)} FROM {{batch}}",
+                batch=rows,
+            )
+        storage.mark_finished(spark, folder, str(batch_id))
+
+    return BatchSink(write, lambda spark: finished_batches(spark, location(spark, name)))
 
 
 def file_log(root: str, topic: str, records: Callable[[DataFrame], DataFrame]) -> BatchSink:

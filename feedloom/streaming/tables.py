@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 DAY = "day"
+PERIOD = "period"
 
 
 def quoted(name: str) -> str:
@@ -24,11 +25,20 @@ def create_table(
 ) -> None:
     """Create the table if it is absent: the sink's columns, partitioned by micro-batch.
 
-    With ``day_of``, a timestamp column, also by its day.
+    With ``day_of``, a timestamp column, the table has its ``day`` as a further column, and is partitioned
+    by the period around it first (its first day) and by batch below that.
     """
-    day = f", {DAY} DATE" if day_of else ""
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    days, by = "", BATCH
+    if day_of:
+        days, by = f", {DAY} DATE, {PERIOD} DATE", f"{PERIOD}, {BATCH}"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}, {BATCH} BIGINT{day}) "
-        f"USING parquet PARTITIONED BY ({BATCH}{', ' + DAY if day_of else ''})"
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({columns}{days}, {BATCH} BIGINT) "
+        f"USING parquet PARTITIONED BY ({by})"
     )
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").where("col_name = 'Location'")
+    return told.first().data_type
