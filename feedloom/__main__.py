@@ -35,6 +35,9 @@ def _log_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--min-partitions", type=int, help="Kafka: least tasks per micro-batch")
     parser.add_argument("--max-offsets", type=int, help="Kafka: most records per micro-batch")
     parser.add_argument("--max-bytes", type=int, help="files: most bytes per micro-batch")
+    parser.add_argument(
+        "--once-within", help="pass over records that a repeated publish sends within, say, '7 days'"
+    )
 
 
 def _sink_options(parser: argparse.ArgumentParser) -> None:
@@ -94,6 +97,7 @@ def _log(arguments: argparse.Namespace) -> logs.Log:
         max_bytes=arguments.max_bytes,
         min_partitions=arguments.min_partitions,
         max_offsets=arguments.max_offsets,
+        once_within=arguments.once_within,
     )
 
 
@@ -167,7 +171,9 @@ def main(argv: Sequence[str] | None = None) -> None:
         )
     else:
         query = runs.start(
-            feed.rows(_log(arguments).stream(spark, feed.topic), **_row_options(feed, arguments)),
+            feed.rows(
+                daily.stream_log(spark, _log(arguments), feed.topic), **_row_options(feed, arguments)
+            ),
             _sink(spark, feed, arguments),
             name=f"ingest_{name}",
             checkpoints=arguments.checkpoints,

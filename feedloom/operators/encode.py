@@ -50,13 +50,30 @@ def to_log(
     )
 
 
+# So many places has the filter that tells which records may have an equal.
+FILTER_PLACES = 1 << 20
+
+
+def repeated_places(log: DataFrame) -> DataFrame:
+    """Places in the log that several records share. Only the numbers cross the shuffle."""
+    return log.groupBy("offset").agg(F.count("*").alias("_n")).where("_n > 1").select("offset")
+
+
 def number_equal(log: DataFrame) -> DataFrame:
     """Records placed by their values, with the partition telling equal ones apart, from 0.
 
-    Equal records are interchangeable, so a repeated publish gives the same places. Streams stay as
-    they are.
+    Equal records are interchangeable, so a repeated publish gives the same places. Documents stay where
+    they are unless their place occurs twice: a filter of so many hashes at most as ``FILTER_PLACES``
+    says which ones may, and those alone are brought together. Streams stay as they are.
     """
     if log.isStreaming:
         return log
+    place = F.pmod(F.col("offset"), F.lit(FILTER_PLACES))
+    shared = F.broadcast(repeated_places(log).select(place.alias("_place")).distinct())
+    placed = log.withColumn("_place", place)
+    alone = placed.join(shared, "_place", "left_anti").withColumn("partition", F.lit(0))
     equal = Window.partitionBy("offset", "value").orderBy("offset")
-    return log.withColumn("partition", F.row_number().over(equal) - 1)
+    several = placed.join(shared, "_place", "left_semi").withColumn(
+        "partition", F.row_number().over(equal) - 1
+    )
+    return alone.unionByName(several).select(*log.columns)

@@ -14,7 +14,7 @@ from feedloom.operators import parse, requests, responses
 from feedloom.plans import feeds
 from feedloom.sources import landed as landing
 from feedloom.sources import logs, storage
-from feedloom.streaming import runs
+from feedloom.streaming import once, runs
 from feedloom.streaming.sinks import BatchSink, FormatSink
 
 
@@ -99,6 +99,12 @@ def read_rejects(spark: SparkSession, feed: str, rejects: str) -> DataFrame:
     return spark.read.option("basePath", folder).parquet(*runs_)
 
 
+def stream_log(spark: SparkSession, log: logs.Log, topic: str) -> DataFrame:
+    """A topic as a stream, without the records that a repeated publish sent again if the log says so."""
+    records = log.stream(spark, topic)
+    return once.drop_repeats(records, log.once_within) if log.once_within else records
+
+
 def ingest(
     spark: SparkSession,
     feed: str,
@@ -110,7 +116,7 @@ def ingest(
 ) -> None:
     """Append everything new in the feed's log to its sink, then return."""
     spec = FEEDS[feed]
-    rows = spec.rows(log.stream(spark, spec.topic), **row_options)
+    rows = spec.rows(stream_log(spark, log, spec.topic), **row_options)
     runs.run_to_end(rows, sink, name=f"ingest_{feed}", checkpoints=checkpoints)
 
 

@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators import parse, responses, shape
-from feedloom.operators.encode import number_equal, to_log
+from feedloom.operators.encode import to_log
 
 
 def warning_log(documents: DataFrame) -> DataFrame:
-    """Accepted warning documents as log records."""
-    log = to_log(parse.accepted(documents), schemas.WARNING_TOPIC, text=F.col("document"))
-    return number_equal(log)
+    """Accepted warning documents as log records, placed by their values."""
+    return to_log(parse.accepted(documents), schemas.WARNING_TOPIC, text=F.col("document"))
 
 
 def weather_log(documents: DataFrame) -> DataFrame:
-    """Accepted weather documents as log records, with region and day put in."""
+    """Accepted weather documents as log records placed by their values, with region and day put in."""
     enriched = responses.enrich_weather(parse.accepted(documents))
-    return number_equal(to_log(enriched, schemas.WEATHER_TOPIC, text=F.col("document")))
+    return to_log(enriched, schemas.WEATHER_TOPIC, text=F.col("document"))
 
 
 def _finish(

@@ -25,7 +25,7 @@ from feedloom import schemas
 from feedloom.functions import json_text
 from feedloom.functions.arrays import first_item
 from feedloom.operators import decode, parse, requests, responses, shape
-from feedloom.operators.encode import to_log
+from feedloom.operators.encode import number_equal, to_log
 from feedloom.operators.latest import latest_by_key
 from feedloom.plans import daily, feeds
 from feedloom.session import scratch_dir
@@ -496,6 +496,31 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
 
 
+@_query(
+    """
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
+    UNION ALL
+    SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE event_id % 5 = 0
+    """
+)
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that failed half way is repeated as a whole and read in two goes; every record comes once.
+
+    Every fifth event is in the run twice, by right: those are two records.
+    """
+    events = _table(spark, sf_dir, "events")
+    root, columns = scratch_dir(spark, "stream_once"), _camel_document(events)
+    twice = events.unionByName(events.where("event_id % 5 = 0"))
+    run = number_equal(to_log(twice, "events", columns))
+    log = logs.FileLog(root, once_within="7 days")
+    for sent in (run.where("pmod(xxhash64(value, partition), 2) = 0"), run):
+        # Whoever writes past the publisher leaves no mark that what it wrote is not all.
+        sent.write.mode("append").parquet(logs.run_path(root, "events", "all"))
+        rows = _flat_round_trip(events, daily.stream_log(spark, log, "events"))
+        runs.run_to_end(rows, sinks.files(f"{root}/rows"), name="events", checkpoints=f"{root}/checkpoints")
+    return sinks.read_files(spark, f"{root}/rows").drop("batch_id")
+
+
 @_query(_WEATHER_WITH_ID_SQL)
 def stream_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream_nested")
@@ -1052,12 +1077,13 @@ def strict_decode_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _feed_table(
-    spark: SparkSession, log: DataFrame, topic: str, rows_of, sink: StructType, day_of: str
+    spark: SparkSession, log: DataFrame, topic: str, rows_of, sink: StructType, day_of: str,
+    by_value: bool,
 ) -> DataFrame:
     """A log to the feed's own table, laid out by day."""
     root = scratch_dir(spark, "feed_table")
     name = f"{_fresh_namespace(spark)}.{topic.replace('-', '_')}"
-    logs.publish_files(log, root, topic, "all")
+    logs.publish_files(log, root, topic, "all", by_value=by_value)
     tables.create_table(spark, name, sink, day_of)
     rows = rows_of(logs.stream_files(spark, root, topic))
     runs.run_to_end(
@@ -1077,8 +1103,9 @@ def table_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = responses.warning_documents(_landed_warnings(_table(spark, sf_dir, "orders")))
     log = feeds.warning_log(documents)
     return _feed_table(
-        spark, log, schemas.WARNING_TOPIC, feeds.warning_rows, schemas.WARNING_SINK, "publish_time"
-    )
+        spark, log, schemas.WARNING_TOPIC, feeds.warning_rows, schemas.WARNING_SINK, "publish_time",
+        by_value=True,
+    )
 
 
 @_query(f"SELECT {_WEATHER_ROW_SQL}, CAST(o_orderdate AS DATE) AS day FROM orders")
@@ -1086,8 +1113,9 @@ def table_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 19 columns of the weather table, by the day they are for."""
     log = _order_weather_log(_table(spark, sf_dir, "orders"))
     return _feed_table(
-        spark, log, schemas.WEATHER_TOPIC, feeds.weather_rows, schemas.weather_sink(), "start_date"
-    )
+        spark, log, schemas.WEATHER_TOPIC, feeds.weather_rows, schemas.weather_sink(), "start_date",
+        by_value=False,
+    )
 
 
 # --- Whole feeds ----------------------------------------------------------------------------------

@@ -14,6 +14,10 @@ SESSION_OPTIONS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State of streams, such as the names of records seen, may outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
     # Recording the Python call site of every column takes longer than planning a wide query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

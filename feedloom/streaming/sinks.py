@@ -152,7 +152,7 @@ def file_log(root: str, topic: str, records: Callable[[DataFrame], DataFrame]) -
     def write(batch: DataFrame, batch_id: int) -> None:
         run = f"batch-{batch_id}"
         if not logs.is_published(batch.sparkSession, root, topic, run):
-            logs.publish_files(records(batch), root, topic, run)
+            logs.publish_files(records(batch), root, topic, run, by_value=True)
 
     def batches(spark: SparkSession) -> list[int]:
         names = storage.child_names(spark, logs.topic_path(root, topic))

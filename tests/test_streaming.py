@@ -420,6 +420,6 @@ def test_kafka_log_publishes_and_reads_its_topic(spark, monkeypatch):
     log = logs.open_log("kafka:broker:29092", min_partitions=8)
     log.publish("records", "t", "run")
     log.stream(spark, "t")
-    assert sent[0] == ("records", "t", "broker:29092")
+    assert sent[0] == ("records", "t", "broker:29092", "run")
     assert sent[1]["minPartitions"] == "8" and sent[1]["subscribe"] == "t"
     assert not log.is_published(spark, "t", "run")
