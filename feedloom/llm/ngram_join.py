@@ -273,8 +273,9 @@ def element_weights(texts: DataFrame) -> np.ndarray:
 
 
 def describe(rows: DataFrame, n: int) -> DataFrame:
-    """``(key, size, class, counts)`` of every row; class and counts are null for empty sets."""
-    schema = f"key {rows.schema['key'].dataType.simpleString()}, size long, class long, counts binary"
+    """``(key, size, class, counts, hash)`` of rows (key, text, hash); class and counts are null for empty sets."""
+    kind = rows.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, size long, class long, counts binary, hash long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,8 +285,9 @@ def describe(rows: DataFrame, n: int) -> DataFrame:
                     batch.column(0), pa.array([len(s) for s in own], pa.int64()),
                     pa.array([class_of(s) if len(s) else None for s in own], pa.int64()),
                     pa.array([bucket_counts(s) if len(s) else None for s in own], pa.binary()),
+                    batch.column(2),
                 ],
-                ["key", "size", "class", "counts"],
+                ["key", "size", "class", "counts", "hash"],
             )
 
     return rows.mapInArrow(run, schema)
@@ -534,13 +536,14 @@ def similar_groups(
     df: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT,
     region_members: int = REGION_MEMBERS, cell_elements: int = CELL_ELEMENTS, pivots: int = 8,
 ) -> DataFrame:
-    """Every row's key, ``n_shingles``, ``class_id`` and ``component_id``.
+    """Every row's key, ``n_shingles``, ``class_id``, ``component_id``, ``group_id`` and ``text_hash``.
 
     ``component_id`` is the smallest key that links lead to, its own included. ``class_id`` is equal for
-    rows with equal sets, null for empty ones. The key has to be an integer.
+    rows with equal sets, null for empty ones. ``group_id`` is equal for rows that links connect; unlike
+    ``component_id`` it tells texts apart that share a key. The key has to be an integer.
     """
     rows = _rows(df, key, text)
-    described = stored(describe(rows, n), "sets")
+    described = stored(describe(rows.withColumn("hash", F.xxhash64("text")), n), "sets")
     whole = described.where("class IS NOT NULL AND key IS NOT NULL")
     classes = whole.groupBy("class").agg(F.min("key").alias("first"), F.first("size").alias("size"))
     counts = whole.select("class", "counts")
@@ -564,11 +567,13 @@ def similar_groups(
     named = classes.select("class", "first").join(found, "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_class = named.join(lowest, "component").select("class", "component_id")
+    by_class = named.join(lowest, "component").select("class", "component", "component_id")
     own = F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return described.join(by_class, "class", "left").select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("class").alias("class_id"),
         F.when(F.col("key").isNotNull(), own).alias("component_id"),
+        F.when(F.col("key").isNotNull(), F.col("component")).alias("group_id"),
+        F.col("hash").alias("text_hash"),
     )
 
 

@@ -59,22 +59,30 @@ def phrases(items: DataFrame, key: str, text: str, length: int = WINDOW_WORDS) -
 def build_index(
     documents: DataFrame, key: str, text: str, terms: DataFrame | None = None
 ) -> DataFrame:
-    """Postings ``(term, doc, position)`` of all documents, and one with the empty term behind each.
+    """Postings ``(term, key, hash, position)`` of all documents, and one with the empty term behind each.
 
-    ``doc`` is a struct of the key and a hash of the text. With ``terms`` (column ``term``) only the
-    postings of those terms are kept, which is all that later questions about these terms read.
+    ``hash`` is that of the text, and it stands for a key that is null. With ``terms`` (column ``term``)
+    the postings of other terms are left out, but for the few whose hashes agree with one of them; no
+    question about these terms reads those. No posting is shuffled.
     """
     at = F.posexplode(F.concat(words_of(F.col(text)), F.array(F.lit(_END))))
+    own = F.coalesce(F.col(key), F.xxhash64(text).try_cast(documents.schema[key].dataType))
     postings = documents.select(
-        F.col(key).alias("key"), F.xxhash64(text).alias("hash"), at.alias("position", "term")
+        own.alias("key"), F.xxhash64(text).alias("hash"), at.alias("position", "term")
     )
     if terms is not None:
         end = terms.sparkSession.createDataFrame([(_END,)], "term string")
-        wanted = terms.select("term").union(end).distinct()
-        postings = likely(postings, wanted, "term").join(wanted, "term", "left_semi")
+        postings = likely(postings, terms.select("term").union(end), "term")
     return postings.select("term", "key", "hash", "position")
 
 
+def _told(key: str) -> Column:
+    """The key of a document in the index as it was."""
+    return F.when(F.col("key").cast("string") == F.col("hash").cast("string"), None).otherwise(
+        F.col("key")
+    ).alias(key)
+
+
 def find_phrases(index: DataFrame, wanted: DataFrame) -> DataFrame:
     """Every occurrence ``(phrase_id, key, hash, start, size)`` of the phrases in the index.
 
@@ -189,8 +197,7 @@ def contamination(
 
     Returns per row the key, ``hash`` (of the text), ``n_words``, ``n_hit`` (words inside an occurrence
     of a window), ``n_items``, ``items`` (the keys of items with occurring windows, sorted as strings)
-    and ``contaminated`` (n_hit > 0 and 20 * n_hit >= n_words). A row without a key is in no list: it
-    keeps its word count and has no hits.
+    and ``contaminated`` (n_hit > 0 and 20 * n_hit >= n_words). A row without a key goes by its text.
     """
     wanted = stored(phrases(benchmark, item_key, item_text), "benchmark-windows")
     terms = wanted.select(F.explode("phrase").alias("term")).distinct()
@@ -222,7 +229,7 @@ def contamination(
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0))
     listed = F.coalesce(F.col("items"), F.array().cast("array<string>"))
     return ends.join(hits, ["key", "hash"], "left").select(
-        F.col("key").alias(key), "hash", "n_words", n_hit.alias("n_hit"),
+        _told(key), "hash", "n_words", n_hit.alias("n_hit"),
         F.size(listed).cast("bigint").alias("n_items"), listed.alias("items"),
         ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
     )

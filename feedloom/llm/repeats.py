@@ -479,7 +479,8 @@ def with_repeats(
     shards = 2 * partitions
     rows = df.select(
         F.col(key).cast("bigint").alias("doc"), F.xxhash64(key, text).alias("row_key"),
-        F.col(text).alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)],
+        F.col(text).alias("text"),
+        *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep) if c != text],  # the text moves once
     )
     compared = rows.where(F.col("doc").isNotNull() & F.col("text").isNotNull())
     passed = frequent_slices(compared.select("text"), kind, frequent)
@@ -514,9 +515,8 @@ def with_repeats(
         .groupBy("row_key")
         .agg(F.collect_list("repeated").alias("repeated"))
     )
-    return texts.join(found.hint("shuffle_hash"), "row_key", "left").select(
-        "text", "repeated", *[f"_{i}" for i in range(len(keep))]
-    )
+    kept = [F.col("text" if c == text else f"_{i}").alias(f"_{i}") for i, c in enumerate(keep)]
+    return texts.join(found.hint("shuffle_hash"), "row_key", "left").select("text", "repeated", *kept)
 
 
 def suffix_order(ranks: np.ndarray) -> np.ndarray:

@@ -241,6 +241,53 @@ def test_pipeline_stages_on_edges(spark):
         found.collect()
 
 
+PIPELINE = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _words(seed: int, n: int) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join(f"word{i}" for i in rng.integers(0, 50_000, n))
+
+
+def _staged(spark, name, rows):
+    df = spark.createDataFrame([(*r, "en", "s", None) for r in rows], PIPELINE).repartition(3)
+    found = dict(corpus_pipeline.STAGES)[name](spark, df, SMALL_DIR)
+    return sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+
+
+def test_near_duplicates_are_told_by_id_and_text(spark):
+    """Repeated ids, repeated rows, null ids, and a very long text."""
+    base, long = _words(1, 200), _words(2, 60_000)
+    near = base.replace(base.split()[100], "other", 1)
+    other, third = _words(3, 150), _words(4, 150)
+    rows = [(3, base), (5, near), (5, other), (5, other), (6, base.upper()), (7, long), (8, long + " x")]
+    rows += [(9, third), (9, third.upper()), (None, base), (None, base), (None, other), (10, "a b")]
+    kept = [(3, base), (5, other), (7, long), (10, "a b"), (None, base), (None, other)]
+    found = _staged(spark, "near_duplicates", rows)
+    nines = [text for key, text in found if key == 9]
+    assert len(nines) == 1 and nines[0] in (third, third.upper())
+    assert [r for r in found if r[0] != 9] == sorted(kept, key=repr)
+
+
+def test_decontamination_is_by_id_and_text(spark):
+    item = table(spark, SMALL_DIR, "benchmark").where("length(text) > 200").first().text
+    clean, long = _words(5, 200), _words(6, 60_000)
+    rows = [(1, item), (1, clean), (2, clean), (2, clean), (None, item), (None, clean), (3, long)]
+    rows += [(4, f"{long} {item}"), (5, f"{_words(7, 30)} {item}"), (5, f"{_words(7, 30)} {item}")]
+    found = _staged(spark, "decontamination", rows)
+    wanted = [(1, clean), (2, clean), (2, clean), (3, long), (4, f"{long} {item}"), (None, clean)]
+    assert found == sorted(wanted, key=repr)
+
+
+def test_repeated_passages_of_odd_rows(spark):
+    """A null id is in no earlier document; repeated rows lose nothing to each other."""
+    passage, own = _words(8, 80), _words(9, 60_000)
+    rows = [(1, passage), (2, f"{own} {passage}"), (3, passage), (None, passage), (1, passage)]
+    assert _staged(spark, "repeated_passages", rows) == sorted(
+        [(1, passage), (1, passage), (2, own), (None, passage)], key=repr
+    )
+
+
 def test_pieces_query_covers_the_spans_of_all_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
