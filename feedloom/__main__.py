@@ -1,6 +1,8 @@
 """Commands of the two feeds: ``spark-submit`` this file, or ``python -m feedloom``.
 
     python -m feedloom plan weather --date 2025-01-25 --out /shared/requests/2025-01-25
+    python -m feedloom missing weather --first 2025-01-01 --last 2025-01-25 \\
+        --landed-root /shared/landed --out /shared/requests/missing
     python -m feedloom publish weather --run 2025-01-25 --landed /shared/landed/weather/2025-01-25 \\
         --log kafka:broker:29092 --rejects /shared/rejects
     python -m feedloom weather --log kafka:broker:29092 --sink cassandra --checkpoints /shared/cp
@@ -55,13 +57,17 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="feedloom", description=__doc__.splitlines()[0])
     commands = parser.add_subparsers(dest="command", required=True)
     made = {}
-    for name in ("plan", "publish", "ingest", "run"):
+    for name in ("plan", "missing", "publish", "ingest", "run"):
         made[name] = commands.add_parser(name)
         made[name].add_argument("feed", choices=sorted(FEEDS))
     for name in ("plan", "run"):
         made[name].add_argument("--date", required=True, help="the day of the run, YYYY-MM-DD")
-    made["plan"].add_argument("--regions", help="Parquet table of regions, else the active ones")
-    made["plan"].add_argument("--out", required=True, help="where the request rows go")
+    made["missing"].add_argument("--first", required=True, help="the first run date, YYYY-MM-DD")
+    made["missing"].add_argument("--last", required=True, help="the last run date")
+    made["missing"].add_argument("--landed-root", required=True, help="<root>/<feed>/run=<date>")
+    for name in ("plan", "missing"):
+        made[name].add_argument("--regions", help="Parquet table of regions, else the active ones")
+        made[name].add_argument("--out", required=True, help="where the request rows go")
     made["publish"].add_argument("--run", required=True, help="label of the run")
     made["publish"].add_argument("--landed", required=True, help="folder of landed responses")
     made["run"].add_argument("--landed-root", required=True, help="<root>/<feed>/run=<date>")
@@ -144,13 +150,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments = _arguments(argv)
     name, feed = arguments.feed, FEEDS[arguments.feed]
     spark = build_session(f"feedloom-{name}")
-    if arguments.command == "plan":
+    if arguments.command in ("plan", "missing"):
         places = (
             regions.read_regions(spark, arguments.regions)
             if arguments.regions
             else regions.active_regions(spark)
         )
-        requests = daily.plan_requests(name, places, arguments.date)
+        if arguments.command == "plan":
+            requests = daily.plan_requests(name, places, arguments.date)
+        else:
+            requests = daily.plan_missing(
+                spark, name, places, arguments.first, arguments.last,
+                landed_root=arguments.landed_root,
+            )
         requests.write.mode("overwrite").parquet(arguments.out)
     elif arguments.command == "publish":
         responses = landed.read_landed(spark, arguments.landed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import grid
 from feedloom.functions.times import run_day
+from feedloom.operators.parse import REJECT_REASON
 from feedloom.schemas import DAILY_VARIABLES
 
 # The two public endpoints and their fixed parameters.
@@ -42,6 +43,35 @@ def add_backfill_days(df: DataFrame, first: Column, last: Column, days_back: int
     return with_date.withColumn("day", run_day(F.col("_run_date"), days_back)).drop("_run_date")
 
 
+def answered_days(responses: DataFrame, retry: tuple[str, ...] = ()) -> DataFrame:
+    """``(region_id, day, answers)``: how many responses count for a region and the day they are for.
+
+    ``responses`` are landed ones; where they have been judged, those that were rejected for a reason in
+    ``retry`` do not count, so that their day is asked for again.
+    """
+    if retry:
+        reason = F.coalesce(F.col(REJECT_REASON), F.lit(""))
+        responses = responses.where(~reason.isin(*retry))
+    return responses.groupBy("region_id", F.col("run_date").alias("day")).agg(
+        F.count("*").alias("answers")
+    )
+
+
+def missing_days(days: DataFrame, answered: DataFrame, expected: Column | None = None) -> DataFrame:
+    """Rows of region and ``day`` whose day has fewer answers than expected; none, unless said otherwise.
+
+    The rows are compared before they are spread over cells. A day that lacks some of its answers is asked
+    for as a whole: responses do not say which cell they are for.
+    """
+    short = days.withColumn("_expected", F.lit(1) if expected is None else expected)
+    known = answered.select(
+        F.col("region_id").alias("_region"), F.col("day").alias("_day"), F.col("answers").alias("_n")
+    )
+    same = (F.col("region_id") == F.col("_region")) & (F.col("day") == F.col("_day"))
+    full = same & (F.col("_n") >= F.col("_expected"))
+    return short.join(known, full, "left_anti").drop("_expected")
+
+
 def warning_url(region_id: Column, first_day: Column, last_day: Column) -> Column:
     return F.concat_ws(
         "/", F.lit(WARNING_ENDPOINT), region_id, F.lit(WARNING_LANGUAGE_KEY), first_day, last_day
@@ -89,6 +119,15 @@ def grid_cells(regions: DataFrame, columns: int = GRID_COLUMNS) -> DataFrame:
     )
 
 
+def cells_of(columns: int = GRID_COLUMNS) -> Column:
+    """How many cells the grid over a region's box has; 0 for a degenerate box."""
+    rows = grid.rows_for_box(
+        F.col("west_north_lat"), F.col("east_south_lat"),
+        F.col("east_south_lon"), F.col("west_north_lon"), columns,
+    )
+    return F.coalesce(F.greatest(rows, F.lit(0)), F.lit(0)).cast("bigint") * columns
+
+
 def weather_requests(days: DataFrame, columns: int = GRID_COLUMNS) -> DataFrame:
     """One row per region, cell and ``day``, with ``url``."""
     cells = grid_cells(days, columns)

@@ -55,11 +55,31 @@ FEEDS = {
 
 
 def plan_requests(feed: str, regions: DataFrame, run_date: str) -> DataFrame:
-    """The requests of a run on ``run_date``. Days that were missed are not made up for."""
+    """The requests of a run on ``run_date``. ``plan_missing`` makes up for days that were missed."""
     spec = FEEDS[feed]
     return spec.requests(requests.add_run_day(regions, run_date, spec.days_back))
 
 
+def plan_missing(
+    spark: SparkSession, feed: str, regions: DataFrame, first: str, last: str, *, landed_root: str,
+    retry: tuple[str, ...] = ("status",),
+) -> DataFrame:
+    """The requests of all runs from ``first`` to ``last`` whose answers have not landed.
+
+    Whatever has landed under ``landed_root/<feed>`` counts, whether it went on or was rejected, but for
+    the rejections in ``retry``. A region's day is complete with as many answers as it has requests.
+    """
+    spec = FEEDS[feed]
+    days = requests.add_backfill_days(regions, F.lit(first), F.lit(last), spec.days_back)
+    folder = f"{landed_root}/{feed}"
+    if not storage.child_names(spark, folder):
+        return spec.requests(days)
+    judged = spec.documents(landing.read_landed(spark, folder))
+    expected = requests.cells_of() if feed == "weather" else None
+    answered = requests.answered_days(judged, retry)
+    return spec.requests(requests.missing_days(days, answered, expected))
+
+
 def publish_landed(
     feed: str, landed: DataFrame, *, log: logs.Log, rejects: str, run: str
 ) -> bool:

@@ -58,13 +58,25 @@ def weather_rows(
     elevation: str = "double",
     with_position: bool = False,
     source_tz: str | None = None,
+    days: str = "first",
 ) -> DataFrame:
-    """Rows of the weather table from its log, batch or stream; day one of every daily array."""
+    """Rows of the weather table from its log, batch or stream.
+
+    ``days="first"``: day one of every daily array. ``days="all"``: one row for each day, with
+    ``day_number`` and ``day_fault`` as further columns.
+    """
+    if days not in ("first", "all"):
+        raise ValueError(f"days must be 'first' or 'all', not {days!r}")
     position = shape.position_columns(log)
     rows = parse.parse_log(
         log, schemas.weather_wire(elevation), mode=mode, keep=position, source_tz=source_tz
     )
-    rows = shape.pick_first_day(rows, schemas.DAILY_WIRE)
-    rows = shape.add_id(rows, id_mode, position)
     kept = position if with_position else []
+    if days == "all":
+        rows = shape.explode_days(rows, schemas.DAILY_WIRE)
+        rows = shape.add_day_id(rows, id_mode, position)
+        kept = [*kept, shape.DAY_NUMBER, shape.DAY_FAULT]
+    else:
+        rows = shape.pick_first_day(rows, schemas.DAILY_WIRE)
+        rows = shape.add_id(rows, id_mode, position)
     return _finish(rows, schemas.weather_sink(elevation), mode, source_tz, kept)

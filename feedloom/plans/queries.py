@@ -369,6 +369,63 @@ def nested_parse_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(feeds.weather_rows(log))
 
 
+# Every seventh document lacks the second day of two variables, every eleventh has no days at all.
+_RAGGED = ("rain_sum", "snowfall_sum")
+
+
+def _later_day_sql(short: bool) -> str:
+    """The values of the second day, as text that the oracle's engine reads."""
+    values = []
+    for name, sql in _WEATHER_DAY_SQL.items():
+        later = f"CAST(({sql}) * 2 + 1 AS INT)" if name == "weathercode" else f"({sql}) * 2 + 1"
+        if short and name in _RAGGED:
+            later = f"CASE WHEN o_orderkey % 7 <> 0 THEN {later} END"
+        values.append(f"{later} AS {name}")
+    return ", ".join(values)
+
+
+_DAY_FAULT_SQL = f"""
+    CASE WHEN o_orderkey % 11 = 0 THEN 'no_days'
+         WHEN o_orderkey % 7 = 0 THEN 'short:{",".join(_RAGGED)}' END
+"""
+_DAY_HEAD_SQL = f"""
+    CAST(o_custkey AS VARCHAR) AS region_id, o_orderpriority AS region_name,
+    o_orderdate AS start_date, o_orderdate AS end_date,
+    {", ".join(f"{sql} AS {name}" for name, sql in _WEATHER_SCALARS_SQL.items())}
+"""
+
+
+@_query(
+    f"""
+    SELECT {_uuid_sql("'weather:0:' || o_orderkey")} AS id, {_DAY_HEAD_SQL},
+           CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS time,
+           {", ".join(f"CASE WHEN o_orderkey % 11 <> 0 THEN {sql} END AS {name}"
+                      for name, sql in _WEATHER_DAY_SQL.items())},
+           CAST(1 AS INT) AS day_number, {_DAY_FAULT_SQL} AS day_fault
+    FROM orders
+    UNION ALL
+    SELECT {_uuid_sql("'weather:0:' || o_orderkey || ':2'")} AS id, {_DAY_HEAD_SQL},
+           CAST(o_orderdate + INTERVAL 1 DAY AS TIMESTAMP) AS time, {_later_day_sql(True)},
+           CAST(2 AS INT) AS day_number, {_DAY_FAULT_SQL} AS day_fault
+    FROM orders WHERE o_orderkey % 11 <> 0
+    """
+)
+def daily_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each day of a document, whose arrays need not be equally long."""
+    *scalars, daily_ = _weather_columns()
+    arrays = []
+    for field in schemas.DAILY_WIRE:
+        own = F.col(f"_daily.{field.name}")
+        short = F.when(F.col("o_orderkey") % 7 == 0, F.slice(own, 1, 1)).otherwise(own)
+        arrays.append((short if field.name in _RAGGED else own).alias(field.name))
+    ragged = F.when(F.col("o_orderkey") % 11 != 0, F.struct(*arrays)).alias("daily")
+    orders = _table(spark, sf_dir, "orders").withColumn("_daily", daily_)
+    log = to_log(
+        orders, "weather", [*scalars, ragged], partition=F.lit(0), offset=F.col("o_orderkey")
+    )
+    return _plain_times(feeds.weather_rows(log, days="all"))
+
+
 @_query("SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first FROM embeddings")
 def array_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -720,6 +777,37 @@ def request_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.warning_requests(days).select("o_orderkey", "region_id", "day", "url")
 
 
+@_query(
+    f"""
+    WITH days AS (
+        SELECT CAST(c_custkey AS VARCHAR) AS region_id, c_custkey,
+               DATE '1995-01-01' + CAST(d AS INT) AS asked
+        FROM customer, (SELECT unnest(range(0, 59)) AS d)
+    )
+    SELECT region_id, strftime(asked, '%Y-%m-%d') AS day,
+           '{requests.WARNING_ENDPOINT}/' || region_id || '/1/' || strftime(asked, '%Y-%m-%d')
+               || '/' || strftime(asked, '%Y-%m-%d') AS url
+    FROM days
+    WHERE NOT EXISTS (
+        SELECT 1 FROM orders
+        WHERE o_custkey = c_custkey AND CAST(o_orderdate AS DATE) = asked AND o_orderstatus <> 'P'
+    )
+    """
+)
+def request_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months of planned requests, without the days whose response has landed.
+
+    A rejected response is one too, unless its request had failed.
+    """
+    root = scratch_dir(spark, "request_missing")
+    _landed_warnings(_table(spark, sf_dir, "orders")).write.parquet(f"{root}/warnings")
+    boxes = _customer_regions(_table(spark, sf_dir, "customer"))
+    missing = daily.plan_missing(
+        spark, "warnings", boxes, "1995-01-01", "1995-02-28", landed_root=root
+    )
+    return missing.select("region_id", "day", "url")
+
+
 # --- Responses ------------------------------------------------------------------------------------
 
 
