@@ -98,6 +98,6 @@ def one_variant(items: Column) -> Column:
     return F.when((F.size(items) == 2) & (end == "end"), F.get(items, F.lit(0)))
 
 
-def member_names(value: Column, path: str = "$") -> Column:
-    """Names of the members of the object at ``path`` in a variant; NULL if it is no object."""
-    return F.map_keys(F.try_variant_get(value, path, "map<string,variant>"))
+def members(value: Column, path: str = "$") -> Column:
+    """The members of the object at ``path`` in a variant by name; NULL if it is no object."""
+    return F.try_variant_get(value, path, "map<string,variant>")

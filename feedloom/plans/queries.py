@@ -1098,6 +1098,40 @@ def strict_decode_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FAULT_SQL = [
+    ("o_orderkey % 2 = 0", "$.timezone", "missing"), ("o_orderkey % 3 = 0", "$.daily.x", "unknown"),
+    ("o_orderkey % 4 = 0", "$.daily.rain_sum", "type"), ("o_orderkey % 5 = 0", "$.latitude", "type"),
+    ("o_orderkey % 6 = 0", "$.daily_units.time", "missing"),
+]
+
+
+@_query(
+    " UNION ALL ".join(
+        f"SELECT o_orderkey, '{path}' AS path, '{kind}' AS kind FROM orders WHERE {when}"
+        for when, path, kind in _FAULT_SQL
+    )
+)
+def strict_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All faults of each response, with their places; most have several, some none."""
+    units = F.struct(*[F.lit("mm").alias(key) for key in schemas.DAILY_KEYS])
+    columns = [
+        *_weather_columns()[len(_REQUEST_FIELDS) :],
+        *[F.expr(sql).alias(name) for name, sql in _WEATHER_CONSTANTS.items()],
+        units.alias("daily_units"),
+    ]
+    body, key = F.col("document"), F.col("o_orderkey")
+    for n, pattern, text in (
+        (2, '"timezone":"[^"]*",', ""), (3, r'"daily":\{', '"daily":{"x":1,'),
+        (4, r'"rain_sum":\[[^,]*,', '"rain_sum":["wet",'),
+        (5, '"latitude":[^,]*,', '"latitude":"north",'),
+        (6, r'"daily_units":\{"time":"mm",', '"daily_units":{'),
+    ):
+        body = F.when(key % n == 0, F.regexp_replace(body, pattern, text)).otherwise(body)
+    documents = _with_document(_table(spark, sf_dir, "orders"), columns)
+    decoded = decode.decode_weather(documents.select("o_orderkey", body.alias("body")))
+    return decode.list_faults(decoded, ["o_orderkey"])
+
+
 _STRICT_WARNING_SQL = {
     "RegId": "CAST(o_orderkey % 1000000000 AS INT)",
     "RegionId": "CAST(o_custkey % 1000000000 AS INT)",

@@ -173,3 +173,67 @@ def test_strict_warnings(spark):
         (None, "not_an_array"),
     ]
     assert rows[0]["record"]["ValidFrom"] == "2025-01-24"
+
+
+def _faults(spark, decode_, body):
+    row = decode_(landed(spark, (200, body))).first()
+    return sorted((f["path"], f["kind"]) for f in row["faults"]), row["decode_error"]
+
+
+def test_all_faults_of_a_weather_response(spark):
+    sound = full_response()
+    assert _faults(spark, decode.decode_weather, json.dumps(sound)) == ([], None)
+    # Sound, though not of the usual shape: other order, spaces, brackets in text, extra members.
+    odd = {"more": {"a": [1]}, **dict(reversed(sound.items())), "timezone": 'a "b" [c] {d}'}
+    odd["daily"] = sound["daily"] | {"time": ["x]", "{y", None, True], "rain_sum": None}
+    assert _faults(spark, decode.decode_weather, json.dumps(odd, indent=2)) == ([], None)
+
+    bad = full_response()
+    del bad["timezone"]
+    bad |= {"latitude": "62.9", "elevation": [1], "timezone_abbreviation": {"a": 1}}
+    bad["daily"] = sound["daily"] | {"x": 1, "rain_sum": [1, "wet"], "snowfall_sum": [True], "time": [[1]]}
+    del bad["daily"]["weathercode"]
+    bad["daily_units"] = sound["daily_units"] | {"time": ["u"], "y": None}
+    assert _faults(spark, decode.decode_weather, json.dumps(bad)) == (
+        [
+            ("$.daily.rain_sum", "type"), ("$.daily.snowfall_sum", "type"), ("$.daily.time", "type"),
+            ("$.daily.weathercode", "missing"), ("$.daily.x", "unknown"), ("$.daily_units.time", "type"),
+            ("$.daily_units.y", "unknown"), ("$.elevation", "type"), ("$.latitude", "type"),
+            ("$.timezone", "missing"), ("$.timezone_abbreviation", "type"),
+        ],
+        "daily_unknown_key",
+    )
+    gone = full_response() | {"daily": [1]}
+    del gone["daily_units"]
+    assert _faults(spark, decode.decode_weather, json.dumps(gone)) == (
+        [("$.daily", "not_an_object"), ("$.daily_units", "missing")], "daily_not_an_object",
+    )
+    for body, error in (("[1]", "not_an_object"), ("{", "bad_json"), (None, "bad_json")):
+        assert _faults(spark, decode.decode_weather, body) == ([], error)
+
+
+def test_all_faults_of_warnings(spark):
+    members = [member(), member(RegId=1.0, RegionName="a"), member(RegId=1.5, X=1), "text", member(LangKey=2**40)]
+    del members[4]["MainText"]
+    assert _faults(spark, decode.decode_warnings, json.dumps(members)) == (
+        [
+            ("$[2].RegId", "type"), ("$[2].X", "unknown"), ("$[3]", "not_an_object"),
+            ("$[4].LangKey", "type"), ("$[4].MainText", "missing"),
+        ],
+        "unknown_key",
+    )
+    listed = decode.list_faults(decode.decode_warnings(landed(spark, (200, json.dumps(members)))), ["region_id"])
+    assert listed.columns == ["region_id", "path", "kind"] and listed.count() == 5
+
+
+def test_strict_decode_names_no_type_texts(spark):
+    """Neither decode asks for a value's type as text, nor explodes and regroups."""
+    frame = landed(spark, (200, "{}"))
+    for decode_ in (decode.decode_weather, decode.decode_warnings):
+        plan = decode_(frame)._jdf.queryExecution().optimizedPlan().toString()
+        assert "schema_of_variant" not in plan and "Aggregate" not in plan
+
+
+def test_a_long_response_of_warnings(spark):
+    body = json.dumps([member(RegId=n) for n in range(20_000)] + [member(RegId="1")])
+    assert _faults(spark, decode.decode_warnings, body) == ([("$[20000].RegId", "type")], "field_type")
