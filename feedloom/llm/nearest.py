@@ -9,11 +9,14 @@ A bucket is dealt into parts of bounded size, and a query goes to all parts of i
 that very many rows share does not meet in one task. Nothing is cut off: every row of a probed bucket is
 compared.
 
-Null vectors, zero vectors, vectors with null or non-finite components and vectors of another length than
-the table's longest take no part, neither as queries nor as candidates. Rows that repeat an id and its
-vector count once; a query is not its own neighbour, nor are other rows with its id. With fewer
-candidates than ``k``, all that are found are returned; an empty table gives no rows. Equal distances
-are ranked by id. Further columns are ignored.
+A query whose buckets hold fewer than ``k`` rows, as in a small table or far from a tight cluster, is
+compared with all rows instead, dealt into blocks of bounded size.
+
+Null vectors, zero vectors and vectors with null or non-finite components take no part, neither as queries
+nor as candidates. Vectors of different lengths have no distance: each length is a space of its own. Rows
+that repeat an id and its vector count once; a query is not its own neighbour, nor are other rows with its
+id. With fewer candidates than ``k``, all are returned; an empty table gives no rows. Equal distances are
+ranked by id. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,9 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.llm.tables import stored
+
 TABLES = 16
 PROBES = 8
 PART_ROWS = 8_000
@@ -66,33 +72,45 @@ def axes(turned: np.ndarray, most: int) -> np.ndarray:
     return np.argsort(-signed, axis=1, kind="stable")[:, :most]
 
 
-def _matrix(column: pa.Array, length: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, length)
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array, np.ndarray, pa.Array]]:
+    """Rows (id, vector) of a batch by the length of their vectors: length, ids, matrix, raw vectors."""
+    lengths = pc.list_value_length(batch.column(1)).to_numpy()
+    for length in np.unique(lengths).tolist():
+        rows = pa.array(np.flatnonzero(lengths == length))
+        flat = batch.column(1).take(rows).flatten().to_numpy(zero_copy_only=False)
+        vectors = flat.astype(np.float64).reshape(-1, length)
+        raw = pa.array([v.tobytes() for v in vectors], pa.binary())
+        yield length, batch.column(0).take(rows), vectors, raw
 
 
-def _bucketed(length: int, tables: int, probes: int):
-    """Rows (id, vector) into (table, bucket, id, vector) for the nearest axes in each table."""
+def _bucketed(tables: int, probes: int):
+    """Rows (id, vector) into (dims, table, bucket, id, vector) for the nearest axes in each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = _matrix(batch.column(1), length)
-            raw = pa.array([v.tobytes() for v in vectors], pa.binary())
-            for table in range(tables):
-                buckets = axes(rotated(vectors, table), probes)
-                n, wide = buckets.shape
-                rows = pa.array(np.repeat(np.arange(n), wide))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n * wide, table, np.int32)),
-                     pa.array(buckets.ravel().astype(np.int32)),
-                     batch.column(0).take(rows), raw.take(rows)],
-                    ["table", "bucket", "id", "vector"],
-                )
+            for length, ids, vectors, raw in _by_length(batch):
+                for table in range(tables):
+                    buckets = axes(rotated(vectors, table), probes)
+                    n, wide = buckets.shape
+                    rows = pa.array(np.repeat(np.arange(n), wide))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n * wide, length, np.int32)),
+                         pa.array(np.full(n * wide, table, np.int32)),
+                         pa.array(buckets.ravel().astype(np.int32)), ids.take(rows), raw.take(rows)],
+                        ["dims", "table", "bucket", "id", "vector"],
+                    )
 
     return run
 
 
+def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, vector) into (dims, id, vector)."""
+    for batch in batches:
+        for length, ids, _, raw in _by_length(batch):
+            dims = pa.array(np.full(len(ids), length, np.int32))
+            yield pa.RecordBatch.from_arrays([dims, ids, raw], ["dims", "id", "vector"])
+
+
 def distances(query: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.sqrt(((others - query) ** 2).sum(axis=1))
 
@@ -140,7 +158,7 @@ def _nearest(k: int):
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """``(id, vector)`` of the rows that take part, and how long their vectors are."""
+    """``(id, vector)`` of the rows that take part."""
     finite = F.forall(
         F.col("vector"),
         lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False)),
@@ -159,39 +177,52 @@ def search(
 
     ``is_query`` says of a row, by its columns, whether it is a query; candidates are all rows.
     """
-    rows = usable(vectors.withColumn("_asks", is_query), key, vector)
-    queries = usable(vectors.where(is_query), key, vector)
-    length = rows.agg(F.max(F.size("vector"))).first()[0]
-    if length is None:
-        return vectors.sparkSession.createDataFrame(
-            [], "query_id long, rank int, vec_id long, score double"
-        )
-    rows, queries = (x.where(F.size("vector") == length) for x in (rows, queries))
-    schema = "table int, bucket int, id long, vector binary"
-    index = rows.mapInArrow(_bucketed(length, tables, 1), schema)
-    # At most 2 * dimensions buckets in each table, whatever the number of rows.
-    parts = index.groupBy("table", "bucket").agg(
-        F.ceil(F.count("*") / part_rows).cast("int").alias("parts")
+    rows, queries = usable(vectors, key, vector), usable(vectors.where(is_query), key, vector)
+    schema, bucket = "dims int, table int, bucket int, id long, vector binary", ["dims", "table", "bucket"]
+    index = rows.mapInArrow(_bucketed(tables, 1), schema)
+    asked = queries.mapInArrow(_bucketed(tables, probes), schema)
+    found = stored(_compared(index, asked, bucket, k, part_rows), "near")
+
+    enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    raw = "dims int, id long, vector binary"
+    short = stored(
+        queries.mapInArrow(_raw, raw).join(
+            enough.select(F.col("query_id").alias("id")), "id", "left_anti"
+        ).select("dims", "id", "vector"),
+        "short",
+    )
+    if not short.isEmpty():
+        whole = rows.mapInArrow(_raw, raw).join(short.select("dims").distinct(), "dims", "left_semi")
+        found = found.unionByName(_compared(whole, short, ["dims"], k, part_rows))
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    in_order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(in_order))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
     )
-    held = index.join(parts, ["table", "bucket"]).select(
-        "table", "bucket", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
+
+
+def _compared(
+    rows: DataFrame, asked: DataFrame, place: list[str], k: int, part_rows: int
+) -> DataFrame:
+    """``(query_id, vec_id, score)``: of the rows in each query's places the nearest ones.
+
+    A place is dealt into parts of about ``part_rows`` rows, and a query goes to all of them.
+    """
+    parts = rows.groupBy(*place).agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+    held = rows.join(parts, place).select(
+        *place, F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
         F.lit(False).alias("asks"), "id", "vector",
     )
-    asked = queries.mapInArrow(_bucketed(length, tables, probes), schema)
-    asked = asked.join(parts, ["table", "bucket"]).select(
-        "table", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+    dealt = asked.join(parts, place).select(
+        *place, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(True).alias("asks"), "id", "vector",
     )
-    found = (
-        held.union(asked)
-        .groupBy("table", "bucket", "part")
+    return (
+        held.union(dealt)
+        .groupBy(*place, "part")
         .applyInArrow(_nearest(k), "query_id long, vec_id long, score double")
         .groupBy("query_id", "vec_id")
         .agg(F.min("score").alias("score"))
     )
-    in_order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(in_order))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )

@@ -189,6 +189,45 @@ def test_neighbours_edges(spark):
     assert nearest.search(df.where("vec_id = 400"), F.lit(True)).collect() == []
 
 
+def _neighbours(found):
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        assert r["rank"] == len(got.setdefault(r.query_id, [])) + 1
+        got[r.query_id].append((r.vec_id, r.score))
+    return got
+
+
+def test_all_candidates_of_small_tables_and_outliers(spark):
+    """With the production probes: eight candidates give eight rows; an outlier is answered in full."""
+    rng = np.random.default_rng(7)
+    schema = "vec_id long, embedding array<double>"
+    few = [(i, rng.normal(size=64).tolist()) for i in (100, *range(1, 9))]
+    is_query = F.col("vec_id") % 100 == 0
+    df = spark.createDataFrame(few, schema)
+    plain = _plain_neighbours(few, lambda i: i % 100 == 0, 10)
+    assert _neighbours(nearest.search(df, is_query)) == plain and len(plain[100]) == 8
+
+    center = rng.normal(size=64)
+    cluster = [(i, (center + rng.normal(scale=1e-3, size=64)).tolist()) for i in range(1, 300) if i % 100]
+    rows = [(100, (-center + rng.normal(size=64)).tolist()), (200, center.tolist()), *cluster]
+    found = nearest.search(spark.createDataFrame(rows, schema).repartition(5), is_query, part_rows=40)
+    assert _neighbours(found) == _plain_neighbours(rows, lambda i: i % 100 == 0, 10)
+
+
+def test_vectors_of_several_lengths(spark):
+    """Every length is searched by itself; a single long vector changes nothing for the others."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(1, 300)]
+    odd = [(1000 + i, rng.normal(size=3).tolist()) for i in range(0, 400, 50)] + [(2000, [1.0] * 65)]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    got = _neighbours(nearest.search(df.repartition(3), F.col("vec_id") % 100 == 0))
+    assert set(got) == {100, 200, 1000, 1100, 1200, 1300}
+    plain = _plain_neighbours(odd[:-1], lambda i: i % 100 == 0, 10)
+    assert all(got[q] == plain[q] for q in plain)
+    plain = _plain_neighbours(rows, lambda i: i % 100 == 0, 10)
+    assert all(len(set(got[q]) & set(plain[q])) >= 9 for q in plain)
+
+
 def test_neighbours_recall(spark):
     rows = [
         (r.vec_id, [float(x) for x in r.embedding])
