@@ -212,8 +212,9 @@ def fit(
     """A scorer learnt from marked rows of ``df``.
 
     ``marks`` has the key and two boolean columns: ``positive`` for trusted positives, ``usable`` for
-    rows that count as unlabelled unless they are positives. Only keys are sorted for the sample; the
-    texts of the sample, which has a fixed size, are fetched where they lie.
+    rows that count as unlabelled unless they are positives. Only keys are sorted for the sample of at
+    most ``sample`` of each; their texts are fetched where they lie. A key that several rows repeat
+    counts once, with the least statistics of its texts.
     """
     good, usable = (F.coalesce(F.col(c), F.lit(False)) for c in (positive, usable))
     known = marks.select(F.col(key).alias("key"), good.alias("good"), usable.alias("usable"))
@@ -222,7 +223,9 @@ def fit(
     def collected(rows: DataFrame) -> np.ndarray:
         keys = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
         taken = texts.join(F.broadcast(keys), "key")
-        found = statistics(taken, "key", "text").orderBy("key", "features").collect()
+        # One row for a key, however many rows repeat it.
+        each = statistics(taken, "key", "text").groupBy("key").agg(F.min("features").alias("features"))
+        found = each.orderBy("key").collect()
         return np.array([r.features for r in found], np.float32).reshape(-1, len(FEATURES))
 
     positives = collected(known.where("good"))

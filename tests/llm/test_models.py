@@ -327,6 +327,23 @@ def test_repeated_passages_of_odd_rows(spark):
     )
 
 
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Twenty thousand rows with one id are one row of the sample."""
+    many = spark.range(20_000).selectExpr("7L AS doc_id", "concat('text ', id) AS text", "1L AS score")
+    some = spark.range(100, 160).selectExpr("id AS doc_id", "concat('other text ', id) AS text", "1L AS score")
+    marks = spark.range(100, 130).selectExpr("id AS doc_id", "true AS good", "false AS web").unionByName(
+        spark.range(130, 160).selectExpr("id AS doc_id", "false AS good", "true AS web")
+    )
+    marks = marks.unionByName(spark.sql("SELECT 7L AS doc_id, false AS good, true AS web"))
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda p, u, prior, **_: seen.append((len(p), len(u))))
+    monkeypatch.setattr(quality, "estimate_prior", lambda p, u: 0.5)
+    quality.fit(many.unionByName(some), marks, "good", "web", sample=25)
+    assert seen == [(25, 25)]
+    quality.fit(many.unionByName(some), marks, "good", "web", sample=100)
+    assert seen[1] == (30, 31)
+
+
 def test_pieces_query_covers_the_spans_of_all_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     library = sentencepiece.SentencePieceProcessor(model_file=queries.PIECE_MODEL)
