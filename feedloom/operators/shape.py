@@ -21,12 +21,15 @@ def position_columns(df: DataFrame) -> list[str]:
 def add_id(df: DataFrame, mode: str = "stable", position: list[str] | None = None) -> DataFrame:
     """Add ``id`` as the last column.
 
-    ``stable`` derives it from the record's position; ``random`` draws a new one per row.
+    ``stable`` derives it from the record's position; ``random`` draws a new one per row; ``kept`` leaves
+    the id that the record came with.
     """
+    if mode == "kept":
+        return df.select(*[c for c in df.columns if c != "id"], "id")
     if mode == "random":
         return df.withColumn("id", random_id())
     if mode != "stable":
-        raise ValueError(f"id mode must be 'stable' or 'random', not {mode!r}")
+        raise ValueError(f"id mode must be 'stable', 'random' or 'kept', not {mode!r}")
     names = position or position_columns(df)
     if "offset" not in names:
         raise ValueError("a stable id needs the record's position, at least its offset")

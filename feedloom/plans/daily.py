@@ -14,7 +14,8 @@ from feedloom.operators import parse, requests, responses
 from feedloom.plans import feeds
 from feedloom.sources import landed as landing
 from feedloom.sources import logs, storage
-from feedloom.streaming import once, runs
+from feedloom.streaming import once, redrive, runs
+from feedloom.streaming.progress import BatchCounts
 from feedloom.streaming.sinks import BatchSink, FormatSink
 
 
@@ -133,11 +134,18 @@ def ingest(
     sink: BatchSink | FormatSink,
     checkpoints: str,
     **row_options: str,
-) -> None:
-    """Append everything new in the feed's log to its sink, then return."""
+) -> list[BatchCounts]:
+    """Append everything new in the feed's log to its sink; what each batch read, accepted and rejected."""
     spec = FEEDS[feed]
     rows = spec.rows(stream_log(spark, log, spec.topic), **row_options)
-    runs.run_to_end(rows, sink, name=f"ingest_{feed}", checkpoints=checkpoints)
+    return runs.run_to_end(rows, sink, name=f"ingest_{feed}", checkpoints=checkpoints)
+
+
+def redrive_rejects(spark: SparkSession, feed: str, path: str, **row_options: str) -> int:
+    """Read the rejected records of a sink of split files again; how many were accepted now."""
+    spec = FEEDS[feed]
+    options = {**row_options, "mode": "quarantine", "id_mode": "kept"}
+    return redrive.redrive(spark, path, lambda log: spec.rows(log, **options), ["id"])
 
 
 def run(

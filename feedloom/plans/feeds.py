@@ -41,8 +41,9 @@ def warning_rows(
     ``with_position`` keeps the record's place in the log, which a keyed sink needs to break ties.
     """
     position = shape.position_columns(log)
+    carried = [*position, *(["id"] if id_mode == "kept" else [])]
     rows = parse.parse_log(
-        log, schemas.WARNING_WIRE, mode=mode, keep=position, source_tz=source_tz
+        log, schemas.WARNING_WIRE, mode=mode, keep=carried, source_tz=source_tz
     )
     rows = shape.rename(rows, schemas.WARNING_RENAMES)
     rows = shape.add_id(rows, id_mode, position)
@@ -68,8 +69,9 @@ def weather_rows(
     if days not in ("first", "all"):
         raise ValueError(f"days must be 'first' or 'all', not {days!r}")
     position = shape.position_columns(log)
+    carried = [*position, *(["id"] if id_mode == "kept" else [])]
     rows = parse.parse_log(
-        log, schemas.weather_wire(elevation), mode=mode, keep=position, source_tz=source_tz
+        log, schemas.weather_wire(elevation), mode=mode, keep=carried, source_tz=source_tz
     )
     kept = position if with_position else []
     if days == "all":

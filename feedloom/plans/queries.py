@@ -24,13 +24,13 @@ from pyspark.sql.types import (
 from feedloom import schemas
 from feedloom.functions import json_text
 from feedloom.functions.arrays import first_item
-from feedloom.operators import decode, parse, requests, responses, shape
+from feedloom.operators import decode, drift, parse, requests, responses, shape
 from feedloom.operators.encode import number_equal, to_log
 from feedloom.operators.latest import latest_by_key
 from feedloom.plans import daily, feeds
 from feedloom.session import scratch_dir
 from feedloom.sources import landed, logs, regions, storage
-from feedloom.streaming import keyed, runs, sinks, tables
+from feedloom.streaming import keyed, reconcile, redrive, runs, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -612,6 +612,86 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _faulty_rows(kinds[0].unionByName(kinds[1]))
 
 
+@_query(
+    """
+    SELECT event_id AS "offset", event_id, ts, user_id, event_type, value, props
+    FROM events WHERE event_type = 'click' OR (event_type = 'purchase' AND value >= 20)
+    """
+)
+def stream_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records are read again, twice, by a schema that takes the user as text."""
+    events = _table(spark, sf_dir, "events")
+    root, strict = scratch_dir(spark, "stream_redrive"), _camel_schema(events, required=("event_id",))
+    logs.publish_files(_faulty_event_log(events), root, "events", "all")
+
+    def rows_of(log: DataFrame, schema: StructType) -> DataFrame:
+        rows = parse.parse_log(log, schema, mode="quarantine", keep=["offset"])
+        return rows.withColumn("UserId", F.col("UserId").cast("bigint"))
+
+    text_user = StructType(
+        [StructField(f.name, StringType(), f.nullable) if f.name == "UserId" else f for f in strict]
+    )
+    runs.run_to_end(
+        rows_of(logs.stream_files(spark, root, "events"), strict), sinks.split_files(f"{root}/rows"),
+        name="events", checkpoints=f"{root}/checkpoints",
+    )
+    for _ in range(2):
+        redrive.redrive(spark, f"{root}/rows", lambda log: rows_of(log, text_user), ["offset"])
+    rows = redrive.read_accepted(spark, f"{root}/rows")
+    return _plain_times(shape.rename(rows, _snake_renames(events)))
+
+
+@_query(
+    f"""
+    SELECT CASE WHEN event_id % 13 = 0 THEN 'lost' ELSE 'doubled' END AS state, 'events' AS topic,
+           'all' AS run, CAST(0 AS INT) AS partition, event_id AS "offset",
+           {_uuid_sql("'events:all:0:' || event_id")} AS id,
+           CAST(CASE WHEN event_id % 13 = 0 THEN 0 ELSE 2 END AS BIGINT) AS n_rows
+    FROM events WHERE event_id % 13 = 0 OR event_id % 17 = 0
+    """
+)
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sink that lost some records and doubled others, against its log."""
+    events = _table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "stream_reconcile")
+    logs.publish_files(_event_log(events), root, "events", "all")
+    good = sinks.files(f"{root}/rows")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.where("EventId % 13 <> 0")
+        good.write(kept.unionByName(kept.where("EventId % 17 = 0")), batch_id)
+
+    log = logs.stream_files(spark, root, "events")
+    place = shape.position_columns(log)
+    rows = parse.parse_log(log, _camel_schema(events), keep=place)
+    rows = shape.add_id(rows, "stable", place).drop(*place)
+    runs.run_to_end(
+        rows, sinks.BatchSink(write, good.batches), name="events", checkpoints=f"{root}/checkpoints"
+    )
+    stored = sinks.read_files(spark, f"{root}/rows")
+    return reconcile.reconcile(logs.read_files(spark, root, "events"), stored)
+
+
+@_query(
+    """
+    SELECT 'User' AS path, 'unknown' AS change, count(*) AS n_documents
+    FROM events WHERE event_id % 2 = 0
+    UNION ALL SELECT 'Value', 'type', count(*) FROM events
+    UNION ALL SELECT 'Props', 'vanished', 0
+    """
+)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A member that got another name in half of the documents, one of a new type, and one that is gone."""
+    events = _table(spark, sf_dir, "events")
+    columns = [c for c in _camel_document(events.drop("props"))]
+    documents = _with_document(events, columns)
+    key, text = F.col("event_id"), F.col("document")
+    renamed = F.when(key % 2 == 0, F.replace(text, F.lit('"UserId":'), F.lit('"User":'))).otherwise(text)
+    retyped = F.when(key % 10 == 0, F.regexp_replace(renamed, '"Value":[^,}]*', '"Value":"much"'))
+    log = _event_log(documents, F.coalesce(retyped, renamed))
+    return drift.drift(log, _camel_schema(events)).drop("seen_type")
+
+
 def _fresh_namespace(spark: SparkSession) -> str:
     """A namespace of its own for the queries, in the same place each time, without tables."""
     namespace = "feedloom_queries"

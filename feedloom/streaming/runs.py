@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.sources import storage
+from feedloom.streaming.progress import BatchCounts, Report, counted
 from feedloom.streaming.sinks import BatchSink, FormatSink
 
 
@@ -21,12 +22,18 @@ def start(
     name: str,
     checkpoints: str,
     once: bool = False,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a sink.
 
-    Runs until stopped, or with ``once`` until everything there is at the start has been written.
+    Runs until stopped, or with ``once`` until everything there is at the start has been written. A
+    ``report`` of the query's name gets the counts of its batches; whoever starts it removes it from the
+    session's listeners.
     """
     spark = rows.sparkSession
+    if report:
+        rows = counted(rows)
+        spark.streams.addListener(report)
     checkpoint = checkpoint_path(checkpoints, name)
     writer = (
         rows.writeStream.queryName(name)
@@ -49,6 +56,13 @@ def start(
 
 def run_to_end(
     rows: DataFrame, sink: BatchSink | FormatSink, *, name: str, checkpoints: str
-) -> None:
-    """Write everything the stream has now; an error in the query is raised here."""
-    start(rows, sink, name=name, checkpoints=checkpoints, once=True).awaitTermination()
+) -> list[BatchCounts]:
+    """Write everything the stream has now; an error in the query is raised here.
+
+    Returns what each batch read, accepted and rejected.
+    """
+    report = Report(name)
+    query = start(counted(rows), sink, name=name, checkpoints=checkpoints, once=True)
+    query.awaitTermination()
+    report.add(query)
+    return report.batches
