@@ -44,12 +44,12 @@ def cell_centre(start: Column, stop: Column, index: Column, count: Column) -> Co
     return (edge(index) + edge(index + 1)) / F.lit(2)
 
 
-def round_exact(value: Column, digits: int) -> Column:
-    """Round the exact binary value, ties to even, as C and Python number formatting do.
+def _round_scaled(value: Column, digits: int) -> Column:
+    """``value * 10^digits`` rounded to whole from the exact binary value, ties to even.
 
-    ``value * 10^digits`` is itself rounded, so a product that lands on .5 may stand for a value on
-    either side of it. The lost part is recovered by splitting the value into two halves of at most
-    27 bits, whose products with the power of ten are exact.
+    The product is itself rounded, so one that lands on .5 may stand for a value on either side of it. The
+    lost part is recovered by splitting the value into two halves of at most 27 bits, whose products with
+    the power of ten are exact.
     """
     scale = F.lit(float(10**digits))
     carry = value * F.lit(134217729.0)  # 2^27 + 1
@@ -59,14 +59,35 @@ def round_exact(value: Column, digits: int) -> Column:
     lost = (high * scale - product) + low * scale
     whole = F.floor(product).cast("double")
     on_tie = (product - whole) == F.lit(0.5)
-    rounded = (
+    return (
         F.when(on_tie & (lost > 0), whole + 1)
         .when(on_tie & (lost < 0), whole)
         .otherwise(F.rint(product))
     )
-    return rounded / scale
+
+
+def round_exact(value: Column, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as C and Python number formatting do."""
+    return _round_scaled(value, digits) / F.lit(float(10**digits))
 
 
 def fixed_text(value: Column, digits: int = 4) -> Column:
-    """The number with a fixed count of decimals."""
-    return F.format_string(f"%.{digits}f", round_exact(value, digits))
+    """The number with a fixed count of decimals.
+
+    Digits are taken from one whole number, which stays in generated code; only numbers that a long does
+    not hold exactly, and those that are none, go to a formatter.
+    """
+    rounded = _round_scaled(value, digits)
+    whole = F.abs(rounded).try_cast("bigint")
+    scale = F.lit(10**digits)
+    # A zero may be negative too, which only its text tells.
+    is_negative = F.when(value == 0, value.cast("string").startswith("-")).otherwise(value < 0)
+    fraction = F.lpad((whole % scale).cast("string"), digits, "0")
+    text = F.concat(
+        F.when(is_negative, "-").otherwise(""),
+        F.floor(whole / scale).cast("string"), F.lit("."), fraction,
+    )
+    small = F.abs(rounded) < F.lit(float(2**52))
+    return F.when(small, text).otherwise(
+        F.format_string(f"%.{digits}f", rounded / F.lit(float(10**digits)))
+    )

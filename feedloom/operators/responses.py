@@ -71,31 +71,49 @@ _TOKEN = r'"[^"]*"|[{}\[\],:]|[^\s"{}\[\],:]+'
 _HELD = [("\\\\", "\x01"), ('\\"', "\x02")]
 
 
-def _members(document: Column) -> Column:
-    """The texts of an object's members, ``"name":value`` without space around the tokens."""
+def _without(document: Column, names: list[str]) -> Column:
+    """The inside of an object's text without the members of these names, and without space around tokens.
+
+    One walk over the tokens keeps offsets only: how deep it is, where the member began, and the spans of
+    the members that go. The text is cut at those spans afterwards, so the work grows with its length.
+    """
     for escape, held in _HELD:
         document = F.replace(document, F.lit(escape), F.lit(held))
     tokens = F.regexp_extract_all(document, F.lit(_TOKEN), F.lit(0))
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done")
-    )
+    text = F.array_join(tokens, "")
+    spans = F.array().cast("array<struct<start:int,stop:int>>")
+    first = {"depth": F.lit(0), "at": F.lit(0), "start": F.lit(0), "old": F.lit(False), "spans": spans}
 
     def step(state: Column, token: Column) -> Column:
-        depth, text, done = state["depth"], state["open"], state["done"]
+        depth, at, start = state["depth"], state["at"], state["start"]
         after = depth + F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
-        begins, ends = depth == 0, (depth == 1) & token.isin(",", "}")
-        return F.struct(
-            after.alias("depth"),
-            F.when(begins | ends, "").otherwise(F.concat(text, token)).alias("open"),
-            F.when(ends & (text != ""), F.array_append(done, text)).otherwise(done).alias("done"),
+        old = F.when((depth == 1) & (at == start), token.isin(*[f'"{n}"' for n in names])).otherwise(
+            state["old"]
         )
-
-    def shown(text: Column) -> Column:
-        for escape, held in _HELD:
-            text = F.replace(text, F.lit(held), F.lit(escape))
-        return text
-
-    return F.transform(F.aggregate(tokens, start, step)["done"], shown)
+        ends = (depth == 1) & token.isin(",", "}")
+        span = F.struct(start.alias("start"), at.alias("stop"))
+        parts = {
+            "depth": after,
+            "at": at + F.length(token),
+            "start": F.when(ends | (depth == 0), at + F.length(token)).otherwise(start),
+            "old": old,
+            "spans": F.when(ends & state["old"], F.array_append(state["spans"], span)).otherwise(
+                state["spans"]
+            ),
+        }
+        return F.struct(*[column.alias(name) for name, column in parts.items()])
+
+    gone = F.aggregate(tokens, F.struct(*[c.alias(n) for n, c in first.items()]), step)["spans"]
+    # What lies before, between and behind the spans, inside the object's own brackets.
+    starts = F.concat(F.array(F.lit(1)), gone["stop"])
+    stops = F.concat(gone["start"], F.array(F.length(text) - 1))
+    runs = F.transform(
+        stops, lambda stop, i: F.btrim(text.substr(F.get(starts, i) + 1, stop - F.get(starts, i)), F.lit(","))
+    )
+    rest = F.array_join(F.filter(runs, lambda run: run != ""), ",")
+    for escape, held in _HELD:
+        rest = F.replace(rest, F.lit(held), F.lit(escape))
+    return rest
 
 
 def add_members(document: Column, members: dict[str, Column]) -> Column:
@@ -110,18 +128,16 @@ def add_members(document: Column, members: dict[str, Column]) -> Column:
         {"ignoreNullFields": "false"},
     )
     tail = F.substring(added, F.lit(2), F.length(added))
-    occurs, is_old = F.lit(False), lambda member: F.lit(False)
+    occurs = F.lit(False)
     for name in members:
-        key = f'"{name}"'
-        occurs = occurs | document.contains(key)
-        is_old = lambda m, key=key, others=is_old: others(m) | m.startswith(f"{key}:")
+        occurs = occurs | document.contains(f'"{name}"')
 
     def joined(head: Column) -> Column:
         return F.when(F.btrim(head, F.lit(_JSON_SPACE)) == "", added).otherwise(
             F.concat(F.lit("{"), head, F.lit(","), tail)
         )
 
-    others = F.array_join(F.filter(_members(document), lambda member: ~is_old(member)), ",")
+    others = _without(document, list(members))
     trimmed = F.btrim(document, F.lit(_JSON_SPACE))
     inside = F.substring(trimmed, F.lit(2), F.length(trimmed) - 2)
     return F.when(occurs, joined(others)).otherwise(joined(inside))
