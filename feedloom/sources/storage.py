@@ -17,6 +17,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jvm_path)
 
 
+def total_size(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of all files under these directories."""
+    total = 0
+    for path in paths:
+        file_system, jvm_path = _file_system(spark, path)
+        if file_system.exists(jvm_path):
+            total += file_system.getContentSummary(jvm_path).getLength()
+    return total
+
+
 def write_text(spark: SparkSession, path: str, text: str = "") -> None:
     file_system, jvm_path = _file_system(spark, path)
     stream = file_system.create(jvm_path, True)

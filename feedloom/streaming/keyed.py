@@ -4,6 +4,10 @@
 divided by a hash of the key, and rewrites only the buckets that have changed: ``base/through=N/bucket=B``
 is bucket B as it was after batch N, and ``base/_manifests/N`` names the current files of all buckets.
 A write needs no shuffle and never touches earlier files.
+
+The number of buckets follows from the bytes that there are. A base that has outgrown its buckets is dealt
+anew as a whole; as its size has at least doubled since the last time, that costs each row a constant
+number of writes.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from feedloom.streaming import sinks
 from feedloom.streaming.tables import BATCH
 
 BUCKET, THROUGH = "bucket", "through"
-BUCKETS = 64
+
+# A bucket is to hold about so many bytes of files.
+BUCKET_BYTES = 128 << 20
 
 # Where a record lies in its log, the last part last.
 _POSITION = ["run", "partition", "offset"]
@@ -38,7 +44,7 @@ def _manifest(spark: SparkSession, path: str) -> dict:
     folder = f"{path}/base/_manifests"
     last = max((int(name) for name in storage.child_names(spark, folder)), default=None)
     if last is None:
-        return {THROUGH: -1, "buckets": {}, "of": BUCKETS}
+        return {THROUGH: -1, "buckets": {}, "of": 1}
     return json.loads(storage.read_text(spark, f"{folder}/{last}"))
 
 
@@ -54,13 +60,22 @@ def _order(rows: DataFrame, order: list[str] | None) -> list[str]:
     return [BATCH, *[name for name in _POSITION if name in rows.columns]]
 
 
-def _base(spark: SparkSession, path: str, manifest: dict, buckets: set[int]) -> DataFrame | None:
-    targets = [
+def _base_folders(path: str, manifest: dict, buckets: set[int]) -> list[str]:
+    return [
         f"{path}/base/{THROUGH}={through}/{BUCKET}={bucket}"
         for bucket, through in manifest["buckets"].items()
         if int(bucket) in buckets
     ]
-    return spark.read.parquet(*targets) if targets else None
+
+
+def _base(spark: SparkSession, path: str, manifest: dict, buckets: set[int]) -> DataFrame | None:
+    folders = _base_folders(path, manifest, buckets)
+    return spark.read.parquet(*folders) if folders else None
+
+
+def _buckets_for(size: int, bucket_bytes: int) -> int:
+    """The least power of two that leaves no bucket above its size, if keys are spread evenly."""
+    return 1 << max(0, -(-size // bucket_bytes) - 1).bit_length()
 
 
 def _changes(
@@ -104,21 +119,39 @@ def read_latest(
 
 
 def compact(
-    spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None
+    spark: SparkSession, path: str, keys: list[str], order: list[str] | None = None, *,
+    least_share: float = 0.0, bucket_bytes: int = BUCKET_BYTES,
 ) -> int | None:
     """Fold all batches so far into the base and return the last one folded.
 
-    Old files stay in place, so readers that started earlier go on undisturbed.
-    """
+    ``least_share`` waits until the batches hold that share of the base's bytes: keys that are spread over
+    all buckets make every fold rewrite the base, which then costs a row at most ``1 / least_share`` writes
+    besides its own. Old files stay in place, so readers that started earlier go on undisturbed.
+    """
     manifest = _manifest(spark, path)
+    folded = manifest[THROUGH] if manifest[THROUGH] >= 0 else None
     batches = _new_batches(spark, path, manifest)
     if not batches:
-        return manifest[THROUGH] if manifest[THROUGH] >= 0 else None
-    changed, touched = _changes(spark, path, manifest, batches, keys, order)
+        return folded
+    present = {int(bucket) for bucket in manifest["buckets"]}
+    old = storage.total_size(spark, _base_folders(path, manifest, present))
+    new = storage.total_size(spark, [f"{_deltas(path)}/{BATCH}={batch}" for batch in batches])
+    if old and new < least_share * old:
+        return folded
+    of = _buckets_for(old + new, bucket_bytes)
+    if of > manifest["of"]:
+        # All rows get other buckets.
+        changed, touched = read_latest(spark, path, keys, order), set(range(of))
+        manifest |= {"of": of, "buckets": {}}
+    else:
+        changed, touched = _changes(spark, path, manifest, batches, keys, order)
     last, target = batches[-1], f"{path}/base/{THROUGH}={batches[-1]}"
     by_bucket = changed.withColumn(BUCKET, _bucket(keys, manifest["of"]))
-    by_bucket.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-    manifest["buckets"] |= {str(bucket): last for bucket in touched}
+    # A bucket is written by one task, or by several if it is large.
+    dealt = by_bucket.hint("rebalance", F.col(BUCKET))
+    dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+    written = set(storage.numbered(spark, target, BUCKET))
+    manifest["buckets"] |= {str(bucket): last for bucket in touched & written}
     manifest[THROUGH] = last
     storage.write_text(spark, f"{path}/base/_manifests/{last}", json.dumps(manifest))
     return last

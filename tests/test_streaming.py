@@ -249,7 +249,8 @@ def test_only_touched_buckets_are_shuffled_and_rewritten(spark, tmp_path):
     )
     sink = keyed.upsert_files(root)
     sink.write(rows, 0)
-    keyed.compact(spark, root, keys, order)
+    keyed.compact(spark, root, keys, order, bucket_bytes=256)
+    assert len(list((tmp_path / "base" / "through=0").glob("bucket=*"))) > 8
     plain = keyed.read_latest(spark, root, keys, order)
     assert "Exchange" not in plain._jdf.queryExecution().toString()
     sink.write(rows.filter("k IS NULL OR k = 10").withColumn("v", F.lit(1)), 1)
@@ -268,6 +269,38 @@ def test_only_touched_buckets_are_shuffled_and_rewritten(spark, tmp_path):
     assert {tuple(row) for row in keyed.read_latest(spark, root, keys, order).collect()} == expected
 
 
+def test_buckets_grow_with_the_data(spark, tmp_path):
+    """The number of buckets follows the bytes; a base that has outgrown them is dealt anew."""
+    root, keys, order = str(tmp_path), ["k"], ["batch_id"]
+    sink = keyed.upsert_files(root)
+
+    def write(batch, n):
+        rows = spark.range(n).select(F.col("id").alias("k"), F.sha2(F.concat("id", F.lit(batch)), 256).alias("v"))
+        sink.write(rows, batch)
+        keyed.compact(spark, root, keys, order, bucket_bytes=40_000)
+        return len(list((tmp_path / "base" / f"through={batch}").glob("bucket=*")))
+
+    counts = [write(0, 100), write(1, 4_000), write(2, 20_000)]
+    assert counts[0] == 1 and 4 <= counts[1] < counts[2]
+    found = keyed.read_latest(spark, root, keys, order)
+    assert found.count() == 20_000 == found.where("batch_id = 2").count()
+    assert found.select("k").distinct().count() == 20_000
+
+
+def test_small_changes_wait_for_a_fold(spark, tmp_path):
+    root, keys, order = str(tmp_path), ["k"], ["batch_id"]
+    sink = keyed.upsert_files(root)
+    sink.write(spark.range(20_000).selectExpr("id AS k", "'a' AS v"), 0)
+    assert keyed.compact(spark, root, keys, order, least_share=0.5) == 0
+    sink.write(spark.range(10).selectExpr("id AS k", "'b' AS v"), 1)
+    assert keyed.compact(spark, root, keys, order, least_share=0.5) == 0
+    found = keyed.read_latest(spark, root, keys, order)
+    assert found.count() == 20_000 and found.where("v = 'b'").count() == 10
+    sink.write(spark.range(20_000).selectExpr("id AS k", "'c' AS v"), 2)
+    assert keyed.compact(spark, root, keys, order, least_share=0.5) == 2
+    assert keyed.read_latest(spark, root, keys, order).where("v = 'c'").count() == 20_000
+
+
 def test_upsert_without_an_order_is_refused(spark, tmp_path):
     keyed.upsert_files(str(tmp_path)).write(spark.range(3), 0)
     with pytest.raises(ValueError, match="break ties"):
