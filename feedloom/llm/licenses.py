@@ -11,8 +11,12 @@ window's, so windows are only hashed where they hold such a shingle; this change
 that a band retrieves are verified by exact containment. A template of fewer than five words has its whole
 sequence as one shingle, and windows are compared with that.
 
+The band tables of all templates are one: from each smallest shingle to the templates that have it. A text
+is looked up in it once, and only templates that it names are tried, however many there are.
+
 For every row and template the best window is returned: the highest containment, then the first. Null and
-empty texts have none. Rows are independent: repeated rows, nulls and further columns do not matter.
+empty texts have none, and so has an empty table. Very long texts are cut into windows whole. Rows are
+independent: repeated rows, nulls and further columns do not matter.
 """
 
 from __future__ import annotations
@@ -25,44 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.arrays import chunks, mix, word_codes, words
+from feedloom.llm.arrays import chunks, expand, mix, word_codes, words
+from feedloom.llm.license_texts import TEMPLATES
 
 N = 5
 PERCENT = 75
 MISS = 1e-6
 _U = np.uint64
 
-# Wordings of public licenses and of the usual notices.
-TEMPLATES = {
-    "mit-notice": "Released under the MIT License.",
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "cc-by-nc-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        'software and associated documentation files (the "Software"), to deal in the Software '
-        "without restriction, including without limitation the rights to use, copy, modify, merge, "
-        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons "
-        "to whom the Software is furnished to do so, subject to the following conditions:"
-    ),
-    "apache-2.0": (
-        "Unless required by applicable law or agreed to in writing, software distributed under the "
-        'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
-        "either express or implied. See the License for the specific language governing permissions "
-        "and limitations under the License."
-    ),
-    "gpl-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
-        "the GNU General Public License as published by the Free Software Foundation, either version "
-        "3 of the License, or (at your option) any later version."
-    ),
-    "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:"
-    ),
-}
-
-
 def _shingles(codes: np.ndarray, n: int) -> np.ndarray:
     size = max(0, len(codes) - n + 1)
     whole = np.zeros(size, _U)
@@ -136,6 +110,28 @@ class Template:
         return False
 
 
+class BandTable:
+    """Smallest shingles of all templates with shingles of ``n`` words, and whose they are."""
+
+    def __init__(self, known: list[Template], n: int):
+        own = [(i, t) for i, t in enumerate(known) if t.n == n]
+        marks = np.concatenate([t.marks for _, t in own])
+        owner = np.repeat([i for i, _ in own], [len(t.marks) for _, t in own])
+        order = np.argsort(marks, kind="stable")
+        self.marks, first = np.unique(marks[order], return_index=True)
+        self.owner, self.bounds = owner[order], np.append(first, len(order))
+
+    def named(self, shingles: np.ndarray, row_bounds: np.ndarray) -> np.ndarray:
+        """Pairs (row, template) of rows that hold a mark of a template, as rows of a matrix."""
+        at = np.searchsorted(self.marks, shingles)
+        at[at == len(self.marks)] = 0
+        hit = np.flatnonzero(self.marks[at] == shingles)
+        row, at = np.searchsorted(row_bounds, hit, "right") - 1, at[hit]
+        many = self.bounds[at + 1] - self.bounds[at]
+        owner = self.owner[expand(self.bounds[at], many)]
+        return np.unique(np.stack([np.repeat(row, many), owner], axis=1), axis=0)
+
+
 def scan(
     df: DataFrame, templates: dict[str, str] | None = None, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -144,7 +140,7 @@ def scan(
     ``templates`` is an argument and goes to all tasks; the texts of a few thousand licenses at most.
     """
     known = [Template(name, body) for name, body in (templates or TEMPLATES).items()]
-    sizes = sorted({t.n for t in known})
+    tables = {n: BandTable(known, n) for n in sorted({t.n for t in known})}
     kind = df.schema[key].dataType.simpleString()
     schema = f"_key {kind}, template string, containment double, first_word int, end_word int"
 
@@ -154,17 +150,15 @@ def scan(
             for chunk in chunks(batch.column(1)):
                 cut = words(chunk)
                 codes = word_codes(chunk, cut, fold=True)
-                whole = {n: _shingles(codes, n) for n in sizes}
-                # Rows that hold a mark of some template.
-                for t in known:
-                    hit = np.flatnonzero(np.isin(whole[t.n], t.marks))
-                    for row in np.unique(np.searchsorted(cut.bounds, hit, "right") - 1).tolist():
+                for n, bands in tables.items():
+                    whole = _shingles(codes, n)
+                    for row, i in bands.named(whole, cut.bounds).tolist():
                         low, high = cut.bounds[row], cut.bounds[row + 1]
-                        own = whole[t.n][low : max(low, high - t.n + 1)]
-                        best = t.matches(own, high - low) if len(own) else None
+                        own = whole[low : max(low, high - n + 1)]
+                        best = known[i].matches(own, high - low) if len(own) else None
                         if best:
                             rows.append(chunk.first + row)
-                            names.append(t.name)
+                            names.append(known[i].name)
                             found.append(best)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()),
