@@ -9,6 +9,8 @@
     python -m feedloom run weather --date 2025-01-25 --landed-root /shared/landed \\
         --log files:/shared/log --rejects /shared/rejects --sink table --checkpoints /shared/cp
 
+    python -m feedloom redrive weather --sink files:/shared/weather
+
 The name of a feed alone stands for ``ingest``: log to sink, until stopped or with ``--once``.
 """
 
@@ -49,6 +51,10 @@ def _sink_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--checkpoints", required=True, help="shared folder for checkpoints")
     parser.add_argument("--mode", choices=["keep", "quarantine"], default="keep")
     parser.add_argument("--ids", choices=["stable", "random"], default="stable")
+    _reading_options(parser)
+
+
+def _reading_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--elevation", choices=["double", "int_strict"], default="double")
     parser.add_argument("--source-tz", help="zone of timestamps without an offset")
 
@@ -57,7 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="feedloom", description=__doc__.splitlines()[0])
     commands = parser.add_subparsers(dest="command", required=True)
     made = {}
-    for name in ("plan", "missing", "publish", "ingest", "run"):
+    for name in ("plan", "missing", "publish", "ingest", "run", "redrive"):
         made[name] = commands.add_parser(name)
         made[name].add_argument("feed", choices=sorted(FEEDS))
     for name in ("plan", "run"):
@@ -77,6 +83,8 @@ def _parser() -> argparse.ArgumentParser:
         _log_options(made[name])
     for name in ("ingest", "run"):
         _sink_options(made[name])
+    made["redrive"].add_argument("--sink", required=True, help="files:<path> of a quarantine")
+    _reading_options(made["redrive"])
     made["ingest"].add_argument("--once", action="store_true", help="stop when all was written")
     return parser
 
@@ -89,7 +97,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     arguments = parser.parse_args(argv)
     if "log" in arguments and arguments.log.partition(":")[0] not in ("kafka", "files"):
         parser.error(f"unknown log {arguments.log!r}")
-    if "sink" in arguments:
+    if arguments.command == "redrive":
+        if arguments.sink.partition(":")[0] != "files":
+            parser.error("rejected records lie in a files sink")
+    elif "sink" in arguments:
         if arguments.sink.partition(":")[0] not in SINKS:
             parser.error(f"unknown sink {arguments.sink!r}")
         if arguments.mode == "quarantine" and arguments.sink == "cassandra":
@@ -134,16 +145,19 @@ def _sink(
     return sinks.split_files(path) if quarantine else sinks.files(path)
 
 
+def _read_options(feed: Feed, arguments: argparse.Namespace) -> dict:
+    options = {"source_tz": arguments.source_tz}
+    if feed.topic == schemas.WEATHER_TOPIC:
+        options["elevation"] = arguments.elevation
+    return options
+
+
 def _row_options(feed: Feed, arguments: argparse.Namespace) -> dict:
-    options = {
+    return _read_options(feed, arguments) | {
         "mode": arguments.mode,
         "id_mode": arguments.ids,
-        "source_tz": arguments.source_tz,
         "with_position": arguments.sink.startswith("upsert:"),
     }
-    if feed.topic == schemas.WEATHER_TOPIC:
-        options["elevation"] = arguments.elevation
-    return options
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -164,6 +178,10 @@ def main(argv: Sequence[str] | None = None) -> None:
                 landed_root=arguments.landed_root,
             )
         requests.write.mode("overwrite").parquet(arguments.out)
+    elif arguments.command == "redrive":
+        path = arguments.sink.partition(":")[2]
+        brought = daily.redrive_rejects(spark, name, path, **_read_options(feed, arguments))
+        print(f"{brought} rejected records are accepted now")
     elif arguments.command == "publish":
         responses = landed.read_landed(spark, arguments.landed)
         daily.publish_landed(

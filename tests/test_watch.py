@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import schemas
+from feedloom.__main__ import main
 from feedloom.operators import drift
 from feedloom.operators.encode import to_log
 from feedloom.plans import daily, feeds
@@ -63,7 +64,10 @@ def test_redrive_brings_each_reject_home_once(spark, tmp_path, monkeypatch):
     # Rejects that come later are tried by the next re-drive, and they alone.
     _publish(spark, root, "b", [(20, {"region_id": "20", "elevation": 20.25})])
     _ingest(spark, root, elevation="int_strict")
-    assert again() == 1 and again() == 0
+    main(["redrive", "weather", "--sink", f"files:{root}/rows"])
+    assert again() == 0
+    with pytest.raises(SystemExit):
+        main(["redrive", "weather", "--sink", "table"])
     assert sinks.finished_batches(spark, f"{root}/rows/_redriven") == [0, 1]
 
 
