@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions import json_text
+from feedloom.functions.arrays import using
 from feedloom.operators.parse import REJECT_REASON
 
 OK_STATUS = 200
@@ -17,6 +18,14 @@ OK_STATUS = 200
 _JSON_SPACE = " \t\r\n"
 
 
+def _trimmed(text: Column) -> Column:
+    """The text without JSON space at its ends; only one that has some there is read for it."""
+    has_space = F.lit(False)
+    for space in _JSON_SPACE:
+        has_space = has_space | text.startswith(space) | text.endswith(space)
+    return F.when(has_space, F.btrim(text, F.lit(_JSON_SPACE))).otherwise(text)
+
+
 def _status_fault(status: Column) -> Column:
     return ~status.eqNullSafe(F.lit(OK_STATUS))
 
@@ -58,7 +67,7 @@ def weather_documents(responses: DataFrame, check_status: bool = True) -> DataFr
         parsed.withColumn(REJECT_REASON, reason)
         .withColumn(
             "document",
-            F.when(F.col(REJECT_REASON).isNull(), F.btrim(F.col("body"), F.lit(_JSON_SPACE))),
+            F.when(F.col(REJECT_REASON).isNull(), _trimmed(F.col("body"))),
         )
         .drop("_items")
     )
@@ -71,16 +80,25 @@ _TOKEN = r'"[^"]*"|[{}\[\],:]|[^\s"{}\[\],:]+'
 _HELD = [("\\\\", "\x01"), ('\\"', "\x02")]
 
 
-def _without(document: Column, names: list[str]) -> Column:
-    """The inside of an object's text without the members of these names, and without space around tokens.
+# What may stand inside brackets that go so many levels down: no state and no way back, so one pass.
+_LEVELS = 8
+_INSIDE = r'(?:[^"{}\[\]]++|"[^"]*+")*+'
+for _ in range(_LEVELS - 1):
+    _INSIDE = rf'(?:[^"{{}}\[\]]++|"[^"]*+"|[{{\[]{_INSIDE}[}}\]])*+'
+
+# A member of an object: its name, and all up to a comma that is in no string and in no brackets.
+_MEMBER = rf'\s*+"[^"]*+"(?:[^"{{}}\[\],]++|"[^"]*+"|[{{\[]{_INSIDE}[}}\]])*+'
+
+# Space, and strings, which keep theirs.
+_SPACE_OR_STRING = r'\s++|("[^"]*+")'
+
+
+def _walked(text: Column, names: list[str]) -> Column:
+    """The members of an object's text but those of these names, by one walk over its tokens.
 
-    One walk over the tokens keeps offsets only: how deep it is, where the member began, and the spans of
-    the members that go. The text is cut at those spans afterwards, so the work grows with its length.
+    The walk keeps offsets only: how deep it is, where the member began, and the spans of the members that
+    go. The text is cut at those spans afterwards, so the work grows with its length.
     """
-    for escape, held in _HELD:
-        document = F.replace(document, F.lit(escape), F.lit(held))
-    tokens = F.regexp_extract_all(document, F.lit(_TOKEN), F.lit(0))
-    text = F.array_join(tokens, "")
     spans = F.array().cast("array<struct<start:int,stop:int>>")
     first = {"depth": F.lit(0), "at": F.lit(0), "start": F.lit(0), "old": F.lit(False), "spans": spans}
 
@@ -103,14 +121,54 @@ def _without(document: Column, names: list[str]) -> Column:
         }
         return F.struct(*[column.alias(name) for name, column in parts.items()])
 
-    gone = F.aggregate(tokens, F.struct(*[c.alias(n) for n, c in first.items()]), step)["spans"]
-    # What lies before, between and behind the spans, inside the object's own brackets.
-    starts = F.concat(F.array(F.lit(1)), gone["stop"])
-    stops = F.concat(gone["start"], F.array(F.length(text) - 1))
-    runs = F.transform(
-        stops, lambda stop, i: F.btrim(text.substr(F.get(starts, i) + 1, stop - F.get(starts, i)), F.lit(","))
-    )
-    rest = F.array_join(F.filter(runs, lambda run: run != ""), ",")
+    def cut(bare: Column, gone: Column) -> Column:
+        # What lies before, between and behind the spans, inside the object's own brackets.
+        starts = F.concat(F.array(F.lit(1)), gone["stop"])
+        stops = F.concat(gone["start"], F.array(F.length(bare) - 1))
+        pairs = F.arrays_zip(starts.alias("start"), stops.alias("stop"))
+        runs = F.transform(
+            pairs, lambda p: F.btrim(bare.substr(p["start"] + 1, p["stop"] - p["start"]), F.lit(","))
+        )
+        return F.array_join(F.filter(runs, lambda run: run != ""), ",")
+
+    def without(tokens: Column) -> Column:
+        gone = F.aggregate(tokens, F.struct(*[c.alias(n) for n, c in first.items()]), step)["spans"]
+        return using(F.array_join(tokens, ""), lambda bare: using(gone, lambda spans: cut(bare, spans)))
+
+    return using(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), without)
+
+
+def _without(document: Column, names: list[str]) -> Column:
+    """The inside of an object's text without the members of these names, and without space around tokens.
+
+    A pattern takes the text apart into its members, whatever its length. Where members go deeper than
+    the pattern does, they do not make up the text again, and a walk over the tokens tells them.
+    """
+    for escape, held in _HELD:
+        document = F.replace(document, F.lit(escape), F.lit(held))
+
+    def bare(member: Column) -> Column:
+        return F.when(
+            member.rlike(r"\s"), F.regexp_replace(member, _SPACE_OR_STRING, "$1")
+        ).otherwise(member)
+
+    def stays(member: Column) -> Column:
+        old = F.lit(False)
+        for name in names:
+            old = old | member.startswith(f'"{name}"')
+        return ~old
+
+    def without(text: Column) -> Column:
+        inside = F.substring(text, F.lit(2), F.length(text) - 2)
+
+        def kept(members: Column) -> Column:
+            whole = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")) == text
+            rest = F.array_join(F.filter(F.transform(members, bare), stays), ",")
+            return F.when(whole, rest).otherwise(_walked(text, names))
+
+        return using(F.regexp_extract_all(inside, F.lit(_MEMBER), F.lit(0)), kept)
+
+    rest = using(document, without)
     for escape, held in _HELD:
         rest = F.replace(rest, F.lit(held), F.lit(escape))
     return rest
@@ -127,20 +185,23 @@ def add_members(document: Column, members: dict[str, Column]) -> Column:
         F.struct(*[value.cast("string").alias(name) for name, value in members.items()]),
         {"ignoreNullFields": "false"},
     )
-    tail = F.substring(added, F.lit(2), F.length(added))
-    occurs = F.lit(False)
-    for name in members:
-        occurs = occurs | document.contains(f'"{name}"')
-
-    def joined(head: Column) -> Column:
-        return F.when(F.btrim(head, F.lit(_JSON_SPACE)) == "", added).otherwise(
+    names = list(members)
+
+    def others(text: Column) -> Column:
+        occurs = F.lit(False)
+        for name in names:
+            occurs = occurs | text.contains(f'"{name}"')
+        inside = F.substring(text, F.lit(2), F.length(text) - 2)
+        return F.when(occurs, _without(text, names)).otherwise(inside)
+
+    def joined(head: Column, new: Column) -> Column:
+        tail = F.substring(new, F.lit(2), F.length(new))
+        return F.when(~head.rlike(rf"[^{_JSON_SPACE}]"), new).otherwise(
             F.concat(F.lit("{"), head, F.lit(","), tail)
         )
 
-    others = _without(document, list(members))
-    trimmed = F.btrim(document, F.lit(_JSON_SPACE))
-    inside = F.substring(trimmed, F.lit(2), F.length(trimmed) - 2)
-    return F.when(occurs, joined(others)).otherwise(joined(inside))
+    head = using(_trimmed(document), others)
+    return using(head, lambda head: using(added, lambda new: joined(head, new)))
 
 
 def enrich_weather(documents: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Physical plans: what must not be in them."""
 
 import pytest
+from feedloom.operators import responses
 from feedloom.operators.encode import to_log
 from feedloom.operators.requests import add_backfill_days
 from feedloom.plans import daily, feeds, queries
+from feedloom.schemas import LANDED_RESPONSE
 from feedloom.sources import logs, regions
 from pyspark.sql import functions as F
 
@@ -58,6 +60,13 @@ def test_enrichment_reads_each_document_once_and_parses_once(spark):
     assert text.count("from_json") <= 2
 
 
+def test_weather_log_takes_a_document_apart_once(spark):
+    """One pattern for the members, and one walk for those that go too deep for it, asked for once."""
+    landed = spark.createDataFrame([], LANDED_RESPONSE)
+    text = plan(feeds.weather_log(responses.weather_documents(landed)))
+    assert text.count("regexp_extract_all(") == 2 and text.count("aggregate(") == 1
+
+
 def test_runs_are_pruned(spark, log):
     text = plan(feeds.warning_rows(log.filter("run = 'a'")))
     assert "PartitionFilters: [isnotnull(run" in text

@@ -249,3 +249,16 @@ def test_enriching_a_long_document_takes_time_in_proportion(spark):
     frame = responses.enrich_weather(responses.weather_documents(landed(spark, (200, body))))
     found = json.loads(frame.first()["document"])
     assert found["region_id"] == "3022" and len(found["values"]) == 60_000 and found["z"] == 1
+
+
+@pytest.mark.parametrize("depth", [1, 7, 8, 9, 10, 30])
+def test_enriching_nested_documents_of_any_depth(spark, depth):
+    """Members come out with the same text whether the pattern or the walk tells them."""
+    inner = '{"region_id":"own","b":[",}",{}],"c d":"\\\\\\" ]"}'
+    for level in range(depth):
+        inner = f'[{inner},"{level}"]' if level % 2 else f'{{"end_date":{inner}}}'
+    body = f'{{"region_id":1, "a" : {inner} ,\n"end_date":{inner}, "n":1.10,"region_id":[2]}}'
+    frame = responses.enrich_weather(responses.weather_documents(landed(spark, (200, body))))
+    added = {"start_date": "2025-01-24", "end_date": "2025-01-24", "region_id": "3022"}
+    tail = json.dumps(added | {"region_name": "Trollheimen"}, separators=(",", ":"))[1:]
+    assert frame.first()["document"] == f'{{"a":{inner},"n":1.10,{tail}'
