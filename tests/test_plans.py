@@ -67,6 +67,11 @@ def test_weather_log_takes_a_document_apart_once(spark):
     assert text.count("regexp_extract_all(") == 2 and text.count("aggregate(") == 1
 
 
+def test_enrichment_takes_a_document_apart_once(spark):
+    text = plan(queries.enrich_encode(spark, "/root/testdata/sf0.001"))
+    assert text.count("regexp_extract_all(") == 2 and text.count("aggregate(") == 1
+
+
 def test_runs_are_pruned(spark, log):
     text = plan(feeds.warning_rows(log.filter("run = 'a'")))
     assert "PartitionFilters: [isnotnull(run" in text
