@@ -5,7 +5,11 @@ case); with fewer words the whole sequence is the one element, and without words
 linked with nothing. ``1 - |A n B| / |A u B|`` is a metric, and two documents are linked when they are
 within the radius ``1 - threshold`` of each other.
 
-1. Documents with equal sets form one class; the join is between classes.
+1. Documents with equal sets form one class; the join is between classes. A class takes part only if its
+   documents hold that share of their elements together with others without which nothing can be linked
+   to them (``described``). Elements are counted row by row first and then again between the classes that
+   are left, so that copies do not keep each other. Chance puts a few elements of most documents into
+   others, more of them the larger the corpus is; such documents end here.
 2. *Pivots.* Linked sets share an element among the first ``|A| - ceil(threshold |A|) + 1`` of each, in
    any common order of the elements. So every such element gathers the classes it may link, and the
    smallest of them becomes the pivot; the pivot's region holds all classes that any element gave it.
@@ -33,10 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.arrays import Chunk, chunks, mix, word_codes, words
+from feedloom.llm.arrays import Chunk, chunks, mix, rolling, word_codes, words
 from feedloom.llm.components import components
 from feedloom.llm.tables import likely, shuffle_partitions, stored
 
@@ -49,6 +54,11 @@ PIVOTS = 12
 # Beyond these a region is not compared in one task, and a cell is split by Spark jobs.
 REGION_MEMBERS = 5_000
 CELL_ELEMENTS = 6_000_000
+# Bytes of texts taken apart at once; arrays of that many numbers stay in a core's cache.
+TEXT_BYTES = 1 << 18
+# Elements and rows that are packed together on their way to be counted.
+PACKET_ELEMENTS = 1 << 20
+PACKET_ROWS = 50_000
 
 
 # Sets
@@ -57,22 +67,22 @@ CELL_ELEMENTS = 6_000_000
 def sets(chunk: Chunk, n: int = N) -> list[np.ndarray]:
     """The sorted set of every row."""
     found = words(chunk)
-    codes = word_codes(chunk, found, fold=True)
-    size = max(0, len(codes) - n + 1)
-    whole = np.zeros(size, _U)
-    for k in range(n):
-        whole = mix(whole * _U(0x9E3779B97F4A7C15) + codes[k : k + size])
+    roll = rolling(word_codes(chunk, found, fold=True))
+    whole = roll.every(n)
+    bounds = found.bounds.tolist()
+    for low, high in zip(bounds, bounds[1:]):
+        whole[low : max(low, high - n + 1)].sort()
+    new = np.append(True, whole[1:] != whole[:-1])
     out = []
-    for low, high in zip(found.bounds.tolist(), found.bounds[1:].tolist()):
+    for low, high in zip(bounds, bounds[1:]):
         if high - low >= n:
-            out.append(np.unique(whole[low : high - n + 1]))
-        elif high > low:
-            short = np.zeros(1, _U)
-            for code in codes[low:high]:
-                short = mix(short * _U(0x9E3779B97F4A7C15) + code)
-            out.append(mix(short + _U(high - low)))
+            new[low] = True
+            own = slice(low, high - n + 1)
+            out.append(whole[own][new[own]])
         else:
-            out.append(np.zeros(0, _U))
+            # The whole sequence, or nothing.
+            ends = found.bounds[:0] if high == low else np.array([low, high])
+            out.append(roll.hashes(ends[:1], ends[1:]))
     return out
 
 
@@ -242,7 +252,7 @@ def element_weights(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
+            for chunk in chunks(batch.column(0), TEXT_BYTES):
                 own = np.concatenate([*sets(chunk), np.zeros(0, _U)])
                 places = (own >> _U(64 - COUNTER_BITS)).astype(np.int64)
                 total += np.bincount(places, minlength=len(total))
@@ -272,25 +282,142 @@ def element_weights(texts: DataFrame) -> np.ndarray:
     return np.where(total > 2 * total.mean() + 8, total, 0).astype(np.uint32)
 
 
-def describe(rows: DataFrame, n: int) -> DataFrame:
-    """``(key, size, class, counts, hash)`` of rows (key, text, hash); class and counts are null for empty sets."""
-    kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, size long, class long, counts binary, hash long"
+# A packet's elements for one shard: 32 bits of each, then the low and the high bytes of its row.
+
+
+def _packet(number: int, batches: list, own: list[np.ndarray], shards: int) -> pa.RecordBatch:
+    """Rows as ``(shard, packet, directory, elements)``: once as they are, and their elements by shard."""
+    directory = pa.Table.from_batches(batches).combine_chunks()
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, directory.schema) as writer:
+        writer.write_table(directory)
+    elements = np.concatenate([*own, np.zeros(0, _U)])
+    row = np.repeat(np.arange(len(own)), [len(s) for s in own]).astype("<u2")
+    shard = ((elements >> _U(32)) % _U(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
+    order = np.argsort(shard, kind="stable")
+    values, row = elements[order].astype("<u4"), row[order].view(np.uint8).reshape(-1, 2)
+    named, first = np.unique(shard[order], return_index=True)
+    ends = [*first[1:].tolist(), len(order)]
+    blobs = [
+        values[low:high].tobytes() + row[low:high].T.tobytes() for low, high in zip(first, ends)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([number % shards, *named.tolist()], pa.int32()),
+            pa.array([number] * (1 + len(blobs)), pa.int64()),
+            pa.array([out.getvalue().to_pybytes()] + [None] * len(blobs), pa.binary()),
+            pa.array([None, *blobs], pa.binary()),
+        ],
+        ["shard", "packet", "directory", "elements"],
+    )
+
+
+def _packets(n: int, shards: int):
+    """Batches of (key, text, hash) into packets; a row without a key has no elements there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [s for chunk in chunks(batch.column(1)) for s in sets(chunk, n)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array([len(s) for s in own], pa.int64()),
-                    pa.array([class_of(s) if len(s) else None for s in own], pa.int64()),
-                    pa.array([bucket_counts(s) if len(s) else None for s in own], pa.binary()),
-                    batch.column(2),
-                ],
-                ["key", "size", "class", "counts", "hash"],
-            )
+        number = TaskContext.get().partitionId() << 32
+        rows, taken, size = [], [], 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(at, 1_000)
+                own = [s for chunk in chunks(batch.column(1), TEXT_BYTES) for s in sets(chunk, n)]
+                rows.append(
+                    pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0), pa.array([len(s) for s in own], pa.int64()),
+                            pa.array([class_of(s) if len(s) else None for s in own], pa.int64()),
+                            pa.array([bucket_counts(s) if len(s) else None for s in own], pa.binary()),
+                            batch.column(2),
+                        ],
+                        ["key", "size", "class", "counts", "hash"],
+                    )
+                )
+                keyed = batch.column(0).is_valid().to_pylist()
+                taken += [s if there else s[:0] for s, there in zip(own, keyed)]
+                size += sum(map(len, own))
+                if size >= PACKET_ELEMENTS or len(taken) >= PACKET_ROWS:
+                    yield _packet(number, rows, taken, shards)
+                    number, rows, taken, size = number + 1, [], [], 0
+        if rows:
+            yield _packet(number, rows, taken, shards)
+
+    return run
 
-    return rows.mapInArrow(run, schema)
+
+def _met(table: pa.Table) -> pa.Table:
+    """The packets of one shard into the rows of each packet, once for every element that another row holds."""
+    plain = table.column("elements").is_null()
+    directories = table.filter(plain).select(["packet", "directory"])
+    packets = table.filter(table.column("elements").is_valid())
+    blobs = packets.column("elements").to_pylist()
+    sizes = [len(b) // 6 for b in blobs]
+    starts = np.cumsum([0, *sizes])
+    place = np.arange(starts[-1], dtype=_U)
+    for blob, low, high in zip(blobs, starts, starts[1:]):
+        place[low:high] |= np.frombuffer(blob, "<u4", high - low).astype(_U) << _U(32)
+    place.sort()
+    same = place[1:] >> _U(32) == place[:-1] >> _U(32)
+    edge = np.zeros(min(1, len(place)), bool)
+    twice = np.concatenate([edge, same]) | np.concatenate([same, edge])
+    at = np.sort((place[twice] & _U(0xFFFFFFFF)).astype(np.int64))
+    hits = []
+    for blob, size, low, high in zip(
+        blobs, sizes, starts, np.split(at, np.searchsorted(at, starts[1:-1])) if blobs else ()
+    ):
+        row = np.frombuffer(blob, np.uint8, 2 * size, 4 * size).reshape(2, -1)
+        hits.append(row[:, high - low].T.tobytes())
+    nothing = pa.nulls(len(hits), pa.binary())
+    return pa.table(
+        {
+            "packet": pa.chunked_array([*directories["packet"].chunks, *packets["packet"].chunks], pa.int64()),
+            "directory": pa.chunked_array([*directories["directory"].chunks, nothing], pa.binary()),
+            "hits": pa.chunked_array(
+                [pa.nulls(len(directories), pa.binary()), pa.array(hits, pa.binary())], pa.binary()
+            ),
+        }
+    )
+
+
+def _settled(percent: int):
+    """The directory and the hits of one packet into its rows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table.column("directory").drop_null().to_pylist()
+        rows = pa.ipc.open_stream(blobs[0]).read_all()
+        hits = np.frombuffer(b"".join(table.column("hits").drop_null().to_pylist()), "<u2")
+        met = np.bincount(hits, minlength=len(rows))
+        size = rows.column("size").to_numpy()
+        held = (size > 0) & (100 * met >= percent * size)
+        return rows.append_column("held", pa.array(held))
+
+    return run
+
+
+def described(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """``(key, size, class, counts, hash, held)`` of rows (key, text, hash).
+
+    Class and counts are null for empty sets. ``held`` tells whether other rows with a key hold so many
+    of the row's elements that it may have a link; elements are compared by some 40 bits of their hashes,
+    which can make it true where it need not be. Texts do not move, only their elements' hashes.
+    """
+    kind = rows.schema["key"].dataType.simpleString()
+    shards = 2 * shuffle_partitions(rows.sparkSession)
+    met = (
+        rows.mapInArrow(
+            _packets(n, shards), "shard int, packet long, directory binary, elements binary"
+        )
+        .groupBy("shard")
+        .applyInArrow(_met, "packet long, directory binary, hits binary")
+    )
+    return (
+        stored(met, "elements-met")
+        .groupBy("packet")
+        .applyInArrow(
+            _settled(percent),
+            f"key {kind}, size long, class long, counts binary, hash long, held boolean",
+        )
+    )
 
 
 def postings(rows: DataFrame, weight: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -299,7 +426,7 @@ def postings(rows: DataFrame, weight: np.ndarray, n: int, percent: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
+            for chunk in chunks(batch.column(0), TEXT_BYTES):
                 own = {class_of(s): s for s in sets(chunk, n) if len(s)}
                 parts = [prefix(s, held.value, percent) for s in own.values()]
                 if parts:
@@ -393,7 +520,7 @@ def _exact(n: int, percent: int):
         cell = table.column("cell").to_numpy()
         member = table.column("member").to_numpy()
         texts = table.column("text").combine_chunks()
-        own_sets = [s for chunk in chunks(texts) for s in sets(chunk, n)]
+        own_sets = [s for chunk in chunks(texts, TEXT_BYTES) for s in sets(chunk, n)]
         order = np.lexsort((member, cell))
         a, b = [], []
         for own in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
@@ -416,7 +543,7 @@ def _to_pivots(n: int, percent: int):
         member = table.column("member").to_numpy()
         rank = table.column("rank").to_numpy()
         texts = table.column("text").combine_chunks()
-        space = Sets([s for chunk in chunks(texts) for s in sets(chunk, n)], percent)
+        space = Sets([s for chunk in chunks(texts, TEXT_BYTES) for s in sets(chunk, n)], percent)
         pivots = np.flatnonzero(rank > 0)
         pivots = pivots[np.argsort(rank[pivots])]
         others = np.flatnonzero(rank == 0)
@@ -543,33 +670,36 @@ def similar_groups(
     ``component_id`` it tells texts apart that share a key. The key has to be an integer.
     """
     rows = _rows(df, key, text)
-    described = stored(describe(rows.withColumn("hash", F.xxhash64("text")), n), "sets")
-    whole = described.where("class IS NOT NULL AND key IS NOT NULL")
-    classes = whole.groupBy("class").agg(F.min("key").alias("first"), F.first("size").alias("size"))
-    counts = whole.select("class", "counts")
+    every = stored(described(rows.withColumn("hash", F.xxhash64("text")), n, percent), "sets")
+    whole = every.where("class IS NOT NULL AND key IS NOT NULL")
+    classes = whole.groupBy("class").agg(
+        F.min("key").alias("first"), F.first("size").alias("size"), F.max("held").alias("held")
+    )
+    # One text stands for a class; rows with its key but another set are told apart by the class.
+    firsts = classes.where("held").select(F.col("first").alias("key"), F.col("class").alias("member"))
     taking_part = rows.where("key IS NOT NULL AND text IS NOT NULL")
-    weight = element_weights(taking_part.select("text"))
-    pairs = stored(regions(postings(taking_part, weight, n, percent)), "regions")
-    apart = components(coarse_links(pairs, counts, percent, region_members))
+    candidates = stored(_texts_of(taking_part, firsts, n), "class-texts")
+    among = candidates.select(F.col("member").alias("key"), "text", F.lit(0).cast("long").alias("hash"))
+    again = stored(described(among, n, percent).where("held").select("class", "counts"), "class-sets")
+    held = again.select(F.col("class").alias("member"))
+    texts = stored(candidates.join(held, "member", "left_semi"), "cell-texts")
+    weight = element_weights(texts.select("text"))
+    pairs = stored(regions(postings(texts, weight, n, percent)), "regions")
+    apart = components(coarse_links(pairs, again, percent, region_members))
     members = stored(
-        apart.join(classes.select(F.col("class").alias("node"), "first", "size"), "node").select(
-            F.col("component").alias("cell"), F.col("node").alias("member"), "size", "first"
+        apart.join(classes.select(F.col("class").alias("node"), "size"), "node").select(
+            F.col("component").alias("cell"), F.col("node").alias("member"), "size"
         ),
         "cells",
     )
-    # One text stands for a class; rows with its key but another set are told apart by the class.
-    firsts = members.select(F.col("first").alias("key"), "member")
-    texts = stored(_texts_of(taking_part, firsts, n), "cell-texts")
-    links = exact_links(
-        members.select("cell", "member", "size"), texts, n, percent, cell_elements, pivots
-    )
+    links = exact_links(members, texts, n, percent, cell_elements, pivots)
     found = components(links).select(F.col("node").alias("class"), "component")
     named = classes.select("class", "first").join(found, "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     by_class = named.join(lowest, "component").select("class", "component", "component_id")
     own = F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return described.join(by_class, "class", "left").select(
+    return every.join(by_class, "class", "left").select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("class").alias("class_id"),
         F.when(F.col("key").isNotNull(), own).alias("component_id"),
         F.when(F.col("key").isNotNull(), F.col("component")).alias("group_id"),
@@ -582,7 +712,7 @@ def _texts_of(rows: DataFrame, firsts: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [class_of(s) for chunk in chunks(batch.column(1)) for s in sets(chunk, n)]
+            names = [class_of(s) for chunk in chunks(batch.column(1), TEXT_BYTES) for s in sets(chunk, n)]
             same = pa.array([a == b for a, b in zip(names, batch.column(0).to_pylist())])
             yield batch.filter(same)
 
