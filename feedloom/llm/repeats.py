@@ -12,11 +12,15 @@ are compared in four steps, none of which needs all of the corpus in one place:
    anchor. Any set of frequent slices gives the same result, so they are counted on a sample.
 2. Occurrences meet in shards by anchor hash. Where the contents of two are equal as a whole, the one
    in the later document is repeated. An anchor with different contents leaves a *contest*: the first
-   document of each content is still to be searched for windows that other contents hold.
+   document of each content is still to be searched for windows that other contents hold. Equal windows
+   have half of what a window holds besides the anchor in common on its left or on its right, so contents
+   meet in a contest only if a hash of either side is equal; chance makes many equal anchors in a large
+   corpus, but hardly any equal sides.
    Equal contents within some megabytes are settled before the shuffle, so that a passage which very
    many documents share crosses it once for each such stretch.
-3. Contested occurrences fetch their symbols and are searched, shard by shard, by an index over them
-   (``search``, which an operator supplies).
+3. Contested occurrences fetch their symbols. Those that hold a window of another document, by the
+   windows' hashes, are searched, shard by shard, by an index over them (``search``, which an operator
+   supplies).
 4. Repeated places go back to their documents.
 
 Hashes of contents have 104 bits together with the anchor's, 64 of them within one anchor; the search in
@@ -41,6 +45,8 @@ from feedloom.llm.tables import FILTER_PLACES, shuffle_partitions, stored
 
 _U = np.uint64
 _PLACE_BITS = 24
+# Bytes of texts taken apart at once; arrays of that many numbers stay in a core's cache.
+TEXT_BYTES = 1 << 18
 # Text whose occurrences are settled and packed together.
 PACKED_BYTES = 8 << 20
 # Symbols that one in-memory index holds at most, and the segments of one anchor besides.
@@ -86,9 +92,32 @@ class Occurrences(NamedTuple):
     count: np.ndarray
     anchor: np.ndarray
     content: np.ndarray
+    # 16 bits of a hash of the symbols left and right of the anchor; 0 where no window holds them.
+    left: np.ndarray | None = None
+    right: np.ndarray | None = None
 
     def pick(self, which: np.ndarray) -> Occurrences:
-        return Occurrences(*(column[which] for column in self))
+        return Occurrences(*(column if column is None else column[which] for column in self))
+
+
+def _joined_occurrences(parts: list[Occurrences]) -> Occurrences:
+    return Occurrences(*(np.concatenate(column) for column in zip(*parts)))
+
+
+def _sides(place: np.ndarray, start: np.ndarray, count: np.ndarray, kind: Kind, roll) -> list[np.ndarray]:
+    """The hashes of the symbols left and right of the anchors."""
+    rest = kind.window - kind.anchor
+    half = rest // 2
+    out = []
+    for held, at in (
+        (place - start >= half, place - half),
+        (place - (start + count - 1) <= rest - half, place + kind.anchor),
+    ):
+        side = np.zeros(len(place), np.uint16)
+        own = np.flatnonzero(held)
+        side[own] = (roll.hashes(at[own], at[own] + half) % _U(0xFFFF)).astype(np.uint16) + np.uint16(1)
+        out.append(side)
+    return out
 
 
 def occurrences(
@@ -97,7 +126,8 @@ def occurrences(
     """``frequent`` tells for the low bits of a slice's hash whether it is passed over."""
     counts = np.maximum(0, np.diff(bounds) - kind.window + 1)
     if not counts.any():
-        return Occurrences(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U)))
+        kinds = (np.int64, np.int64, np.int64, _U, _U, np.uint16, np.uint16)
+        return Occurrences(*(np.zeros(0, t) for t in kinds))
     roll = rolling(codes)
     grams = roll.every(kind.anchor)
     bits = _U(max(_PLACE_BITS, len(grams).bit_length()))
@@ -119,25 +149,35 @@ def occurrences(
     start = starts[first]
     row = np.searchsorted(bounds, start, "right") - 1
     anchor = grams[place[first]]
+    left, right = _sides(place[first], start, count, kind, roll)
     # Windows without another slice: places differ from window to window, so each is a run of its own.
     bare = np.flatnonzero((low[start] & last) == last)
     if frequent is not None and len(bare):
         at, half = start[bare], kind.window // 2
+        left[bare] = right[bare] = 0
         anchor[bare] = mix(
             roll.hashes(at, at + half) * _U(0xC2B2AE3D27D4EB4F)
             + roll.hashes(at + half, at + kind.window)
         )
     return Occurrences(
         row, start - bounds[row], count, anchor,
-        roll.hashes(start, start + count - 1 + kind.window),
+        roll.hashes(start, start + count - 1 + kind.window), left, right,
     )
 
 
-def _ranked(occ: Occurrences, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order by anchor and content, where each content begins, and its smallest document."""
-    order = np.lexsort((occ.content, occ.anchor))
-    a, c = occ.anchor[order], occ.content[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1])) if len(a) else np.zeros(0, bool)
+def _ranked(
+    anchor: np.ndarray, content: np.ndarray, doc: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by the anchor (of 40 bits) and content, where each content begins, its smallest document."""
+    both = anchor << _U(24) | content >> _U(40)
+    order = np.argsort(both)
+    b, c = both[order], content[order]
+    same, equal = b[1:] == b[:-1], c[1:] == c[:-1]
+    if (same & ~equal).any():  # the low bits of contents decide
+        order = np.lexsort((content, both))
+        b, c = both[order], content[order]
+        same, equal = b[1:] == b[:-1], c[1:] == c[:-1]
+    new = np.append(True, ~(same & equal)) if len(b) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     return order, new, np.minimum.reduceat(doc[order], first) if len(first) else doc[:0]
 
@@ -159,9 +199,11 @@ def _pack(doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, settled: bool)
         occ.count.astype("<u4" if settled else "<u2").view(np.uint8),
     ]
     if not settled:
+        anyhow = np.ones(len(occ.row), "<u2")
         parts += [
             (occ.anchor >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5].copy(),
             occ.content.astype("<u8"),
+            *(anyhow if side is None else side.astype("<u2") for side in (occ.left, occ.right)),
         ]
     return b"".join(p.tobytes() for p in parts)
 
@@ -190,6 +232,7 @@ def _unpack(packet: bytes, settled: bool):
         anchor = np.zeros((n, 8), np.uint8)
         anchor[:, :5] = take(5 * n).reshape(-1, 5)
         hashes = [anchor.view("<u8")[:, 0], take(8 * n).copy().view("<u8")]
+        hashes += [take(2 * n).copy().view("<u2") for _ in range(2)]
     return np.repeat(doc, sizes), np.repeat(row_key, sizes), start, count, hashes
 
 
@@ -206,7 +249,7 @@ def _packed(
     doc: np.ndarray, row_key: np.ndarray, occ: Occurrences, shards: int
 ) -> pa.RecordBatch:
     """The packets of some rows' occurrences, equal contents settled among them."""
-    order, new, least = _ranked(occ, doc)
+    order, new, least = _ranked(occ.anchor >> _U(24), occ.content, doc)
     settled = np.zeros(len(doc), bool)
     settled[order] = doc[order] > least[np.cumsum(new) - 1]
     shard = (occ.anchor & _U(0xFFFFFF)).astype(np.int64) % shards
@@ -214,7 +257,7 @@ def _packed(
     for done in (False, True):
         which = np.flatnonzero(settled == done)
         own = row_key[which] % shards if done else shard[which]
-        in_order = np.argsort(own, kind="stable")
+        in_order = np.argsort(own.astype(np.uint16 if shards < 1 << 16 else _U), kind="stable")
         which, own = which[in_order], own[in_order]
         for group in np.split(np.arange(len(own)), np.flatnonzero(np.diff(own)) + 1):
             if len(group):
@@ -238,9 +281,11 @@ def _sampled(kind: Kind, share: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(5)
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
-                slices = rolling(kind.symbols(chunk)[0]).every(kind.anchor)
-                taken = slices[rng.random(len(slices)) < share]
+            for chunk in chunks(batch.column(0), TEXT_BYTES):
+                codes = kind.symbols(chunk)[0]
+                n = max(0, len(codes) - kind.anchor + 1)
+                at = rng.integers(0, n, rng.binomial(n, share)) if share < 1 else np.arange(n)
+                taken = rolling(codes).hashes(at, at + kind.anchor)
                 yield pa.RecordBatch.from_arrays([pa.array(taken.view(np.int64))], ["slice"])
 
     return run
@@ -271,38 +316,74 @@ def _packets(kind: Kind, shards: int, frequent: bytes) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passed = np.unpackbits(np.frombuffer(frequent, np.uint8)).astype(bool)
+        parts, size, base = [], 0, 0
+
+        def packed() -> pa.RecordBatch:
+            doc, row_key = (np.concatenate([p[i] for p in parts]) for i in range(2))
+            return _packed(doc, row_key, _joined_occurrences([p[2] for p in parts]), shards)
+
         for batch in batches:
             docs, row_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            parts, size = [], 0
-            for chunk in chunks(batch.column(2)):
+            for chunk in chunks(batch.column(2), TEXT_BYTES):
                 codes, bounds = kind.symbols(chunk)
                 occ = occurrences(codes, bounds, kind, passed)
-                parts.append(occ._replace(row=occ.row + chunk.first))
-                size += len(chunk.data)
-                if size >= PACKED_BYTES or chunk.last == batch.num_rows:
-                    occ = Occurrences(*(np.concatenate(c) for c in zip(*parts)))
-                    if len(occ.row):
-                        yield _packed(docs[occ.row], row_keys[occ.row], occ, shards)
+                if len(occ.row):
+                    row = occ.row + chunk.first
+                    parts.append((docs[row], row_keys[row], occ._replace(row=row + base)))
+                    size += len(chunk.data)
+                if size >= PACKED_BYTES:
+                    yield packed()
                     parts, size = [], 0
+            base += batch.num_rows
+        if parts:
+            yield packed()
 
     return run
 
 
-def _by_row(row_key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
-    """Sort by row; yield each row's key and its part of every column."""
-    order = np.argsort(row_key, kind="stable")
-    row_key, columns = row_key[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.diff(row_key)) + 1
-    for key, *parts in zip(
-        row_key[np.append(0, cuts)] if len(row_key) else (), *(np.split(c, cuts) for c in columns)
-    ):
-        yield int(key), *parts
+def _blobs(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
+    """Binary values of so many bytes each, one after another in ``data``."""
+    offsets = np.append(0, np.cumsum(sizes)).astype("<i4")
+    return pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())]
+    )
 
 
-_RESOLVED = "row_key long, doc long, repeated binary, contested binary"
+def spans_by_row(
+    row_key: np.ndarray, start: np.ndarray, stop: np.ndarray
+) -> tuple[np.ndarray, pa.Array]:
+    """The keys, and each key's spans as ``spans_to_bytes`` of ``merge_spans`` gives them."""
+    if not len(row_key):
+        return row_key, pa.array([], pa.binary())
+    order = np.lexsort((start, row_key))
+    row_key = row_key[order]
+    new = np.append(True, row_key[1:] != row_key[:-1])
+    row = np.cumsum(new) - 1
+    # Far enough apart that spans of different rows never touch.
+    start, stop = start[order] + (row << 33), stop[order] + (row << 33)
+    reach = np.maximum.accumulate(stop)
+    first = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
+    last = np.append(first[1:] - 1, len(start) - 1)
+    own = row[first]
+    spans = np.stack([start[first], reach[last]], axis=1) - (own << 33)[:, None]
+    return row_key[new], _blobs(8 * np.bincount(own), spans.astype("<i4"))
+
+
+_RESOLVED = "row_key long, repeated binary, contested binary"
 _CONTEST = np.dtype([("anchor", "<u8"), ("start", "<i4"), ("count", "<i4")])
 
 
+def _open(group: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether a group (its members stand together) has a member whose first document is not the group's."""
+    if not len(group):
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    sizes = np.diff(np.append(first, len(group)))
+    # The first document of all has nothing before it.
+    later = least > np.repeat(np.minimum.reduceat(least, first), sizes)
+    return np.repeat(np.maximum.reduceat(later, first), sizes)
+
+
 def _resolve(kind: Kind) -> Callable:
     """The packets of one shard into repeated spans and contests of each row."""
 
@@ -314,49 +395,46 @@ def _resolve(kind: Kind) -> Callable:
         nothing = np.zeros(0, np.int64)
         join = lambda parts, i: np.concatenate([p[i] for p in parts]) if parts else nothing
         doc, row_key, start, count = (join(open_, i) for i in range(4))
-        anchor, content = (
+        anchor, content, left, right = (
             np.concatenate([p[4][i] for p in open_]) if open_ else nothing.astype(_U)
-            for i in range(2)
+            for i in range(4)
         )
-        occ = Occurrences(row_key, start, count, anchor, content)
-        order, new, least = _ranked(occ, doc)
+        order, new, least = _ranked(anchor, content, doc)
+        content_at = np.cumsum(new) - 1
         later = np.zeros(len(doc), bool)
-        later[order] = doc[order] > least[np.cumsum(new) - 1]
+        later[order] = doc[order] > least[content_at]
+        # Anchors with several contents, of which the first documents differ; then sides of them.
+        head = order[new]
+        several = np.flatnonzero(_open(anchor[head], least))
+        contest = np.zeros(len(head), bool)
+        for side in (left, right):
+            own = several[side[head[several]] > 0]
+            both = anchor[head[own]] << _U(16) | side[head[own]].astype(_U)
+            by_side = np.argsort(both)
+            own = own[by_side]
+            contest[own[_open(both[by_side], least[own])]] = True
         contested = np.zeros(len(doc), bool)
-        if len(order):
-            # Anchors with several contents, of which the first documents differ.
-            heads = anchor[order][new]
-            edge = np.append(True, heads[1:] != heads[:-1])
-            first = np.flatnonzero(edge)
-            low = np.minimum.reduceat(least, first)
-            # The first document of all has nothing before it.
-            open_content = least > np.repeat(low, np.diff(np.append(first, len(heads))))
-            several = np.repeat(
-                np.maximum.reduceat(open_content, first), np.diff(np.append(first, len(heads)))
-            )
-            contested[order] = several[np.cumsum(new) - 1]
-            contested &= ~later
-        out: dict[int, list] = {}
-        owner = dict(zip(row_key.tolist(), doc.tolist()))
-        for p in done:
-            owner.update(zip(p[1].tolist(), p[0].tolist()))
+        contested[order] = contest[content_at]
+        contested &= ~later
         starts = np.concatenate([start[later], join(done, 2)])
         stops = starts + np.concatenate([count[later], join(done, 3)]) - 1 + kind.window
-        for key, a, b in _by_row(np.concatenate([row_key[later], join(done, 1)]), starts, stops):
-            out.setdefault(key, [b"", b""])[0] = spans_to_bytes(*merge_spans(a, b))
-        wanted = np.zeros(int(contested.sum()), _CONTEST)
-        wanted["anchor"], wanted["start"] = anchor[contested], start[contested]
-        wanted["count"] = count[contested]
-        for key, part in _by_row(row_key[contested], wanted):
-            out.setdefault(key, [b"", b""])[1] = part.tobytes()
+        repeated, spans = spans_by_row(np.concatenate([row_key[later], join(done, 1)]), starts, stops)
+        at = np.flatnonzero(contested)
+        at = at[np.argsort(row_key[at], kind="stable")]
+        wanted = np.zeros(len(at), _CONTEST)
+        wanted["anchor"], wanted["start"], wanted["count"] = anchor[at], start[at], count[at]
+        keys, n = np.unique(row_key[at], return_counts=True)
+        none = np.zeros(0, np.uint8)
         return pa.table(
             {
-                "row_key": pa.array(list(out), pa.int64()),
-                "doc": pa.array([owner[k] for k in out], pa.int64()),
-                "repeated": pa.array([v[0] for v in out.values()], pa.binary()),
-                "contested": pa.array([v[1] for v in out.values()], pa.binary()),
+                "row_key": pa.array(np.concatenate([repeated, keys]), pa.int64()),
+                "repeated": pa.chunked_array([spans, _blobs(0 * n, none)], pa.binary()),
+                "contested": pa.chunked_array(
+                    [_blobs(np.zeros(len(repeated), np.int64), none),
+                     _blobs(_CONTEST.itemsize * n, wanted)], pa.binary(),
+                ),
             }
-        )
+        )
 
     return run
 
@@ -389,7 +467,7 @@ def _segments(kind: Kind) -> Callable:
             keys = batch.column(0).to_numpy()
             docs = batch.column(1).to_numpy()
             blobs = batch.column(3).to_pylist()
-            for chunk in chunks(batch.column(2)):
+            for chunk in chunks(batch.column(2), TEXT_BYTES):
                 codes, bounds = kind.symbols(chunk)
                 data = chunk.data if kind.dtype == "u1" else codes
                 out: list[list] = [[], [], [], [], []]
@@ -413,6 +491,44 @@ def _segments(kind: Kind) -> Callable:
     return run
 
 
+def _symbols_of(column: pa.ChunkedArray, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all segments one after another, and the segments' bounds."""
+    blobs = [c for c in column.chunks if len(c)]
+    sizes = [np.diff(np.frombuffer(c.buffers()[1], "<i4")[c.offset : c.offset + len(c) + 1]) for c in blobs]
+    parts = [
+        np.frombuffer(c.buffers()[2], np.uint8, int(n.sum()), int(np.frombuffer(c.buffers()[1], "<i4")[c.offset]))
+        for c, n in zip(blobs, sizes)
+    ]
+    bounds = np.append(0, np.cumsum(np.concatenate([*sizes, np.zeros(0, np.int64)]), dtype=np.int64))
+    data = np.concatenate([*parts, np.zeros(0, np.uint8)]).view(dtype)
+    return data, bounds // np.dtype(dtype).itemsize
+
+
+def _with_shared_windows(kind: Kind, column: pa.ChunkedArray, doc: np.ndarray) -> np.ndarray:
+    """The segments with a window whose hash a segment of another document has as well."""
+    data, bounds = _symbols_of(column, kind.dtype)
+    hashes, owner = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+    low = 0
+    while low < len(doc):
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + TEXT_BYTES, "right")) - 1)
+        own = data[bounds[low] : bounds[high]]
+        counts = np.diff(bounds[low : high + 1]) - kind.window + 1
+        every = rolling(BYTE_CODES[own] if kind.dtype == "u1" else own).every(kind.window)
+        hashes.append(every[expand(bounds[low:high] - bounds[low], counts)])
+        owner.append(np.repeat(np.arange(low, high), counts))
+        low = high
+    found, segment = np.concatenate(hashes), np.concatenate(owner)
+    shared = np.zeros(len(doc), bool)
+    if len(found):
+        order = np.argsort(found)
+        found, segment = found[order], segment[order]
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        docs = doc[segment]
+        several = np.minimum.reduceat(docs, first) < np.maximum.reduceat(docs, first)
+        shared[segment[np.repeat(several, np.diff(np.append(first, len(found))))]] = True
+    return np.flatnonzero(shared)
+
+
 # search(symbols, bounds, doc) -> for every symbol whether a repeated window starts there
 Search = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
@@ -421,18 +537,20 @@ def _searched(kind: Kind, search: Search) -> Callable:
     """The segments of one shard, in indexes of bounded size, into repeated spans of each row."""
 
     def run(table: pa.Table) -> pa.Table:
-        anchor = table.column("anchor").to_numpy()
         doc = table.column("doc").to_numpy()
+        table = table.take(pa.array(_with_shared_windows(kind, table.column("symbols"), doc)))
+        doc = table.column("doc").to_numpy()
+        anchor = table.column("anchor").to_numpy()
         row_key = table.column("row_key").to_numpy()
         start = table.column("start").to_numpy().astype(np.int64)
         texts = table.column("symbols").to_pylist()
         order = np.lexsort((doc, anchor))
-        sizes = np.array([len(texts[i]) for i in order]) // np.dtype(kind.dtype).itemsize
+        sizes = np.array([len(texts[i]) for i in order], np.int64) // np.dtype(kind.dtype).itemsize
         a = anchor[order]
-        first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-        weight = np.add.reduceat(sizes, first)
+        first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+        weight = np.add.reduceat(sizes, first) if len(first) else sizes
         bin_ = (np.cumsum(weight) - weight) // INDEX_SYMBOLS
-        cuts = np.append(first[np.flatnonzero(np.append(True, np.diff(bin_)))], len(order))
+        cuts = np.append(first[np.flatnonzero(np.diff(bin_, prepend=-1))], len(order))
         out: dict[int, list[bytes]] = {}
         for low, high in zip(cuts, cuts[1:]):
             # Equal segments are indexed once, for their first document.
@@ -523,7 +641,7 @@ def suffix_order(ranks: np.ndarray) -> np.ndarray:
     """The suffix array of a sequence whose suffixes all differ, by doubling the sorted prefix."""
     n, width = len(ranks), 1
     while True:
-        order = np.argsort(ranks, kind="stable")
+        order = np.argsort(ranks)
         in_order = ranks[order]
         dense = np.cumsum(np.append(0, in_order[1:] != in_order[:-1]))
         if dense[-1] == n - 1:
