@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from feedloom.llm import ngram_join, repeats, substring_index, suffix_dedup
 from feedloom.llm.arrays import BYTE_CODES
 
@@ -48,6 +49,16 @@ def test_join_compares_no_documents_that_only_share_sentences(spark, by_chance,
     assert len(compared) == 1 and 6 <= compared[0] < 30
 
 
+def test_stage_near_duplicates_compares_no_documents_that_only_share_sentences(
+    spark, by_chance, compared
+):
+    rows = [(key, text, "en", "web", len(text)) for key, text in by_chance]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.near_duplicates(spark, df, "")
+    assert sorted(r.doc_id for r in found.collect()) == list(range(240))
+    assert len(compared) == 1 and 6 <= compared[0] < 30
+
+
 def _bounded(search, most):
     def run(symbols, bounds, doc):
         assert len(symbols) <= most, f"an index of {len(symbols)} symbols"
