@@ -4,7 +4,10 @@ import sys
 import numpy as np
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+# Tests of the folder above may get this module by the name "conftest".
+ROOT = os.path.dirname(os.path.dirname(HERE))
+sys.path.insert(0, HERE)
 
 SF_DIR = "/root/testdata/sf0.001"
 
